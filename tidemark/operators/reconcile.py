@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import format_offsets
+from tidemark.functions.frames import one_row
 from tidemark.operators.sequences import any_truncated, gap_partition_count
 from tidemark.sources.side_topic import CANARY, DEAD_LETTER
 
@@ -109,12 +110,6 @@ def bucket_offsets(classified: DataFrame) -> DataFrame:
     )
 
 
-def one_row(*frames: DataFrame) -> DataFrame:
-    """Several one-row frames side by side, without a join."""
-    stacked = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
-    return stacked.agg(*(F.max(name).alias(name) for name in stacked.columns))
-
-
 def reconciliation_summary(explained: DataFrame, records: DataFrame, stats: DataFrame, limit: int) -> DataFrame:
     """One row of counters over ``explain_keys``, the records and the statistics.
 

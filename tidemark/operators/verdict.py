@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.errors import InputError
+from tidemark.functions.frames import one_row
 
 SIDE_TOPIC_COUNTERS = {
     "canary_explained_count": "bigint",
@@ -125,8 +126,6 @@ def final_verdict(facts: DataFrame, fail_on_gaps: bool = True, fail_on_invalid_r
 
 def verdict_facts(*frames: DataFrame, side_topic_enabled: bool) -> DataFrame:
     """The counters of several one-row frames as the row the verdicts read."""
-    from tidemark.operators.reconcile import one_row
-
     facts = one_row(*frames).withColumn("side_topic_enabled", F.lit(side_topic_enabled))
     absent = {name: F.lit(None).cast(kind) for name, kind in SIDE_TOPIC_COUNTERS.items() if name not in facts.columns}
     return facts.withColumns(absent) if absent else facts
