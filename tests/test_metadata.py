@@ -99,6 +99,33 @@ def test_metadata_is_parsed_once(parsed):
     assert plan.count("from_json") == 1
 
 
+def test_plain_form_reads_like_any_other(spark):
+    """The shortcut for plain texts against the JSON parser, on texts at its edges."""
+    numbers = ["0", "7", "007", "-1", "1.0", "", "2147483648", "99999999999999999999", '"5"', " 3", "  3", "3 ", "٣"]
+    texts = [
+        template % (p, o)
+        for template in (
+            '{"partition":%s,"offset":%s}', '{"partition": %s, "offset": %s}', '{"partition":%s,"offset":%s}\n',
+            '{"offset":%s,"partition":%s}', ' {"partition":%s,"offset":%s}', '{"partition":%s,"offset":%s}}',
+            '{"partition":%s,"offset":%s,"partition":4}', '{"partition":%s,"offset":%s} ',
+        )
+        for p in numbers
+        for o in numbers
+    ]
+    parsed = md.parse_metadata(spark.createDataFrame([(t,) for t in texts], f"{META} string"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": md.CORRUPT}
+    slow = F.from_json(F.col(md.P.raw), md.METADATA_SCHEMA, options)
+    rows = parsed.select(
+        md.P.raw, md.P.json, md.P.partition_text, md.P.offset_text, slow.alias("slow")
+    ).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        fast = r[md.P.json]
+        assert (fast[md.CORRUPT] is None) == (r.slow[md.CORRUPT] is None), r
+        for name, text in (("partition", r[md.P.partition_text]), ("offset", r[md.P.offset_text])):
+            assert text == (None if r.slow[name] is None else r.slow[name].strip(" ")), r
+
+
 def test_any_column_name_and_castable_type(spark):
     odd = spark.createDataFrame([(7,)], "`a``b.c` int")
     assert odd.select(quoted_column("a`b.c").alias("x")).first().x == 7

@@ -22,6 +22,9 @@ METADATA_SCHEMA = T.StructType(
     ]
 )
 
+# The two fields as plain numbers and nothing else, which is how metadata mostly looks.
+PLAIN = r'^\{"partition": ?(0|[1-9][0-9]*), ?"offset": ?(0|[1-9][0-9]*)\}\z'
+
 # Bit of each defect in the ``defects`` mask of a row.
 DEFECTS = {
     "missing_metadata": 1,
@@ -60,17 +63,26 @@ def parse_metadata(df: DataFrame, metadata_column: str = DEFAULT_METADATA_COLUMN
 
     Both fields are read as strings, so that a wrong type shows as a non-numeric value and
     not as malformed JSON. The parse sits behind ``explode`` of a one-element array, which
-    keeps later filters from copying it: each row is parsed once.
+    keeps later filters from copying it: each row is parsed once. The JSON parser is the
+    dearest step of a whole check, so texts of the plain form are cut apart without it.
     """
     if metadata_column not in df.columns:
         raise InputError(f"Metadata column '{metadata_column}' not found in eligible parquet data")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     raw = quoted_column(metadata_column).cast("string")
-    parsed = F.from_json(F.col(P.raw), METADATA_SCHEMA, options)
+    plain = F.struct(
+        F.substring_index(F.substring_index(P.raw, ",", 1), ":", -1).alias("partition"),
+        F.rtrim(F.substring_index(P.raw, ":", -1), F.lit("}")).alias("offset"),
+        F.lit(None).cast("string").alias(CORRUPT),
+    )
+    parsed = F.when(F.col(P.raw).rlike(PLAIN), plain).otherwise(
+        F.from_json(F.col(P.raw), METADATA_SCHEMA, options)
+    )
     partition_text, offset_text = F.trim(F.col(f"{P.json}.partition")), F.trim(F.col(f"{P.json}.offset"))
     return (
         df.select(raw.alias(P.raw), *keep)
-        .select("*", F.explode(F.array(parsed)).alias(P.json))
+        .withColumn(P.json, parsed)
+        .select(P.raw, *keep, F.explode(F.array(P.json)).alias(P.json))
         .select(
             "*",
             partition_text.alias(P.partition_text),

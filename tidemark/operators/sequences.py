@@ -225,7 +225,8 @@ def _successors(words: DataFrame, key: str, positions: Column) -> DataFrame:
 
     ``earlier`` counts the distinct values of the key before the value.
     """
-    at = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda i: F.getbit(positions, i) == 1)
+    each = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda i: F.getbit(positions, i) == 1)
+    at = F.when(F.bit_count(positions) == 1, F.array(_high_bit(positions))).otherwise(each)
     above = F.call_function("shiftright", F.col("bits"), F.col("at") + 1)
     value = _base() + F.col("at")
     below = F.col("bits").bitwiseAND(_lone_bit(F.col("at")) - 1)

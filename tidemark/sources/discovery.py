@@ -2,6 +2,7 @@
 
 import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +58,11 @@ def scan_roots(spark: SparkSession, roots) -> DataFrame:
         for status in statuses:
             child = status.getPath()
             children.append((root, child.toString(), child.getName(), bool(status.isDirectory())))
-    return spark.createDataFrame(children, LISTING_SCHEMA)
+    # From an Arrow table a small listing becomes a local relation, which needs no Python task.
+    columns = list(zip(*children)) or [()] * 4
+    types = [pa.string(), pa.string(), pa.string(), pa.bool_()]
+    arrays = [pa.array(column, kind) for column, kind in zip(columns, types)]
+    return spark.createDataFrame(pa.table(arrays, names=["root", "path", "name", "is_dir"]))
 
 
 def classify_partitions(listing: DataFrame, run_date, date_column: str = DEFAULT_DATE_COLUMN) -> DataFrame:
