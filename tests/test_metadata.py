@@ -126,6 +126,13 @@ def test_plain_form_reads_like_any_other(spark):
             assert text == (None if r.slow[name] is None else r.slow[name].strip(" ")), r
 
 
+def test_only_the_metadata_column_is_read(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    spark.createDataFrame([("{}", "x")], f"{META} string, payload string").write.parquet(path)
+    plan = md.pack_ledger(md.parse_metadata(spark.read.parquet(path)))._jdf.queryExecution().executedPlan().toString()
+    assert f"ReadSchema: struct<{META}:string>" in plan
+
+
 def test_any_column_name_and_castable_type(spark):
     odd = spark.createDataFrame([(7,)], "`a``b.c` int")
     assert odd.select(quoted_column("a`b.c").alias("x")).first().x == 7

@@ -304,6 +304,13 @@ def test_undecodable_payload_fails_even_without_gaps(spark, tmp_path):
         check(spark, [land(spark, tmp_path / "a", PASS_A)], side_topics=SideTopics("orders", "orders-bad-canary", bad))
 
 
+def test_unreadable_side_topic_is_an_input_failure(spark, tmp_path):
+    broken = spark.sql("SELECT 't' AS topic, 0 AS partition, id AS offset, "
+                       "cast(raise_error('no broker') AS binary) AS value FROM range(3)")
+    with pytest.raises(InputError, match="Failed to read side topics .*no broker"):
+        check(spark, [land(spark, tmp_path / "a", PASS_A)], side_topics=SideTopics("orders", "t", broken))
+
+
 def test_missing_connector_is_an_input_failure(spark):
     with pytest.raises(InputError, match="orders-canary"):
         st.read_side_topic(spark, "orders-canary", st.kafka_reader_options("orders-canary", {"bootstrap.servers": "x:1"}))

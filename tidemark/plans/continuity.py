@@ -1,7 +1,8 @@
 """The whole check: landed data to verdict, with or without side topics."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,7 +89,11 @@ def reconcile_side_topics(
         (side_topics.dead_letter, st.DEAD_LETTER, side_topics.dead_letter_topic),
     ]
     frames = [st.decode_side_topic(rows, kind, topic) for rows, kind, topic in sides if rows is not None]
-    decoded = materialize(ld.cross_root_union(frames), "side-topic-records")
+    try:
+        decoded = materialize(ld.cross_root_union(frames), "side-topic-records")
+    except PySparkException as error:
+        topics = [topic for _, _, topic in sides if topic]
+        raise InputError(f"Failed to read side topics {topics}: {error}") from error
     st.require_decoded(decoded)
     records = st.side_topic_records(decoded)
     of_source = records.filter(F.col("source_topic") == side_topics.source_topic)
@@ -117,14 +122,14 @@ def check_landed(
     sq.check_limit(limit)
     fail_on_gaps = vd.check_flag(fail_on_gaps, "fail_on_gaps")
     fail_on_invalid_rows = vd.check_flag(fail_on_invalid_rows, "fail_on_invalid_rows")
+    normalized_overwrite = vd.check_flag(normalized_overwrite, "normalized_overwrite")
 
     if normalized_path:
         source = "_source_file"
         parsed = md.parse_metadata(ld.with_source_file(landed, source), metadata_column, keep=[source])
         quality = materialize(md.metadata_quality(parsed), "quality")
         md.require_valid_rows(quality.first())
-        overwrite = vd.check_flag(normalized_overwrite, "normalized_overwrite")
-        ld.persist_normalized(md.normalize_offsets(parsed, source), normalized_path, overwrite)
+        ld.persist_normalized(md.normalize_offsets(parsed, source), normalized_path, normalized_overwrite)
         stored = ld.reload_normalized(landed.sparkSession, normalized_path)
         words = materialize(sq.pack_sequences(stored), "ledger")
     else:
@@ -163,4 +168,4 @@ def check_continuity(
     partitions = ds.classify_partitions(ds.scan_roots(spark, roots), ds.check_run_date(run_date), date_column)
     landed = ld.read_eligible(spark, ds.require_eligible(partitions))
     result = check_landed(landed, **options)
-    return Continuity(**{**vars(result), "partitions": partitions})
+    return replace(result, partitions=partitions)
