@@ -138,7 +138,7 @@ def test_persisted_normalized_offsets(spark, tmp_path):
     }
     assert stored.count() == 6
     assert all(r.source_file.startswith("file:///") and r.source_file.endswith(".parquet") for r in stored.collect())
-    with pytest.raises(InputError, match="Failed to write"):
+    with pytest.raises(InputError, match="cannot write"):
         check(spark, roots, normalized_path=path, normalized_overwrite=False)
     assert code(check(spark, roots, normalized_path=path)) == 0
 
@@ -146,7 +146,7 @@ def test_persisted_normalized_offsets(spark, tmp_path):
 def test_all_invalid_input_leaves_a_stored_copy_alone(spark, tmp_path):
     path = str(tmp_path / "normalized")
     check(spark, [land(spark, tmp_path / "a", PASS_A)], normalized_path=path)
-    with pytest.raises(InputError, match="Zero valid"):
+    with pytest.raises(InputError, match="zero valid"):
         check(spark, [land(spark, tmp_path / "b", [None])], normalized_path=path)
     assert spark.read.parquet(path).count() == 3
 
@@ -183,7 +183,7 @@ def test_invalid_row_and_the_gap_it_leaves(spark, tmp_path):
 
 def test_all_invalid_metadata(spark, tmp_path):
     values = ["{bad-json", '{"partition":"x","offset":"y"}', None]
-    with pytest.raises(InputError, match="Zero valid") as error:
+    with pytest.raises(InputError, match="zero valid") as error:
         check(spark, [land(spark, tmp_path / "a", values)])
     assert error.value.code == 2
 
@@ -197,8 +197,8 @@ def test_input_failures(spark, tmp_path):
     (bare / "misc=2026-07-01").mkdir()
     (tmp_path / "file").write_text("x")
     cases = [
-        ([only_run], {}, "No eligible.*skipped_run_date_partition_count=1"),
-        ([str(bare)], {}, "No eligible old date partition directories found$"),
+        ([only_run], {}, "no eligible.*skipped_run_date_partition_count=1"),
+        ([str(bare)], {}, "no eligible date partition below the roots$"),
         ([empty], {}, "zero rows"),
         ([str(tmp_path / "nowhere")], {}, "does not exist"),
         ([str(tmp_path / "file")], {}, "not a directory"),
@@ -307,7 +307,7 @@ def test_undecodable_payload_fails_even_without_gaps(spark, tmp_path):
 def test_unreadable_side_topic_is_an_input_failure(spark, tmp_path):
     broken = spark.sql("SELECT 't' AS topic, 0 AS partition, id AS offset, "
                        "cast(raise_error('no broker') AS binary) AS value FROM range(3)")
-    with pytest.raises(InputError, match="Failed to read side topics .*no broker"):
+    with pytest.raises(InputError, match="cannot read side topics .*no broker"):
         check(spark, [land(spark, tmp_path / "a", PASS_A)], side_topics=SideTopics("orders", "t", broken))
 
 

@@ -67,7 +67,7 @@ def parse_metadata(df: DataFrame, metadata_column: str = DEFAULT_METADATA_COLUMN
     dearest step of a whole check, so texts of the plain form are cut apart without it.
     """
     if metadata_column not in df.columns:
-        raise InputError(f"Metadata column '{metadata_column}' not found in eligible parquet data")
+        raise InputError(f"column '{metadata_column}' not found in the landed data")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     raw = quoted_column(metadata_column).cast("string")
     plain = F.struct(
@@ -225,6 +225,6 @@ def input_guards(quality: DataFrame) -> DataFrame:
 def require_valid_rows(quality_row) -> None:
     """Raise for a profile row of an input that cannot be checked."""
     if quality_row["eligible_row_count"] == 0:
-        raise InputError("Eligible parquet data contained zero rows")
+        raise InputError("the landed data has zero rows")
     if quality_row["valid_offset_row_count"] == 0:
-        raise InputError("Zero valid partition/offset pairs were extracted from eligible parquet data")
+        raise InputError("zero valid rows: no landed row has a usable partition and offset")

@@ -5,12 +5,31 @@ and with side topics ``unresolved_count``, ``bounded_missing_offset_count`` and
 ``missing_offsets_truncated``.
 """
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.errors import InputError
 from tidemark.functions.frames import one_row
 
+# The texts of the reasons and messages, with their counters in braces.
+INVALID_ROWS = "invalid metadata rows detected: invalid_row_count={invalid_row_count}"
+RAW_GAPS = "offset gaps detected: gap_partition_count={raw_gap_partition_count}"
+UNRESOLVED = (
+    "unresolved offset gaps after side-topic reconciliation: raw_gap_partition_count={raw_gap_partition_count}"
+    " unresolved_count={unresolved_count}"
+)
+TRUNCATED = (
+    "missing offsets truncated after side-topic reconciliation: unresolved offsets may remain beyond materialized limit"
+    "; raw_gap_partition_count={raw_gap_partition_count} bounded_missing_offset_count={bounded_missing_offset_count}"
+    " missing_offsets_truncated={missing_offsets_truncated} unresolved_count={unresolved_count}"
+)
+NO_GAPS = "no gaps detected"
+ALL_RESOLVED = "side-topic reconciliation resolved all bounded missing offsets"
+GAPS_ALLOWED = "offset gaps detected but fail_on_gaps=false"
+UNRESOLVED_ALLOWED = "unresolved offsets present but fail_on_gaps=false"
+
 SIDE_TOPIC_COUNTERS = {
     "canary_explained_count": "bigint",
     "dead_letter_explained_count": "bigint",
@@ -30,8 +49,10 @@ def check_flag(value, name: str) -> bool:
     return text == "true"
 
 
-def _text(*parts) -> Column:
-    return F.concat(*(part.cast("string") if isinstance(part, Column) else F.lit(part) for part in parts))
+def _filled(text: str) -> Column:
+    """A text with the counters of the row in place of the names in braces."""
+    parts = re.split(r"\{(\w+)\}", text)
+    return F.concat(*(F.col(part).cast("string") if i % 2 else F.lit(part) for i, part in enumerate(parts)))
 
 
 def gap_failure_reason(fail_on_gaps: bool = True) -> Column:
@@ -46,27 +67,9 @@ def gap_failure_reason(fail_on_gaps: bool = True) -> Column:
         return F.lit(None).cast("string")
     return (
         F.when(gaps == 0, F.lit(None).cast("string"))
-        .when(~side, _text("offset gaps detected: gap_partition_count=", gaps))
-        .when(
-            F.col("unresolved_count") > 0,
-            _text(
-                "unresolved offset gaps after side-topic reconciliation: raw_gap_partition_count=",
-                gaps,
-                " unresolved_count=",
-                F.col("unresolved_count"),
-            ),
-        )
-        .when(
-            F.col("missing_offsets_truncated"),
-            _text(
-                "missing offsets truncated after side-topic reconciliation: unresolved offsets may remain "
-                "beyond materialized limit; raw_gap_partition_count=",
-                gaps,
-                " bounded_missing_offset_count=",
-                F.col("bounded_missing_offset_count"),
-                " missing_offsets_truncated=true unresolved_count=0",
-            ),
-        )
+        .when(~side, _filled(RAW_GAPS))
+        .when(F.col("unresolved_count") > 0, _filled(UNRESOLVED))
+        .when(F.col("missing_offsets_truncated"), _filled(TRUNCATED))
     )
 
 
@@ -75,7 +78,7 @@ def invalid_rows_reason(fail_on_invalid_rows: bool = True) -> Column:
     invalid = F.col("invalid_row_count")
     if not fail_on_invalid_rows:
         return F.lit(None).cast("string")
-    return F.when(invalid > 0, _text("invalid metadata rows detected: invalid_row_count=", invalid))
+    return F.when(invalid > 0, _filled(INVALID_ROWS))
 
 
 def pass_message_text(fail_on_gaps: bool = True) -> Column:
@@ -88,10 +91,10 @@ def pass_message_text(fail_on_gaps: bool = True) -> Column:
     side = F.col("side_topic_enabled")
     unsettled = (F.col("unresolved_count") > 0) | F.col("missing_offsets_truncated")
     return (
-        F.when(gaps & side & unsettled, "unresolved offsets present but fail_on_gaps=false")
-        .when(gaps & side, "side-topic reconciliation resolved all bounded missing offsets")
-        .when(gaps & F.lit(not fail_on_gaps), "offset gaps detected but fail_on_gaps=false")
-        .otherwise("no gaps detected")
+        F.when(gaps & side & unsettled, UNRESOLVED_ALLOWED)
+        .when(gaps & side, ALL_RESOLVED)
+        .when(gaps & F.lit(not fail_on_gaps), GAPS_ALLOWED)
+        .otherwise(NO_GAPS)
     )
 
 

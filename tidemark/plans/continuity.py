@@ -93,7 +93,7 @@ def reconcile_side_topics(
         decoded = materialize(ld.cross_root_union(frames), "side-topic-records")
     except PySparkException as error:
         topics = [topic for _, _, topic in sides if topic]
-        raise InputError(f"Failed to read side topics {topics}: {error}") from error
+        raise InputError(f"cannot read side topics {topics}: {error}") from error
     st.require_decoded(decoded)
     records = st.side_topic_records(decoded)
     of_source = records.filter(F.col("source_topic") == side_topics.source_topic)

@@ -168,9 +168,9 @@ def _read_meta(buf, pos):
 def read_container(payload: bytes) -> list:
     """The records of a container as dicts. Any defect is a ``ValueError``."""
     if not payload:
-        raise ValueError("empty Avro object-container payload")
+        raise ValueError("payload is empty")
     if payload[:4] != MAGIC:
-        raise ValueError("Not an Avro data file.")
+        raise ValueError("not an Avro object container")
     try:
         meta, pos = _read_meta(payload, 4)
         codec = meta.get("avro.codec", b"null").decode()
@@ -190,11 +190,11 @@ def read_container(payload: bytes) -> list:
                 records.append(record)
             mark, pos = _fixed(payload, pos, 16)
             if mark != sync:
-                raise ValueError("Invalid sync!")
+                raise ValueError("sync marker mismatch")
     except (IndexError, KeyError, TypeError, AttributeError, RecursionError, UnicodeDecodeError, zlib.error) as error:
-        raise ValueError(f"undecodable Avro payload: {type(error).__name__}: {error}") from error
+        raise ValueError(f"undecodable payload: {type(error).__name__}: {error}") from error
     if not records:
-        raise ValueError("Avro object-container payload contained zero records")
+        raise ValueError("payload has zero records")
     return records
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.errors import InputError
 
+# Fixed value: the date column of the landed directories.
 DEFAULT_DATE_COLUMN = "timestampcolumn"
 LISTING_SCHEMA = "root string, path string, name string, is_dir boolean"
 STATUSES = ["eligible", "skipped_run_date", "invalid_date", "non_matching"]
@@ -50,11 +51,11 @@ def scan_roots(spark: SparkSession, roots) -> DataFrame:
             found = fs.exists(path)
             statuses = fs.listStatus(path) if found and fs.getFileStatus(path).isDirectory() else None
         except Exception as error:
-            raise InputError(f"Failed to list configured input root {root}: {error}") from error
+            raise InputError(f"cannot list input root {root}: {error}") from error
         if not found:
-            raise InputError(f"Configured input root does not exist: {root}")
+            raise InputError(f"input root does not exist: {root}")
         if statuses is None:
-            raise InputError(f"Configured input root is not a directory: {root}")
+            raise InputError(f"input root is not a directory: {root}")
         for status in statuses:
             child = status.getPath()
             children.append((root, child.toString(), child.getName(), bool(status.isDirectory())))
@@ -102,5 +103,5 @@ def require_eligible(partitions: DataFrame) -> list:
     if not paths:
         skipped = partitions.filter("status = 'skipped_run_date'").count()
         detail = f"; skipped_run_date_partition_count={skipped}" if skipped else ""
-        raise InputError("No eligible old date partition directories found" + detail)
+        raise InputError("no eligible date partition below the roots" + detail)
     return paths

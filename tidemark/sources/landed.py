@@ -18,7 +18,7 @@ def read_eligible(spark: SparkSession, paths) -> DataFrame:
     try:
         return spark.read.parquet(*paths)
     except PySparkException as error:
-        raise InputError(f"Failed to read eligible parquet data: {error}") from error
+        raise InputError(f"cannot read the eligible partitions: {error}") from error
 
 
 def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
@@ -36,7 +36,7 @@ def persist_normalized(normalized: DataFrame, path: str, overwrite: bool = True)
     try:
         normalized.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
     except PySparkException as error:
-        raise InputError(f"Failed to write normalized offsets to {path}: {error}") from error
+        raise InputError(f"cannot write normalized rows to {path}: {error}") from error
 
 
 def reload_normalized(spark: SparkSession, path: str) -> DataFrame:
@@ -50,4 +50,4 @@ def reload_normalized(spark: SparkSession, path: str) -> DataFrame:
             "source_file",
         )
     except PySparkException as error:
-        raise InputError(f"Failed to read normalized offsets from {path}: {error}") from error
+        raise InputError(f"cannot read normalized rows from {path}: {error}") from error

@@ -93,7 +93,7 @@ def read_side_topic(source, topic: str, options: dict | None = None) -> DataFram
         try:
             rows = source.read.format("kafka").options(**(options or {})).load()
         except PySparkException as error:
-            raise InputError(f"Failed to read side-topic Kafka topic={topic}: {error}") from error
+            raise InputError(f"cannot read side topic {topic}: {error}") from error
     return rows.select("topic", "partition", "offset", "value")
 
 
@@ -115,7 +115,7 @@ def _as_text(value):
 def _as_long(record, name):
     value = record[name]
     if value is None:
-        raise ValueError(f"missing Avro value {name}")
+        raise ValueError(f"no value for {name}")
     if isinstance(value, float):
         value = 0 if math.isnan(value) else int(max(-(2.0**63), min(value, 2.0**63)))
         return max(-(2**63), min(value, 2**63 - 1))
@@ -124,22 +124,22 @@ def _as_long(record, name):
     if isinstance(value, str) and not isinstance(value, Symbol):
         if re.fullmatch(r"[+-]?\d+", value) and -(2**63) <= int(value) < 2**63:
             return int(value)
-        raise ValueError(f"Avro field {name} is not numeric: {value}")
-    raise ValueError(f"Avro field {name} has unsupported numeric type {type(value).__name__}")
+        raise ValueError(f"{name} is not a number: {value}")
+    raise ValueError(f"{name} has no numeric type: {type(value).__name__}")
 
 
 def _decode_record(record, kind):
     if not isinstance(record, dict):
-        raise ValueError("Avro payload does not hold records")
+        raise ValueError("payload does not hold records")
     for name in REQUIRED_FIELDS[kind]:
         if name not in record:
-            raise ValueError(f"missing Avro field {name}")
+            raise ValueError(f"schema lacks field {name}")
     topic = _as_text(record["sourceTopic"])
     if topic is None:
-        raise ValueError("missing Avro value sourceTopic")
+        raise ValueError("no value for sourceTopic")
     partition = _as_long(record, "sourcePartition")
     if not -(2**31) <= partition < 2**31:
-        raise ValueError(f"Avro field sourcePartition is outside integer range: {partition}")
+        raise ValueError(f"sourcePartition does not fit an int: {partition}")
     diagnostics = [_as_text(record.get(name)) for name in DIAGNOSTIC_FIELDS]
     return [topic, partition, _as_long(record, "sourceOffset"), *diagnostics]
 
@@ -189,7 +189,7 @@ def require_decoded(decoded: DataFrame, shown: int = 20) -> None:
     first = errors.orderBy("kafka_topic", "kafka_offset").limit(shown).collect()
     if first:
         lines = "; ".join(f"topic={e.kafka_topic} offset={e.kafka_offset}: {e.decode_error}" for e in first)
-        raise InputError(f"Failed to decode {errors.count()} Avro side-topic payloads: {lines}")
+        raise InputError(f"{errors.count()} side-topic payloads cannot be decoded: {lines}")
 
 
 def decoded_record_count(records: DataFrame) -> DataFrame:
