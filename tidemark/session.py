@@ -21,3 +21,9 @@ def ship_package(spark: SparkSession) -> None:
         archive = str(Path(tempfile.mkdtemp(prefix="tidemark-code-")) / package.name)
         spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))
         _shipped.add(application)
+
+
+def set_checkpoint_dir(spark: SparkSession) -> None:
+    """Give a local session without a shared folder a new one; elsewhere it must be set."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-shared-"))

@@ -4,7 +4,6 @@ They are written as Parquet tables rather than cached: a written table survives
 an executor, cuts the lineage, and gives the planner a true size for its join choices.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,15 +14,12 @@ from tidemark.errors import InputError
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the folder the cluster names in ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a new temporary folder. On a cluster such a
-    folder would not be shared between machines, so there the setting is required.
+    Every session needs that setting, since a folder of one machine would not be seen by
+    the others.
     """
-    context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not context.master.startswith("local"):
-            raise InputError("spark.checkpoint.dir must name a shared folder for intermediate tables")
-        shared = tempfile.mkdtemp(prefix="tidemark-")
+        raise InputError("spark.checkpoint.dir must name a shared folder for intermediate tables")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
