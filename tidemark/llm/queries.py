@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, quality, secrets
+from tidemark.llm import bpe, near_dup, packing, quality, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,11 @@ def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens, by bin completion."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -49,5 +54,6 @@ QUERIES = {
     "op2_quality_cascade": op2_quality_cascade,
     "op4_secret_spans": op4_secret_spans,
     "op5_bpe_roundtrip": op5_bpe_roundtrip,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_pack_sequences": op7_pack_sequences,
 }
