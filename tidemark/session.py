@@ -25,5 +25,6 @@ def ship_package(spark: SparkSession) -> None:
 
 def set_checkpoint_dir(spark: SparkSession) -> None:
     """Give a local session without a shared folder a new one; elsewhere it must be set."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-shared-"))
+    context = spark.sparkContext
+    if not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()) and context.master.startswith("local["):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-shared-"))
