@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, quality, secrets
+from tidemark.llm import near_dup, packing, quality, secrets, toxicity
 from tidemark.sources.scratch import materialize
 
 
@@ -11,6 +11,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_quality(docs)
 
 
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half; the labels of ``sf_dir`` teach the score."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, toxicity.learnable(labels))
+    return toxicity.score_documents(docs, model, score="__score").filter("__score < 0.5").drop("__score")
+
+
+def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component, the one with the smallest id."""
+    gone = near_dup.near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts replaced."""
     return secrets.redact_secrets(docs)
@@ -23,6 +36,8 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("toxicity", toxicity_filter),
+    ("minhash_dedup", minhash_dedup),
     ("secret_scan", secret_scan),
     ("best_fit_packing", best_fit_packing),
 ]

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, near_dup, packing, quality, secrets
+from tidemark.llm import bpe, embedding_dup, near_dup, packing, quality, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,10 +50,26 @@ def op7_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.9."""
+    return embedding_dup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, toxicity.learnable(table(spark, sf_dir, "labels")))
+    held = F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
+    scored = toxicity.score_documents(docs, model)
+    return scored.select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op2_quality_cascade": op2_quality_cascade,
     "op4_secret_spans": op4_secret_spans,
     "op5_bpe_roundtrip": op5_bpe_roundtrip,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_pack_sequences": op7_pack_sequences,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
+    "op9_toxicity": op9_toxicity,
 }
