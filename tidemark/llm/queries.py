@@ -3,18 +3,29 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, embedding_dup, near_dup, packing, quality, secrets, toxicity
+from tidemark.llm import bpe, embedding_dup, html_text, licenses, lm, near_dup, packing, quality, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-likelihood of every document under a model of all documents."""
+    return lm.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word and repetition measures of every document, and the verdict of the rule cascade."""
     return quality.quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_main_text(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document as spans, with a digest of those the fixed patterns found."""
     found = secrets.secret_spans(table(spark, sf_dir, "documents"))
@@ -64,12 +75,20 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences and notices of every document, by digest lookup."""
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_pseudo_likelihood": op1_pseudo_likelihood,
     "op2_quality_cascade": op2_quality_cascade,
+    "op3_html_main_text": op3_html_main_text,
     "op4_secret_spans": op4_secret_spans,
     "op5_bpe_roundtrip": op5_bpe_roundtrip,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_pack_sequences": op7_pack_sequences,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_license_digests": op10_license_digests,
 }
