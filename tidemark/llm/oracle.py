@@ -1,3 +1,115 @@
 """DuckDB SQL of the queries of this subpackage that SQL can express on whole tables."""
 
-ORACLE: dict[str, str] = {}
+from tidemark.llm import licenses
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+OP2 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents
+), m AS (
+  SELECT doc_id, ws, len(ws) AS n_words,
+         coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ls
+  FROM d
+), g AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM m)
+), c AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM g WHERE n > 1) GROUP BY doc_id
+), f AS (
+  SELECT m.doc_id, n_words, word_chars, n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+         coalesce(c.n, 0) AS n_repeat_words, len(ls) AS n_lines
+  FROM m LEFT JOIN c ON m.doc_id = c.doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 50 * n_lines
+            OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
+FROM f
+"""
+
+OP6 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, ws[i : i + 4] AS sh FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM d WHERE len(ws) > 0)
+), z AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT x, y FROM p JOIN z u ON x = u.doc_id JOIN z v ON y = v.doc_id WHERE 100 * k >= 75 * (u.n + v.n - k)
+), e AS (
+  SELECT x, y FROM l UNION SELECT y, x FROM l
+), r AS (
+  SELECT x AS doc_id, x AS seen FROM e UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.seen = e.x
+), c AS (
+  SELECT doc_id, min(seen) AS low FROM r GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, coalesce(c.low, d.doc_id) AS component_id, coalesce(c.low, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN z ON d.doc_id = z.doc_id LEFT JOIN c ON d.doc_id = c.doc_id
+"""
+
+OP8 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(embedding, embedding) > 0
+), u AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v
+), e AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) >= 0.9 * a.n * b.n
+), r AS (
+  SELECT x AS vec_id, x AS seen FROM e UNION SELECT r.vec_id, e.y FROM r JOIN e ON r.seen = e.x
+), c AS (
+  SELECT vec_id, min(seen) AS low FROM r GROUP BY vec_id
+), k AS (
+  SELECT x AS vec_id, count(*) AS n FROM e GROUP BY x
+)
+SELECT t.vec_id, coalesce(k.n, 0) AS n_links, coalesce(c.low, t.vec_id)::BIGINT AS component_id, coalesce(c.low, t.vec_id) = t.vec_id AS kept
+FROM embeddings t LEFT JOIN k ON t.vec_id = k.vec_id LEFT JOIN c ON t.vec_id = c.vec_id
+"""
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _canonical(column: str) -> str:
+    words = f"replace(regexp_replace(lower({column}), {_text(licenses.COPYRIGHT_LINES)}, '', 'g'), '&', ' and ')"
+    words = f"' ' || regexp_replace({words}, {_text(licenses.NOT_WORD)}, '  ', 'g') || ' '"
+    for spelling, usual in licenses.SPELLINGS.items():
+        words = f"replace({words}, {_text(' ' + spelling.replace(' ', '  ') + ' ')}, {_text(' ' + usual + ' ')})"
+    return f"trim(regexp_replace({words}, ' +', ' ', 'g'))"
+
+
+def _op10() -> str:
+    rows = [("line", name, text) for name, texts in licenses.NOTICES.items() for text in texts]
+    rows += [("document", name, text) for name, texts in licenses.TEXTS.items() for text in texts]
+    values = ", ".join(f"({', '.join(map(_text, row))})" for row in rows)
+    return f"""
+WITH known AS (
+  SELECT unit, sha256({_canonical("t")}) AS digest, min(license) AS license FROM (VALUES {values}) AS k(unit, license, t) GROUP BY 1, 2
+), parts AS (
+  SELECT doc_id, 'document' AS unit, text AS t FROM documents
+  UNION ALL SELECT doc_id, 'line', unnest(string_split(text, chr(10))) FROM documents
+), found AS (
+  SELECT doc_id, unit, license
+  FROM (SELECT doc_id, unit, sha256({_canonical("t")}) AS digest FROM parts WHERE regexp_matches(lower(t), '{licenses.ANCHOR}')) JOIN known USING (unit, digest)
+), hits AS (
+  SELECT doc_id, min(license) FILTER (unit = 'document') AS license, count(*) FILTER (unit = 'line') AS n_notices,
+         string_agg(DISTINCT license, ',' ORDER BY license) FILTER (unit = 'line') AS notices
+  FROM found GROUP BY doc_id
+)
+SELECT d.doc_id, license, coalesce(n_notices, 0) AS n_notices, coalesce(notices, '') AS notices FROM documents d LEFT JOIN hits h ON d.doc_id = h.doc_id
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op2_quality_cascade": OP2,
+    "op6_minhash_near_dedup": OP6,
+    "op8_embedding_near_dedup": OP8,
+    "op10_license_digests": _op10(),
+}
