@@ -129,9 +129,16 @@ def candidate_groups(sets: DataFrame, number: int) -> DataFrame:
     )
     keys = sides.select("node", F.explode("us").alias("u"), "vs").select("node", "u", F.explode("vs").alias("v"))
     keys = materialize(keys.select("node", F.xxhash64("u.slot", "v.slot", "u.sketch", "v.sketch").alias("key")), "table-keys")
-    heads = keys.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    edges = keys.join(heads, "key").filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    return connected(edges)
+    heads = keys.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    keys = keys.join(heads.select("key"), "key", "left_semi")
+    # two rounds of smallest labels first: members of a large group then share few labels,
+    # so its many tables give few different edges
+    label = materialize(keys.join(heads, "key").groupBy("node").agg(F.min("low").alias("label")), "first-labels")
+    labelled = keys.join(label, "node").select("key", "label").distinct()
+    low = labelled.groupBy("key").agg(F.min("label").alias("low"))
+    edges = labelled.join(low, "key").select(F.col("low").alias("a"), F.col("label").alias("b"))
+    own = label.select(F.col("label").alias("a"), F.col("node").alias("b"))
+    return connected(edges.union(own).filter("a <> b").distinct())
 
 
 def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
