@@ -258,6 +258,8 @@ def confirmed_links(members: DataFrame, percent: int = PERCENT, block: int = BLO
         links = block_links(sets, None, percent) if first == second else block_links(sets[:cut], sets[cut:], percent)
         return pd.DataFrame({"a": nodes[[x for x, _ in links]], "b": nodes[[y for _, y in links]]})
 
+    # dealt by block pair: the joins before have dealt by component, which one task would keep
+    placed = placed.repartition("component", "a", "b")
     found = placed.groupBy("component", "a", "b").applyInPandas(compare, f"a {node_type}, b {node_type}")
     return found.unionByName(to_pivot)
 
