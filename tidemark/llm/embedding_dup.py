@@ -67,50 +67,70 @@ def pick_pivots(sample: np.ndarray, number: int) -> np.ndarray:
     return sample[chosen]
 
 
+def cover(units: np.ndarray, radius: float) -> np.ndarray:
+    """For each row the centre that covers it: the first row within ``radius`` that is a centre.
+
+    Centres are further apart than ``radius``.
+    """
+    single = units.astype(np.float32)
+    near = single @ single.T >= np.float32(1 - radius * radius / 2)
+    np.fill_diagonal(near, True)
+    centre, free = np.arange(len(units)), np.ones(len(units), bool)
+    for row in np.nonzero(near.sum(axis=1) > 1)[0]:
+        if free[row]:
+            inside = near[row] & free
+            centre[inside], free[inside] = row, False
+    return centre
+
+
+def cover_paths(units: np.ndarray, levels=LEVELS) -> np.ndarray:
+    """For each row its centre on each level; the rows of a node are covered anew on the next."""
+    paths = np.zeros((len(units), len(levels)), np.int32)
+    groups = [np.arange(len(units))]
+    for level, radius in enumerate(levels):
+        below = []
+        for rows in groups:
+            centre = rows[cover(units[rows], radius)]
+            paths[rows, level] = centre
+            order = rows[np.argsort(centre, kind="stable")]
+            parts = np.split(order, np.nonzero(np.diff(np.sort(centre)))[0] + 1)
+            below += [part for part in parts if len(part) > 1]
+        alone = np.ones(len(units), bool)
+        for rows in below:
+            alone[rows] = False
+        paths[alone, level + 1 :] = np.nonzero(alone)[0][:, None]
+        groups = below
+    return paths
+
+
 class CoverTree:
-    """Nested levels over unit vectors; a node of a level is the row at its centre."""
+    """Nested levels over unit vectors; a node of a level is the row at its centre.
 
-    def __init__(self, units: np.ndarray, levels=LEVELS):
+    ``paths`` are those of ``cover_paths``, with centres as numbers of rows. The last level
+    holds the rows themselves.
+    """
+
+    def __init__(self, units: np.ndarray, paths: np.ndarray):
         self.units = units
-        #: per level: centre row, covering radius, first child on the next level, rows below
-        self.centres, self.radii, self.children, self.members = [], [], [], []
-        groups = [np.arange(len(units))]
-        for radius in levels:
-            centres, below, starts = [], [], [0]
-            for rows in groups:
-                for centre, covered in self._cover(rows, radius):
-                    centres.append(centre)
-                    below.append(covered)
-                starts.append(len(centres))
-            self._level(centres, below)
-            if self.children is not None and len(self.centres) > 1:
-                self.children.append(np.array(starts))
-            groups = below
-        # the last level opens into the rows themselves
-        self.children.append(np.cumsum([0, *map(len, groups)]))
-        rows = np.concatenate(groups) if groups else np.zeros(0, int)
-        self._level(rows, [np.array([row]) for row in rows])
-
-    def _level(self, centres, below):
-        centres = np.array(centres, dtype=np.int64)
-        radii = [0.0 if len(rows) == 1 else self._distance(self.units[rows], self.units[c]).max() for c, rows in zip(centres, below, strict=True)]
-        self.centres.append(centres)
-        self.radii.append(np.array(radii))
-        self.members.append(below)
-
-    def _cover(self, rows: np.ndarray, radius: float):
-        while len(rows):
-            if len(rows) == 1:
-                yield rows[0], rows
-                return
-            inside = self._distance(self.units[rows], self.units[rows[0]]) <= radius
-            inside[0] = True
-            yield rows[0], rows[inside]
-            rows = rows[~inside]
-
-    @staticmethod
-    def _distance(units: np.ndarray, centre: np.ndarray) -> np.ndarray:
-        return np.sqrt(np.maximum(0, 2 - 2 * (units @ centre)))
+        paths = np.column_stack([paths, np.arange(len(units))])
+        order = np.lexsort(paths.T[::-1])
+        #: per level: centre row, covering radius, rows below, and the first child on the next level
+        self.centres, self.radii, self.members, self.children = [], [], [], []
+        starts = []
+        for level in range(paths.shape[1]):
+            centre = paths[order, level]
+            first = np.concatenate([[0], np.nonzero(np.diff(centre))[0] + 1]) if len(order) else np.zeros(0, np.int64)
+            starts.append(first)
+            rows = np.split(order, first[1:])
+            self.centres.append(centre[first].astype(np.int64))
+            self.members.append(rows)
+            radii = np.zeros(len(first))
+            for node in np.nonzero(np.diff(np.append(first, len(order))) > 1)[0]:
+                cos = units[rows[node]] @ units[centre[first[node]]]
+                radii[node] = np.sqrt(np.maximum(0, 2 - 2 * cos)).max()
+            self.radii.append(radii)
+        for upper, lower in zip(starts, starts[1:]):  # noqa: B905
+            self.children.append(np.searchsorted(lower, np.append(upper, len(order))))
 
 
 class Links:
@@ -167,13 +187,18 @@ def dual_traversal(left: CoverTree, right: CoverTree, cosine: float, links: Link
     near, far = [], []
     x = left.units[left.centres[0]].astype(np.float32)
     y = right.units[right.centres[0]].astype(np.float32)
-    reach = limit + left.radii[0] + (right.radii[0].max() if len(y) else 0)
-    for i in range(0, len(x), TILE):
-        for j in range(i if same else 0, len(y), TILE):
-            least = (1 - reach[i : i + TILE] ** 2 / 2 - SLACK).astype(np.float32)
-            p, q = np.nonzero(x[i : i + TILE] @ y[j : j + TILE].T >= least[:, None])
-            near.append(p + i)
-            far.append(q + j)
+    # nodes of a single row have no radius to allow for, so they are compared apart from the others
+    for own in (np.nonzero(left.radii[0] == 0)[0], np.nonzero(left.radii[0])[0]):
+        for other in (np.nonzero(right.radii[0] == 0)[0], np.nonzero(right.radii[0])[0]):
+            for i in range(0, len(own), TILE):
+                for j in range(0, len(other), TILE):
+                    rows, columns = own[i : i + TILE], other[j : j + TILE]
+                    reach = np.float32(limit)
+                    if left.radii[0][rows[0]] or right.radii[0][columns[0]]:
+                        reach = reach + np.add.outer(left.radii[0][rows], right.radii[0][columns]).astype(np.float32)
+                    p, q = np.nonzero(x[rows] @ y[columns].T >= 1 - reach * reach / 2 - SLACK)
+                    near.append(rows[p])
+                    far.append(columns[q])
     p, q = np.concatenate(near or [np.zeros(0, int)]), np.concatenate(far or [np.zeros(0, int)])
     if same:
         p, q = p[p <= q], q[p <= q]
@@ -279,32 +304,41 @@ def near_duplicate_vectors(
 def _compared(vectors, vec_id, placed, first, parts, meets, cosine):
     id_type = placed.schema["vec_id"].dataType.simpleString()
 
-    def factory():
-        def work(ids, widths, rows, cells, places):
-            out = []
-            for key, width, row, cell, place in zip(ids, widths, rows, cells, places, strict=True):
-                mine = first[width, cell] + place % parts[width, cell]
-                for start, count in meets[width, cell]:
-                    out += [(min(mine, other), max(mine, other), mine, key, row) for other in range(start, start + count)]
-            return list(zip(*out, strict=True)) if out else [[]] * 5
+    def number():
+        def work(ids, rows, widths, cells, places):
+            keys = list(zip(widths, cells, strict=True))
+            mine = [first[key] + place % parts[key] for key, place in zip(keys, places, strict=True)]
+            return ids, rows, mine, [[start + i for start, count in meets[key] for i in range(count)] for key in keys]
 
         return work
 
-    columns = placed.select("vec_id", "width", "unit", "cell", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)))
-    spread = arrow_map(columns, f"a int, b int, mine int, vec_id {id_type}, unit binary", factory, rows=256)
+    def plant(part: pd.DataFrame) -> pd.DataFrame:
+        units = np.array([np.frombuffer(row) for row in part["unit"]])
+        part["place"] = np.arange(len(part), dtype=np.int32)
+        part["path"] = list(cover_paths(units))
+        return part
+
+    columns = placed.select("vec_id", "unit", "width", "cell", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)))
+    block = f"vec_id {id_type}, unit binary, mine int, others array<int>"
+    trees = arrow_map(columns, block, number, rows=256).groupBy("mine").applyInPandas(plant, f"{block}, place int, path array<int>")
+    trees = materialize(trees, "cover-trees")
+    spread = trees.withColumn("other", F.explode("others")).select(
+        F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "mine", "place", "vec_id", "unit", "path"
+    )
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         a, b = int(part["a"].iloc[0]), int(part["b"].iloc[0])
-        part = part.sort_values(["mine", "vec_id"], kind="stable")
+        part = part.sort_values(["mine", "place"], kind="stable")
         units = np.array([np.frombuffer(row) for row in part["unit"]])
+        paths = np.array(part["path"].tolist()).reshape(len(part), -1)
         ids = part["vec_id"].to_numpy()
         cut = int((part["mine"] == a).sum())
         links = Links(len(ids))
         if a == b:
-            tree = CoverTree(units)
+            tree = CoverTree(units, paths)
             dual_traversal(tree, tree, cosine, links, 0)
-        elif cut and cut < len(ids):
-            dual_traversal(CoverTree(units[:cut]), CoverTree(units[cut:]), cosine, links, cut)
+        elif cut < len(ids):
+            dual_traversal(CoverTree(units[:cut], paths[:cut]), CoverTree(units[cut:], paths[cut:]), cosine, links, cut)
         linked = np.nonzero(links.counts)[0]
         return pd.DataFrame({"vec_id": ids[linked], "links": links.counts[linked], "other": ids[links.labels()[linked]]})
 
