@@ -19,7 +19,6 @@ CANARY_TOPIC = "events-canary"
 DEAD_LETTER_TOPIC = "events-dlq"
 METADATA = md.DEFAULT_METADATA_COLUMN
 RUN_DATE = "2024-01-30"
-LIMIT = 100
 
 IS_CANARY = "event_type = 'signup' AND user_id % 10 = 0"
 IS_DEAD_LETTER = "event_type = 'error' AND user_id % 10 = 1"
@@ -117,8 +116,13 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return md.normalize_offsets(parsed(spark, sf_dir))
 
 
-def missing(spark: SparkSession, sf_dir: str, limit: int = LIMIT) -> DataFrame:
-    return sq.missing_offsets(normalized(spark, sf_dir), limit)
+def words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed ledger as a stored table, for queries that read it more than once."""
+    return materialize(sq.pack_sequences(normalized(spark, sf_dir)), "ledger")
+
+
+def missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sq.missing_offsets(normalized(spark, sf_dir))
 
 
 _written: dict = {}

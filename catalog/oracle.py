@@ -5,7 +5,7 @@ range of each key and removing what is there, order from window functions over w
 and JSON from DuckDB's own functions.
 """
 
-LIMIT = 100
+LISTING_LIMIT = 1000
 RUN_DATE = "2024-01-30"
 
 
@@ -111,7 +111,7 @@ dead_letter AS (
     WHERE to_dead_letter AND (copies.copy = 0 OR event_id % 7 = 0)),
 keys AS (
     SELECT 'events' AS source_topic, partition AS source_partition, missing_offset AS source_offset
-    FROM holes WHERE nth <= {LIMIT}),
+    FROM holes),
 classified AS (
     SELECT *, NOT in_canary AND NOT in_dead_letter AS unresolved FROM (
         SELECT k.*,
@@ -126,7 +126,10 @@ matched AS (
     WHERE EXISTS (SELECT 1 FROM keys k WHERE k.source_partition = d.source_partition
                   AND k.source_offset = d.source_offset)),
 summary AS (
-    SELECT (SELECT count(*) FROM classified) AS bounded_missing_offset_count,
+    SELECT 'events' AS source_topic,
+           (SELECT count(*) FROM classified) AS total_missing_offset_count,
+           (SELECT count(*) FROM classified) AS bounded_missing_offset_count,
+           (SELECT count(*) FROM classified WHERE unresolved) AS bounded_unresolved_count,
            (SELECT count(*) FROM classified WHERE in_canary) AS canary_explained_count,
            (SELECT count(*) FROM classified WHERE in_dead_letter) AS dead_letter_explained_count,
            (SELECT count(*) FROM classified WHERE unresolved) AS unresolved_count,
@@ -136,17 +139,12 @@ summary AS (
            (SELECT count(*) FROM canary) AS canary_record_count,
            (SELECT count(*) FROM dead_letter) AS dead_letter_record_count,
            (SELECT count(*) FROM stats WHERE has_gaps) AS raw_gap_partition_count,
-           (SELECT coalesce(bool_or(missing_offset_count > {LIMIT}), false) FROM stats) AS missing_offsets_truncated),
+           false AS missing_offsets_truncated),
 gap_reason AS (
     SELECT CASE WHEN raw_gap_partition_count = 0 THEN NULL
                 WHEN unresolved_count > 0 THEN
                     'unresolved offset gaps after side-topic reconciliation: raw_gap_partition_count='
                     || raw_gap_partition_count || ' unresolved_count=' || unresolved_count
-                WHEN missing_offsets_truncated THEN
-                    'missing offsets truncated after side-topic reconciliation: unresolved offsets may remain '
-                    || 'beyond materialized limit; raw_gap_partition_count=' || raw_gap_partition_count
-                    || ' bounded_missing_offset_count=' || bounded_missing_offset_count
-                    || ' missing_offsets_truncated=true unresolved_count=0'
            END AS gap_reason FROM summary),
 invalid_reason AS (
     SELECT CASE WHEN invalid_row_count > 0
@@ -154,15 +152,14 @@ invalid_reason AS (
     FROM quality),
 message AS (
     SELECT CASE WHEN raw_gap_partition_count = 0 THEN 'no gaps detected'
-                WHEN unresolved_count > 0 OR missing_offsets_truncated
-                THEN 'unresolved offsets present but fail_on_gaps=false'
+                WHEN unresolved_count > 0 THEN 'unresolved offsets present but fail_on_gaps=false'
                 ELSE 'side-topic reconciliation resolved all bounded missing offsets' END AS pass_message FROM summary),
 verdict AS (
     SELECT CAST(gap_reason IS NOT NULL OR invalid_reason IS NOT NULL AS INTEGER) AS code,
            coalesce(invalid_reason || '; ' || gap_reason, invalid_reason, gap_reason, pass_message) AS reason,
            true AS fail_on_gaps, invalid_row_count, raw_gap_partition_count, true AS side_topic_enabled,
-           canary_explained_count, dead_letter_explained_count, unresolved_count, bounded_missing_offset_count,
-           missing_offsets_truncated
+           canary_explained_count, dead_letter_explained_count, unresolved_count, total_missing_offset_count,
+           bounded_unresolved_count, bounded_missing_offset_count, missing_offsets_truncated
     FROM gap_reason, invalid_reason, message, quality, summary)
 """
 
@@ -173,6 +170,66 @@ OLD_LEDGER = _ledger(f"CAST(ts AS DATE) <> DATE '{RUN_DATE}'")
 KEY = "source_topic, source_partition, source_offset"
 RECORD = f"kind, side_topic, {KEY}, failure_event_id, reason_msg, exception"
 
+BUCKETS = """
+(SELECT bucket, source_topic, side_topic, source_partition AS partition, source_offset AS "offset"
+ FROM (SELECT 'canary_explained' AS bucket, 'events-canary' AS side_topic, * FROM classified WHERE in_canary
+       UNION ALL SELECT 'dead_letter_explained', 'events-dlq', * FROM classified WHERE in_dead_letter
+       UNION ALL SELECT 'unresolved', NULL, * FROM classified WHERE unresolved))
+"""
+
+
+def _branch(landed: str, side: bool, fail_on_gaps: bool = True) -> str:
+    """The verdict row on the events for which ``landed`` holds, all without defects."""
+    counters = """
+        (SELECT count(*) FROM missed WHERE to_canary) AS canary_explained_count,
+        (SELECT count(*) FROM missed WHERE to_dead_letter) AS dead_letter_explained_count,
+        (SELECT count(*) FROM missed WHERE NOT to_canary AND NOT to_dead_letter) AS unresolved_count,
+        (SELECT count(*) FROM missed) AS total_missing_offset_count,
+        (SELECT count(*) FROM missed WHERE NOT to_canary AND NOT to_dead_letter) AS bounded_unresolved_count,
+        (SELECT count(*) FROM missed) AS bounded_missing_offset_count, false AS missing_offsets_truncated
+    """
+    if not side:
+        names = ["canary_explained", "dead_letter_explained", "unresolved", "total_missing_offset", "bounded_unresolved", "bounded_missing_offset"]
+        counters = ", ".join(f"CAST(NULL AS BIGINT) AS {name}_count" for name in names)
+        counters += ", CAST(NULL AS BOOLEAN) AS missing_offsets_truncated"
+    return f"""
+WITH ev AS (
+    SELECT CAST(event_id % 4 AS INTEGER) AS p, event_id // 4 AS o,
+           event_type = 'signup' AND user_id % 10 = 0 AS to_canary,
+           event_type = 'error' AND user_id % 10 = 1 AS to_dead_letter,
+           event_id % 1000 BETWEEN 400 AND 439 AS lost
+    FROM events),
+ends AS (SELECT p, min(o) AS low, max(o) AS high FROM ev WHERE {landed} GROUP BY p),
+missed AS (SELECT ev.* FROM ev JOIN ends USING (p) WHERE NOT ({landed}) AND o BETWEEN low AND high),
+facts AS (
+    SELECT 0::BIGINT AS invalid_row_count, (SELECT count(DISTINCT p) FROM missed) AS raw_gap_partition_count,
+           {str(side).lower()} AS side_topic_enabled, {counters})
+SELECT CASE WHEN raw_gap_partition_count = 0 OR NOT {fail_on_gaps} THEN 0 WHEN NOT side_topic_enabled THEN 1
+            WHEN unresolved_count > 0 THEN 1 ELSE 0 END AS code,
+       CASE WHEN raw_gap_partition_count = 0 THEN 'no gaps detected'
+            WHEN NOT side_topic_enabled AND {fail_on_gaps} THEN
+                'offset gaps detected: gap_partition_count=' || raw_gap_partition_count
+            WHEN NOT side_topic_enabled THEN 'offset gaps detected but fail_on_gaps=false'
+            WHEN unresolved_count > 0 THEN
+                'unresolved offset gaps after side-topic reconciliation: raw_gap_partition_count='
+                || raw_gap_partition_count || ' unresolved_count=' || unresolved_count
+            ELSE 'side-topic reconciliation resolved all bounded missing offsets' END AS reason,
+       {fail_on_gaps} AS fail_on_gaps, *
+FROM facts
+"""
+
+
+TRUNCATED = """
+SELECT 1 AS code,
+       'missing offsets truncated after side-topic reconciliation: unresolved offsets may remain beyond materialized limit'
+       || '; raw_gap_partition_count=' || raw_gap_partition_count || ' bounded_missing_offset_count=0'
+       || ' missing_offsets_truncated=true unresolved_count=' || unresolved_count AS reason,
+       true AS fail_on_gaps, invalid_row_count, raw_gap_partition_count, true AS side_topic_enabled,
+       canary_explained_count, dead_letter_explained_count, unresolved_count, total_missing_offset_count,
+       CAST(0 AS BIGINT) AS bounded_unresolved_count, CAST(0 AS BIGINT) AS bounded_missing_offset_count, true AS missing_offsets_truncated
+FROM quality, summary
+"""
+
 LISTING = """
 WITH named AS (
     SELECT '/lake/root_' || (o_orderkey % 2) AS root, strftime(o_orderdate, '%Y-%m-%d') AS d, o_orderkey
@@ -219,18 +276,21 @@ ORACLE = {
     "prior_missing": LINES
     + """SELECT *, CAST(coalesce(sum(gap_size) OVER (PARTITION BY partition ORDER BY gap_start
                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS prior_missing_count FROM gaps""",
-    "missing_offsets": LINES + "SELECT partition, missing_offset FROM holes WHERE nth <= 1000",
+    "missing_offsets": LINES + "SELECT partition, missing_offset FROM holes",
+    "missing_offsets_limited": LINES + f"SELECT partition, missing_offset FROM holes WHERE nth <= {LISTING_LIMIT}",
+    "ordered_missing": LINES + "SELECT partition, missing_offset FROM holes ORDER BY partition, missing_offset",
+    "gap_report": LINES + "SELECT * FROM stats LEFT JOIN gaps USING (partition)",
     "missing_offsets_zero": LINES
     + """SELECT partition, CAST(0 AS BIGINT) AS listed, missing_offset_count > 0 AS missing_offsets_truncated
          FROM stats""",
     "truncation_flag": LINES
-    + """SELECT partition, missing_offset_count, missing_offset_count > 1000 AS truncated
+    + f"""SELECT partition, missing_offset_count, missing_offset_count > {LISTING_LIMIT} AS truncated
          FROM stats WHERE has_gaps""",
     "stats_with_report": LINES
     + f"""SELECT stats.*, coalesce(listed, '[]') AS missing_offsets, CAST(5 AS BIGINT) AS missing_offsets_limit,
                  missing_offset_count > 5 AS missing_offsets_truncated
           FROM stats LEFT JOIN {_listed(5)} USING (partition)""",
-    "format_offsets": LINES + f"SELECT partition, listed AS offsets FROM {_listed(20)}",
+    "format_offsets": LINES + "SELECT partition, '[' || gap_start || ',' || gap_end || ']' AS offsets FROM gaps",
     "ordered_output": LINES
     + f"""SELECT partition, missing_offset_count, coalesce(listed, '[]') AS missing_offsets
           FROM stats LEFT JOIN {_listed(5)} USING (partition) ORDER BY partition""",
@@ -267,24 +327,32 @@ ORACLE = {
     "dead_letter_fields": LEDGER
     + """SELECT count(failure_event_id) AS failure_event_id_count, count(reason_msg) AS reason_msg_count,
                 count(exception) AS exception_count FROM matched""",
-    "bucket_offsets": LEDGER
-    + """SELECT bucket, source_partition AS partition, count(*) AS offset_count,
-                '[' || string_agg(CAST(source_offset AS VARCHAR), ',' ORDER BY source_offset) || ']' AS offsets
-         FROM (SELECT 'canary_explained' AS bucket, * FROM classified WHERE in_canary
-               UNION ALL SELECT 'dead_letter_explained', * FROM classified WHERE in_dead_letter
-               UNION ALL SELECT 'unresolved', * FROM classified WHERE unresolved)
-         GROUP BY bucket, source_partition""",
+    "bucket_offsets": LEDGER + f"SELECT * FROM {BUCKETS}",
+    "ordered_buckets": LEDGER + f'SELECT * FROM {BUCKETS} ORDER BY partition, "offset", bucket',
+    "bucket_counts": LEDGER
+    + f"""SELECT bucket, source_topic, side_topic, partition, count(*) AS offset_count FROM {BUCKETS} GROUP BY ALL""",
     "reconciliation_summary": LEDGER + "SELECT * FROM summary",
     "reconcile_side_topics": LEDGER + "SELECT * FROM summary",
     "gap_verdict": LEDGER + "SELECT gap_reason IS NOT NULL AS failed, gap_reason AS reason FROM gap_reason",
     "invalid_rows_verdict": LEDGER
     + "SELECT invalid_reason IS NOT NULL AS failed, invalid_reason AS reason FROM invalid_reason",
     "final_verdict": LEDGER + "SELECT * FROM verdict",
+    "final_verdict_resolved": _branch("NOT to_canary AND NOT to_dead_letter", True),
+    "final_verdict_gaps_only": _branch("NOT lost", False),
+    "final_verdict_gaps_allowed": _branch("NOT lost", False, fail_on_gaps=False),
+    "final_verdict_clean": _branch("true", True),
+    "final_verdict_truncated": LEDGER + TRUNCATED,
     "pass_message": LEDGER + "SELECT pass_message FROM message",
     "check_continuity": OLD_LEDGER + "SELECT * FROM verdict",
     "classify_partitions": LISTING + "SELECT root, path, name, is_dir, status, partition_date FROM partitions",
     "eligible_paths": LISTING + "SELECT DISTINCT path FROM partitions WHERE status = 'eligible'",
-    "scan_summary": LISTING + "SELECT root, status, count(*) AS path_count FROM partitions GROUP BY root, status",
+    "ordered_eligible": LISTING
+    + "SELECT DISTINCT partition_date, path FROM partitions WHERE status = 'eligible' ORDER BY partition_date, path",
+    "scan_summary": LISTING
+    + """SELECT r.root, s.status, count(p.path) AS path_count
+         FROM (SELECT DISTINCT root FROM partitions UNION SELECT '/lake/root_2') r,
+              (VALUES ('eligible'), ('skipped_run_date'), ('invalid_date'), ('non_matching')) AS s(status)
+         LEFT JOIN partitions p ON p.root = r.root AND p.status = s.status GROUP BY r.root, s.status""",
     "scan_roots": LEDGER
     + """SELECT DISTINCT CASE event_id % 2 WHEN 0 THEN 'root_a' ELSE 'root_b' END AS root,
                 'timestampcolumn=' || CAST(CAST(ts AS DATE) AS VARCHAR) AS name, true AS is_dir FROM landed
@@ -295,11 +363,18 @@ ORACLE = {
                 || CAST(CAST(ts AS DATE) AS VARCHAR) AS directory, count(*) AS rows
          FROM fields GROUP BY 1""",
     "cross_root_union": OLD_LEDGER + "SELECT * FROM stats",
-    "persist_normalized": OLD_LEDGER + "SELECT * FROM good",
+    "persist_normalized": OLD_LEDGER
+    + """SELECT pv AS partition, ov AS "offset", m AS metadata_json,
+                CASE event_id % 2 WHEN 0 THEN 'root_a' ELSE 'root_b' END || '/timestampcolumn='
+                || CAST(CAST(ts AS DATE) AS VARCHAR) AS source_file
+         FROM judged WHERE valid""",
     "reload_normalized": OLD_LEDGER + "SELECT * FROM stats",
     "publish_side_topic": LEDGER
     + """SELECT side_topic AS topic, CAST(event_id AS VARCHAR) AS key, event_id % 3 AS partition,
                 event_id * 2 + copy AS "offset", '4F626A01' AS magic FROM dead_letter""",
+    "publish_canary": LEDGER
+    + """SELECT side_topic AS topic, CAST(event_id AS VARCHAR) AS key, event_id % 3 AS partition,
+                event_id * 2 AS "offset", '4F626A01' AS magic FROM canary""",
     "read_side_topic": LEDGER
     + 'SELECT side_topic AS topic, event_id % 3 AS partition, event_id * 2 AS "offset" FROM canary',
     "decode_side_topic": LEDGER
@@ -309,7 +384,8 @@ ORACLE = {
     "decoded_record_count": LEDGER
     + """SELECT side_topic, kind, count(*) AS decoded_record_count
          FROM (SELECT side_topic, kind FROM canary UNION ALL SELECT side_topic, kind FROM dead_letter)
-         GROUP BY side_topic, kind""",
+         GROUP BY side_topic, kind
+         UNION ALL SELECT 'events-empty', 'canary', 0""",
     "synth_ledger": """
         SELECT CASE WHEN event_id % 53 = 0 THEN '{bad-json'
                     ELSE '{"partition":' || (event_id % 3) || ',"offset":' || (event_id // 3) || '}'

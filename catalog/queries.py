@@ -17,6 +17,8 @@ from tidemark.sources import side_topic as st
 from tidemark.sources import synth
 from tidemark.sources.scratch import materialize, scratch_path
 
+#: Limits of the queries whose feature is a limit.
+LISTING_LIMIT = 1000
 REPORT_LIMIT = 5
 ODD_COLUMN = "meta`data"
 
@@ -82,11 +84,24 @@ def missing_offsets(spark, sf_dir) -> DataFrame:
     return sq.missing_offsets(lg.lines(spark, sf_dir))
 
 
+@query("missing_offsets_limited")
+def missing_offsets_limited(spark, sf_dir) -> DataFrame:
+    return sq.missing_offsets(lg.lines(spark, sf_dir), LISTING_LIMIT)
+
+
+@query("ordered_missing")
+def ordered_missing(spark, sf_dir) -> DataFrame:
+    return sq.ordered_missing(missing_offsets(spark, sf_dir))
+
+
+def _line_words(spark, sf_dir) -> DataFrame:
+    return materialize(sq.pack_sequences(lg.lines(spark, sf_dir)), "lines")
+
+
 @query("missing_offsets_zero")
 def missing_offsets_zero(spark, sf_dir) -> DataFrame:
     """With limit 0 nothing is listed and every key with gaps is truncated."""
-    rows = lg.lines(spark, sf_dir)
-    report = sq.stats_with_report(sq.partition_gap_stats(rows), sq.missing_offsets(rows, 0), 0)
+    report = sq.packed_report(_line_words(spark, sf_dir), 0)
     return report.select(
         "partition", F.size("missing_offsets").cast("bigint").alias("listed"), "missing_offsets_truncated"
     )
@@ -94,13 +109,17 @@ def missing_offsets_zero(spark, sf_dir) -> DataFrame:
 
 @query("truncation_flag")
 def truncation_flag(spark, sf_dir) -> DataFrame:
-    return sq.truncation_flag(sq.partition_gap_stats(lg.lines(spark, sf_dir)), sq.DEFAULT_MISSING_LIMIT)
+    return sq.truncation_flag(sq.partition_gap_stats(lg.lines(spark, sf_dir)), LISTING_LIMIT)
+
+
+@query("gap_report")
+def gap_report(spark, sf_dir) -> DataFrame:
+    """All missing offsets, one row per run."""
+    return sq.gap_report(_line_words(spark, sf_dir))
 
 
 def _report(spark, sf_dir) -> DataFrame:
-    rows = lg.lines(spark, sf_dir)
-    missing = sq.missing_offsets(rows, REPORT_LIMIT)
-    return sq.stats_with_report(sq.partition_gap_stats(rows), missing, REPORT_LIMIT)
+    return sq.packed_report(_line_words(spark, sf_dir), REPORT_LIMIT)
 
 
 @query("stats_with_report")
@@ -110,8 +129,9 @@ def stats_with_report(spark, sf_dir) -> DataFrame:
 
 @query("format_offsets")
 def format_offsets_text(spark, sf_dir) -> DataFrame:
-    listed = sq.missing_offsets(lg.lines(spark, sf_dir), 20).groupBy("partition")
-    return listed.agg(format_offsets(F.array_sort(F.collect_list("missing_offset"))).alias("offsets"))
+    """Every run of missing offsets as text of its two ends."""
+    gaps = sq.gap_intervals(lg.lines(spark, sf_dir))
+    return gaps.select("partition", format_offsets(F.array("gap_start", "gap_end")).alias("offsets"))
 
 
 @query("ordered_output")
@@ -232,14 +252,35 @@ def dead_letter_fields(spark, sf_dir) -> DataFrame:
 
 @query("bucket_offsets")
 def bucket_offsets(spark, sf_dir) -> DataFrame:
-    return rc.bucket_offsets(classify_missing(spark, sf_dir))
+    return rc.bucket_offsets(classify_missing(spark, sf_dir), lg.CANARY_TOPIC, lg.DEAD_LETTER_TOPIC)
 
 
-def _summary(spark, sf_dir) -> DataFrame:
+@query("bucket_counts")
+def bucket_counts(spark, sf_dir) -> DataFrame:
+    return rc.bucket_counts(bucket_offsets(spark, sf_dir))
+
+
+@query("ordered_buckets")
+def ordered_buckets(spark, sf_dir) -> DataFrame:
+    return rc.ordered_buckets(bucket_offsets(spark, sf_dir))
+
+
+def _summary_of(words, records, limit=None) -> DataFrame:
+    stats = materialize(sq.packed_gap_stats(words), "gap-stats")
+    listed = None
+    if limit is not None:
+        keys = rc.missing_keys(sq.packed_missing_offsets(words, limit), lg.SOURCE_TOPIC)
+        listed = rc.explain_keys(keys, records)
+    return rc.reconciliation_summary(words, stats, records, lg.SOURCE_TOPIC, limit, listed)
+
+
+def _both(spark, sf_dir) -> DataFrame:
     canary, dead_letter = _sides(spark, sf_dir)
-    both = canary.unionByName(dead_letter)
-    stats = sq.partition_gap_stats(lg.normalized(spark, sf_dir))
-    return rc.reconciliation_summary(rc.explain_keys(_keys(spark, sf_dir), both), both, stats, lg.LIMIT)
+    return canary.unionByName(dead_letter)
+
+
+def _summary(spark, sf_dir) -> DataFrame:
+    return _summary_of(lg.words(spark, sf_dir), _both(spark, sf_dir))
 
 
 @query("reconciliation_summary")
@@ -250,18 +291,52 @@ def reconciliation_summary(spark, sf_dir) -> DataFrame:
 @query("reconcile_side_topics")
 def reconcile_side_topics(spark, sf_dir) -> DataFrame:
     """Published, stored, read back, decoded and classified."""
-    words = materialize(sq.pack_sequences(lg.normalized(spark, sf_dir)), "ledger")
-    missing = sq.packed_missing_offsets(words, lg.LIMIT)
-    stats = sq.packed_gap_stats(words)
-    return run_reconcile(missing, stats, lg.LIMIT, lg.side_topics(spark, sf_dir)).summary
+    words = lg.words(spark, sf_dir)
+    return run_reconcile(words, sq.packed_gap_stats(words), lg.side_topics(spark, sf_dir)).summary
 
 
 # -- verdicts -----------------------------------------------------------------------------------
 
 
-def _facts(spark, sf_dir) -> DataFrame:
-    quality = md.metadata_quality(lg.parsed(spark, sf_dir)).select("invalid_row_count")
-    return vd.verdict_facts(quality, _summary(spark, sf_dir), side_topic_enabled=True)
+def _facts(spark, sf_dir, limit=None) -> DataFrame:
+    """Profile and summary from one scan and one parse."""
+    ledger = materialize(md.pack_ledger(lg.parsed(spark, sf_dir)), "ledger")
+    quality = md.ledger_quality(ledger).select("invalid_row_count")
+    summary = _summary_of(md.ledger_words(ledger), _both(spark, sf_dir), limit)
+    return vd.verdict_facts(quality, summary, side_topic_enabled=True)
+
+
+#: Offsets that are there although their events went to a side topic or were lost.
+BRANCHES = {
+    "resolved": (f"NOT ({lg.IS_CANARY}) AND NOT ({lg.IS_DEAD_LETTER})", True),
+    "gaps_only": (f"NOT ({lg.IS_LOST})", False),
+    "clean": ("true", True),
+}
+
+
+def _register_branches():
+    """The other outcomes of a verdict, on sequences of the same events without defects."""
+
+    def facts(spark, sf_dir, name):
+        landed, side = BRANCHES[name]
+        words = materialize(sq.pack_sequences(lg.events(spark, sf_dir).filter(landed), "p", "o"), "words")
+        words = words.withColumnRenamed("p", "partition")
+        quality = spark.range(1).select(F.lit(0).cast("bigint").alias("invalid_row_count"))
+        if side:
+            return vd.verdict_facts(quality, _summary_of(words, _both(spark, sf_dir)), side_topic_enabled=True)
+        gaps = sq.gap_partition_count(sq.packed_gap_stats(words))
+        counted = gaps.withColumnRenamed("gap_partition_count", "raw_gap_partition_count")
+        return vd.verdict_facts(quality, counted, side_topic_enabled=False)
+
+    for name in BRANCHES:
+        QUERIES[f"final_verdict_{name}"] = lambda spark, sf_dir, name=name: vd.final_verdict(facts(spark, sf_dir, name))
+    QUERIES["final_verdict_gaps_allowed"] = lambda spark, sf_dir: vd.final_verdict(
+        facts(spark, sf_dir, "gaps_only"), fail_on_gaps=False
+    )
+    QUERIES["final_verdict_truncated"] = lambda spark, sf_dir: vd.final_verdict(_facts(spark, sf_dir, 0), True, False)
+
+
+_register_branches()
 
 
 @query("gap_verdict")
@@ -291,7 +366,6 @@ def check_continuity(spark, sf_dir) -> DataFrame:
         spark,
         lg.roots(spark, sf_dir),
         run_date=lg.RUN_DATE,
-        limit=lg.LIMIT,
         side_topics=lg.side_topics(spark, sf_dir),
     ).verdict
 
@@ -331,9 +405,15 @@ def eligible_paths(spark, sf_dir) -> DataFrame:
     return ds.eligible_paths(_partitions(spark, sf_dir))
 
 
+@query("ordered_eligible")
+def ordered_eligible(spark, sf_dir) -> DataFrame:
+    return ds.ordered_eligible(_partitions(spark, sf_dir))
+
+
 @query("scan_summary")
 def scan_summary(spark, sf_dir) -> DataFrame:
-    return ds.scan_summary(_partitions(spark, sf_dir))
+    """A root without any child counts 0 in every status."""
+    return ds.scan_summary(_partitions(spark, sf_dir), ["/lake/root_2"])
 
 
 @query("scan_roots")
@@ -383,7 +463,10 @@ def _stored(spark, sf_dir) -> str:
 
 @query("persist_normalized")
 def persist_normalized(spark, sf_dir) -> DataFrame:
-    return spark.read.parquet(_stored(spark, sf_dir)).drop("source_file")
+    """The stored rows, each with the directory of the file it came from."""
+    stored = spark.read.parquet(_stored(spark, sf_dir))
+    directory = F.regexp_extract("source_file", "([^/]+/[^/]+)/[^/]+$", 1)
+    return stored.withColumn("source_file", F.replace(directory, F.lit("%3D"), F.lit("=")))
 
 
 @query("reload_normalized")
@@ -405,6 +488,17 @@ def publish_side_topic(spark, sf_dir) -> DataFrame:
     )
 
 
+@query("publish_canary")
+def publish_canary(spark, sf_dir) -> DataFrame:
+    return lg.published(spark, sf_dir, st.CANARY).select(
+        "topic",
+        F.col("key").cast("string").alias("key"),
+        "partition",
+        "offset",
+        F.hex(F.substring("value", 1, 4)).alias("magic"),
+    )
+
+
 @query("read_side_topic")
 def read_side_topic(spark, sf_dir) -> DataFrame:
     return st.read_side_topic(lg.topic_table(spark, sf_dir), lg.CANARY_TOPIC).drop("value")
@@ -425,7 +519,9 @@ def decode_side_topic(spark, sf_dir) -> DataFrame:
 
 @query("decoded_record_count")
 def decoded_record_count(spark, sf_dir) -> DataFrame:
-    return st.decoded_record_count(st.side_topic_records(_decoded(spark, sf_dir)))
+    """A topic without records counts 0."""
+    empty = ("events-empty", st.CANARY)
+    return st.decoded_record_count(st.side_topic_records(_decoded(spark, sf_dir)), [empty])
 
 
 @query("synth_ledger")

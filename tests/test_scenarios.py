@@ -41,6 +41,15 @@ def code(result):
 
 
 def report(result):
+    """Per partition its counts and listed offsets; without a limit these follow from its runs."""
+    if result.limit is None:
+        found = {}
+        for r in result.report.collect():
+            run = list(range(r.gap_start, r.gap_end + 1)) if r.gap_start is not None else []
+            before = found.get(r.partition, (0,) * 4 + ([],))[4]
+            found[r.partition] = (r.distinct_offset_count, r.min_offset, r.max_offset, r.missing_offset_count,
+                                  sorted(before + run), False)
+        return found
     return {
         r.partition: (r.distinct_offset_count, r.min_offset, r.max_offset, r.missing_offset_count,
                       list(r.missing_offsets), r.missing_offsets_truncated)
@@ -91,11 +100,9 @@ def test_missing_offsets_zero_limit(spark, tmp_path):
 
 
 def test_duplicate_offsets(spark, tmp_path):
-    from tidemark.operators.sequences import packed_duplicate_summary
-
     result = check(spark, [land(spark, tmp_path / "a", ok((0, 0), (0, 1), (0, 1), (0, 2)))])
     assert code(result) == 0
-    assert tuple(packed_duplicate_summary(result.words).first()) == (4, 3, 1)
+    assert tuple(result.duplicates.first()) == (4, 3, 1)
 
 
 def statuses(result):
@@ -128,9 +135,11 @@ def test_dates_after_the_run_date_are_read(spark, tmp_path):
 
 
 def test_persisted_normalized_offsets(spark, tmp_path):
-    roots = [land(spark, tmp_path / "a", PASS_A), land(spark, tmp_path / "b", PASS_B)]
+    roots = [land(spark, tmp_path / "a", PASS_A), land(spark, tmp_path / "b", [*PASS_B, "{bad-json"])]
     path = str(tmp_path / "normalized")
-    result = check(spark, roots, normalized_path=path)
+    result = check(spark, roots, normalized_path=path, fail_on_invalid_rows=False)
+    assert quality(result) == {
+        "eligible_row_count": 7, "malformed_json_count": 1, "invalid_row_count": 1, "valid_offset_row_count": 6}
     assert code(result) == 0 and report(result)[1] == (3, 10, 12, 0, [], False)
     stored = spark.read.parquet(path)
     assert dict(stored.dtypes) == {
@@ -138,9 +147,11 @@ def test_persisted_normalized_offsets(spark, tmp_path):
     }
     assert stored.count() == 6
     assert all(r.source_file.startswith("file:///") and r.source_file.endswith(".parquet") for r in stored.collect())
+    held = {r.metadata_json: r.source_file.replace("%3D", "=").split("/")[-3:-1] for r in stored.collect()}
+    assert held[PASS_A[0]] == ["a", f"timestampcolumn={OLD}"] and held[PASS_B[0]] == ["b", f"timestampcolumn={OLD}"]
     with pytest.raises(InputError, match="cannot write"):
         check(spark, roots, normalized_path=path, normalized_overwrite=False)
-    assert code(check(spark, roots, normalized_path=path)) == 0
+    assert code(check(spark, roots, normalized_path=path, fail_on_invalid_rows=False)) == 0
 
 
 def test_all_invalid_input_leaves_a_stored_copy_alone(spark, tmp_path):
@@ -218,8 +229,9 @@ def test_input_failures(spark, tmp_path):
 
 # -- side topics ---------------------------------------------------------------------------------
 
+# Own values: the keys of records for the acceptance cases below.
 DIAGNOSTICS = {
-    ("orders", 0, 2): ("evt-combined-2", "combined failure", "IllegalStateException"),
+    ("orders", 0, 2): ("failed-2", "late failure", "IllegalStateException"),
 }
 CANARY_KEYS = [("orders", 0, 1), ("orders", 9, 7), ("payments", 0, 1), ("orders", 9, 3), ("payments", 0, 3)]
 DEAD_KEYS = [("orders", 0, 2), ("payments", 0, 2), ("orders", 9, 3), ("payments", 0, 3)]
@@ -253,7 +265,12 @@ def sides(spark, canary, dead, source="orders"):
 
 
 def buckets(result):
-    return {(r.bucket, r.partition): r.offsets for r in result.reconciliation.buckets.collect()}
+    found = {}
+    for r in result.reconciliation.buckets.collect():
+        found.setdefault((r.bucket, r.partition), []).append(r.offset)
+        side = {"canary_explained": "orders-canary", "dead_letter_explained": "orders-dlq"}.get(r.bucket)
+        assert (r.source_topic, r.side_topic) == (result.reconciliation.side_topics.source_topic, side)
+    return {key: "[" + ",".join(map(str, sorted(offsets))) + "]" for key, offsets in found.items()}
 
 
 # name: (landed, limit, canary, dead letter, source, code, C, D, U, bounded, records)
@@ -280,6 +297,10 @@ def test_side_topics(spark, tmp_path, name):
     assert buckets(result) == {key: text for key, text in wanted.items() if text}
     summary = result.reconciliation.summary.first()
     assert summary.bounded_missing_offset_count == bounded
+    every = [p for p in (c, d, u) if p]
+    if limit == 1000:
+        assert summary.total_missing_offset_count == bounded
+        assert summary.unresolved_count == (u.count(",") + 1 if u else 0), every
     assert (summary.canary_record_count, summary.dead_letter_record_count) == records
     assert summary.dead_letter_failure_event_id_count == summary.dead_letter_explained_count
     assert code(result) == want_code
@@ -290,6 +311,38 @@ def test_side_topics(spark, tmp_path, name):
         assert reason.startswith("unresolved offset gaps after side-topic reconciliation: raw_gap_partition_count=1")
 
 
+def test_counts_cover_all_missing_offsets_whatever_the_limit(spark, tmp_path):
+    """Expected counts come from sets over a whole range, the listing is cut."""
+    landed = [o for o in range(0, 400) if o % 3 == 0 or o % 7 == 0]
+    missing = set(range(min(landed), max(landed))) - set(landed)
+    canary = [o for o in range(-5, 500) if o % 4 == 1]
+    dead = [o for o in range(-5, 500) if o % 5 == 1]
+    root = land(spark, tmp_path / "a", ok(*((2, o) for o in landed)))
+    topics = sides(spark, [("orders", 2, o) for o in canary], [("orders", 2, o) for o in dead])
+    for limit in (None, 7):
+        s = check(spark, [root], limit=limit, side_topics=topics).reconciliation.summary.first()
+        assert s.canary_explained_count == len(missing & set(canary))
+        assert s.dead_letter_explained_count == s.dead_letter_exception_count == len(missing & set(dead))
+        assert s.unresolved_count == len(missing - set(canary) - set(dead))
+        assert s.total_missing_offset_count == len(missing)
+        assert s.bounded_missing_offset_count == (7 if limit else len(missing))
+        listed = sorted(missing)[:limit]
+        assert s.bounded_unresolved_count == len(set(listed) - set(canary) - set(dead))
+
+
+def test_scan_summary_of_a_run_and_release(spark, tmp_path):
+    bare = tmp_path / "bare"
+    bare.mkdir()
+    result = check(spark, [land(spark, tmp_path / "a", PASS_A), str(bare)], side_topics=sides(spark, CANARY_KEYS, []))
+    counts = {(r.root, r.status): r.path_count for r in result.scan_summary.collect()}
+    assert counts[str(bare), "eligible"] == 0 and counts[str(tmp_path / "a"), "eligible"] == 1
+    decoded = {(r.side_topic, r.kind): r.decoded_record_count for r in result.reconciliation.decoded_record_counts.collect()}
+    assert decoded == {("orders-canary", "canary"): 5, ("orders-dlq", "dead_letter"): 0}
+    result.release()
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        result.words.count()
+
+
 def test_side_topic_parameters(spark):
     rows = topic(spark, "c", st.CANARY, CANARY_KEYS)
     for wrong in [("", "c", rows), ("orders",), ("orders", "c"), ("orders", None, rows)]:

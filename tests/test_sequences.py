@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark import InputError
@@ -101,8 +102,27 @@ def test_a_limit_above_the_chunk_size(spark):
         F.count(F.lit(1)), F.countDistinct("missing_offset"), F.min("missing_offset"), F.max("missing_offset")
     )
     assert sorted(map(tuple, got.collect())) == [(0, limit, limit, 1, limit), (1, 1, 1, 5, 5)]
-    whole = sq.missing_offsets(df, 10**12)
-    assert whole.count() == 199_999 + 1 + 1
+    for whole in (sq.missing_offsets(df, 10**12), sq.missing_offsets(df)):
+        assert whole.count() == 199_999 + 1 + 1
+
+
+def test_a_very_long_gap_gives_its_first_rows(spark):
+    df = frame(spark, [(0, 0), (0, 10**15)])
+    first = [r.missing_offset for r in sq.missing_offsets(df).limit(5).collect()]
+    assert len(first) == 5 and all(0 < n < 10**15 for n in first)
+    assert sorted(r.missing_offset for r in sq.missing_offsets(df, 3).collect()) == [1, 2, 3]
+    assert sq.missing_offsets(df, 2**62).limit(1).count() == 1
+
+
+def test_ordered_missing_and_runs(spark):
+    df = frame(spark, [(1, 3), (1, 1), (0, 0), (0, 4), (2, 5)])
+    assert [tuple(r) for r in sq.ordered_missing(sq.missing_offsets(df)).collect()] == [(0, 1), (0, 2), (0, 3), (1, 2)]
+    runs = sq.gap_report(sq.pack_sequences(df)).select("partition", "gap_start", "gap_end").collect()
+    assert sorted(map(str, runs)) == sorted(map(str, [
+        Row(partition=0, gap_start=1, gap_end=3), Row(partition=1, gap_start=2, gap_end=2),
+        Row(partition=2, gap_start=None, gap_end=None)]))
+    with pytest.raises(InputError, match="needs a limit"):
+        sq.stats_with_report(sq.partition_gap_stats(df), sq.missing_offsets(df), None)
 
 
 def test_truncation_and_report(spark):
@@ -111,6 +131,7 @@ def test_truncation_and_report(spark):
     assert [tuple(r) for r in sq.truncation_flag(stats, 2).collect()] == [(0, 3, True)]
     assert sq.any_truncated(stats, 2).first()[0] is True
     assert sq.any_truncated(stats, 3).first()[0] is False
+    assert sq.any_truncated(stats, None).first()[0] is False
     report = sq.ordered_report(sq.stats_with_report(stats, sq.missing_offsets(df, 2), 2)).collect()
     assert [(r.partition, r.missing_offsets, r.missing_offsets_truncated) for r in report] == [
         (0, "[1,2]", True), (1, "[]", False)
@@ -123,7 +144,7 @@ def test_other_column_names_and_nulls(spark):
     assert [tuple(r) for r in got] == [("x", 2, 2, 1)]
 
 
-@pytest.mark.parametrize("limit", [-1, 1.5, "7", None, True])
+@pytest.mark.parametrize("limit", [-1, 1.5, "7", 2**62 + 1, 2**63, True])
 def test_limits_are_checked(spark, limit):
     with pytest.raises(InputError):
         sq.missing_offsets(frame(spark, [(0, 0)]), limit)

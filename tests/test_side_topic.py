@@ -1,5 +1,7 @@
 """Decoding, publishing and reconciling side topics."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from tidemark.operators import reconcile as rc
 from tidemark.operators import sequences as sq
 from tidemark.operators import verdict as vd
 from tidemark.sources import side_topic as st
-from tidemark.sources.container import read_container
+from tidemark.sources.container import read_container, write_container
 
 FIELDS = [
     {"name": "sourceKey", "type": ["null", "string"]},
@@ -171,25 +173,62 @@ def records(spark, kind, keys, diagnostics=(None, None, None)):
     return spark.createDataFrame([(kind, "side", *key, *diagnostics) for key in keys], RECORD_SCHEMA)
 
 
-def test_classification(spark):
-    missing = spark.createDataFrame([(0, 1), (0, 2), (0, 3), (1, 7)], "partition int, missing_offset bigint")
-    keys = rc.missing_keys(missing, "orders")
-    canary = records(spark, st.CANARY, [("orders", 0, 1), ("orders", 0, 1), ("other-topic", 0, 2), ("orders", 9, 7), ("orders", 0, 99)])
-    dead = records(spark, st.DEAD_LETTER, [("orders", 0, 2)], ("e", "r", "x"))
-    buckets = {(r.bucket, r.partition): (r.offset_count, r.offsets)
-               for r in rc.bucket_offsets(rc.classify_missing(keys, canary, dead)).collect()}
-    assert buckets == {("canary_explained", 0): (1, "[1]"), ("dead_letter_explained", 0): (1, "[2]"),
-                       ("unresolved", 0): (1, "[3]"), ("unresolved", 1): (1, "[7]")}
-    stats = sq.partition_gap_stats(
-        spark.createDataFrame([(0, 0), (0, 4), (1, 6), (1, 8)], "partition int, offset bigint"))
-    both = canary.unionByName(dead)
-    summary = rc.reconciliation_summary(rc.explain_keys(keys, both), both, stats, 1000).first()
-    assert (summary.canary_explained_count, summary.dead_letter_explained_count, summary.unresolved_count) == (1, 1, 2)
-    assert (summary.bounded_missing_offset_count, summary.raw_gap_partition_count) == (4, 2)
-    assert (summary.canary_record_count, summary.dead_letter_record_count) == (5, 1)
-    assert summary.dead_letter_failure_event_id_count == 1 and summary.missing_offsets_truncated is False
-    assert [r.source_offset for r in rc.explained_by(keys, canary).collect()] == [1]
-    assert sorted(r.source_offset for r in rc.unresolved(keys, canary, dead).collect()) == [3, 7]
+@pytest.mark.parametrize("seed", range(3))
+def test_classification_against_sets(spark, seed):
+    """Generated sequences and records; every expected count comes from Python sets."""
+    draw = random.Random(seed)
+    landed = {p: sorted(draw.sample(range(p * 1000, p * 1000 + 300), 120)) for p in range(4)}
+    gaps = {(p, o) for p, seen in landed.items() for o in range(seen[0], seen[-1]) if o not in set(seen)}
+
+    def keys_of(count):
+        return [(draw.choice(["orders", "orders", "others"]), p, p * 1000 + draw.randrange(-20, 330))
+                for p in (draw.randrange(6) for _ in range(count))]
+
+    canary_keys, dead_keys = keys_of(400), keys_of(300)
+    canary = records(spark, st.CANARY, canary_keys)
+    dead = records(spark, st.DEAD_LETTER, dead_keys, ("e", None, "x"))
+    in_canary = {k[1:] for k in canary_keys if k[0] == "orders"} & gaps
+    in_dead = {k[1:] for k in dead_keys if k[0] == "orders"} & gaps
+    unresolved = gaps - in_canary - in_dead
+    wanted = {("canary_explained", *k) for k in in_canary} | {("dead_letter_explained", *k) for k in in_dead}
+    wanted |= {("unresolved", *k) for k in unresolved}
+
+    df = spark.createDataFrame([(p, o) for p, seen in landed.items() for o in seen], "partition int, offset bigint")
+    keys = rc.missing_keys(sq.missing_offsets(df), "orders")
+    buckets = rc.bucket_offsets(rc.classify_missing(keys, canary, dead), "c", "d")
+    assert {(r.bucket, r.partition, r.offset) for r in buckets.collect()} == wanted
+    assert sum(r.offset_count for r in rc.bucket_counts(buckets).collect()) == len(wanted)
+    order = [(r.partition, r.offset) for r in rc.ordered_buckets(buckets).collect()]
+    assert order == sorted(order)
+    assert {(r.source_partition, r.source_offset) for r in rc.explained_by(keys, canary).collect()} == in_canary
+    assert {(r.source_partition, r.source_offset) for r in rc.unresolved(keys, canary, dead).collect()} == unresolved
+
+    words, both = sq.pack_sequences(df), canary.unionByName(dead)
+    stats = sq.packed_gap_stats(words)
+    repeats = sum(k[0] == "orders" and k[1:] in in_dead for k in dead_keys)
+    for limit in (None, 5):
+        listed = None if limit is None else rc.explain_keys(rc.missing_keys(sq.missing_offsets(df, limit), "orders"), both)
+        s = rc.reconciliation_summary(words, stats, both, "orders", limit, listed).first()
+        assert (s.canary_explained_count, s.dead_letter_explained_count) == (len(in_canary), len(in_dead))
+        assert (s.unresolved_count, s.total_missing_offset_count) == (len(unresolved), len(gaps))
+        assert (s.canary_record_count, s.dead_letter_record_count) == (400, 300)
+        assert (s.dead_letter_failure_event_id_count, s.dead_letter_reason_msg_count) == (repeats, 0)
+        first = {k for p in range(4) for k in sorted(g for g in gaps if g[0] == p)[:limit]}
+        assert s.bounded_missing_offset_count == len(first)
+        assert s.bounded_unresolved_count == len(first & unresolved)
+        assert s.missing_offsets_truncated is (limit is not None)
+
+
+@pytest.mark.parametrize("number", [b"\xff" * 9 + b"\x7f", b"\xff" * 9 + b"\x02"])
+def test_numbers_beyond_64_bits_are_error_rows(spark, number):
+    for name in ("sourcePartition", "sourceOffset"):
+        schema = st.payload_schema(st.CANARY).replace('"int"', '"long"')
+        parts = {"sourcePartition": b"\x02", "sourceOffset": b"\x02", name: number}
+        datum = b"\x00\x00\x00" + b"\x02t" + parts["sourcePartition"] + parts["sourceOffset"] + b"\x02"
+        value = write_container(schema, datum)
+        rows = spark.createDataFrame([("t", 0, 17, value)], "topic string, partition int, offset bigint, value binary")
+        got = st.decode_side_topic(rows, st.CANARY, "t").collect()
+        assert len(got) == 1 and "64 bits" in got[0].decode_error and got[0].kafka_offset == 17
 
 
 def test_overlap_counts_in_both(spark):
@@ -230,8 +269,9 @@ def test_gap_verdict(spark, gaps, side, unresolved, truncated, fails, message):
     frames = [base]
     if side:
         frames.append(spark.createDataFrame(
-            [(1, 1, unresolved, 9, truncated)],
+            [(1, 1, unresolved, unresolved, 9, truncated)],
             "canary_explained_count bigint, dead_letter_explained_count bigint, unresolved_count bigint, "
+            "bounded_unresolved_count bigint, "
             "bounded_missing_offset_count bigint, missing_offsets_truncated boolean"))
     facts = vd.verdict_facts(*frames, side_topic_enabled=side)
     assert vd.gap_verdict(facts).first().failed is fails

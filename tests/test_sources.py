@@ -8,8 +8,9 @@ from tidemark import InputError
 from tidemark.operators import metadata as md
 from tidemark.operators import sequences as sq
 from tidemark.sources import discovery as ds
+from tidemark.sources import landed as ld
 from tidemark.sources import synth
-from tidemark.sources.scratch import materialize, scratch_path
+from tidemark.sources.scratch import materialize, release, scratch_path
 
 
 @pytest.mark.parametrize("name, is_dir, status", [
@@ -42,13 +43,44 @@ def test_paths_and_summary(spark):
     partitions = ds.classify_partitions(spark.createDataFrame(rows, ds.LISTING_SCHEMA), "2026-07-02", "day")
     assert ds.require_eligible(partitions) == ["r/day=2026-07-01", "r/day=2026-07-03"]
     assert sorted(map(tuple, ds.scan_summary(partitions).collect())) == [
-        ("q", "eligible", 1), ("q", "non_matching", 1), ("r", "eligible", 2)]
+        ("q", "eligible", 1), ("q", "invalid_date", 0), ("q", "non_matching", 1), ("q", "skipped_run_date", 0),
+        ("r", "eligible", 2), ("r", "invalid_date", 0), ("r", "non_matching", 0), ("r", "skipped_run_date", 0)]
+    empty = ds.scan_summary(partitions, ["bare", "r"]).filter("root = 'bare'").collect()
+    assert sorted((r.status, r.path_count) for r in empty) == sorted((name, 0) for name in ds.STATUSES)
+    assert [r.path for r in ds.ordered_eligible(partitions).collect()] == ["r/day=2026-07-01", "r/day=2026-07-03"]
 
 
 def test_parameters():
     assert ds.check_roots(" a, ,b ") == ds.check_roots(["a", " ", "b"]) == ["a", "b"]
     assert ds.check_run_date(None) == datetime.date.today()
-    assert ds.check_run_date("2026-07-02") == datetime.date(2026, 7, 2)
+    day = datetime.date(2026, 7, 2)
+    for given in ("2026-07-02", day, datetime.datetime(2026, 7, 2, 10)):
+        assert type(ds.check_run_date(given)) is datetime.date and ds.check_run_date(given) == day
+    for wrong in ("2026-7-2", "2026-07-02T00:00", " 2026-07-02", "20260702", "2026-02-30", 20260702):
+        with pytest.raises(InputError):
+            ds.check_run_date(wrong)
+
+
+def test_a_run_date_with_a_time_skips_its_day(spark):
+    listing = spark.createDataFrame([("r", "r/day=2026-07-02", "day=2026-07-02", True)], ds.LISTING_SCHEMA)
+    row = ds.classify_partitions(listing, datetime.datetime(2026, 7, 2, 10), "day").first()
+    assert row.status == "skipped_run_date"
+
+
+def test_unknown_file_systems_are_input_errors(spark):
+    with pytest.raises(InputError):
+        ld.read_eligible(spark, ["nosuchfs://x/y"])
+    with pytest.raises(InputError):
+        ld.persist_normalized(spark.range(1), "nosuchfs://x/y")
+
+
+def test_release_deletes_only_scratch_tables(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "own"))
+    table, own = materialize(spark.range(3), "z"), spark.read.parquet(str(tmp_path / "own"))
+    release(table, own)
+    assert own.count() == 3
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        table.count()
 
 
 def test_synth_ledger(spark, tmp_path):

@@ -1,17 +1,3 @@
-from tidemark.functions.columns import (
-    blank_to_null,
-    count_when,
-    format_offsets,
-    numeric_guard,
-    quoted_column,
-    reason_token,
-)
+from tidemark.functions.columns import count_when, format_offsets, numeric_guard, quoted_column
 
-__all__ = [
-    "blank_to_null",
-    "count_when",
-    "format_offsets",
-    "numeric_guard",
-    "quoted_column",
-    "reason_token",
-]
+__all__ = ["count_when", "format_offsets", "numeric_guard", "quoted_column"]

@@ -27,13 +27,3 @@ def count_when(condition: Column) -> Column:
 def format_offsets(offsets: Column) -> Column:
     """``array<bigint>`` as ``[1,2,3]``; an empty array is ``[]``."""
     return F.concat(F.lit("["), F.array_join(offsets.cast("array<string>"), ","), F.lit("]"))
-
-
-def blank_to_null(text: Column) -> Column:
-    """Trim, then turn the empty string into null."""
-    return F.nullif(F.trim(text), F.lit(""))
-
-
-def reason_token(text: Column) -> Column:
-    """A reason as a single token for log lines."""
-    return F.replace(text, F.lit(" "), F.lit("_"))

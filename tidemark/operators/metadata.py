@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,7 @@ from tidemark.operators.sequences import pack_sequences
 # Fixed value: the metadata column landed by the source connector.
 DEFAULT_METADATA_COLUMN = "cactus__metadata"
 
-CORRUPT = "_corrupt_record"
+CORRUPT = "_tidemark_corrupt_json"
 METADATA_SCHEMA = T.StructType(
     [
         T.StructField("partition", T.StringType()),
@@ -22,10 +22,11 @@ METADATA_SCHEMA = T.StructType(
     ]
 )
 
-# The two fields as plain numbers and nothing else, which is how metadata mostly looks.
-PLAIN = r'^\{"partition": ?(0|[1-9][0-9]*), ?"offset": ?(0|[1-9][0-9]*)\}\z'
+# The two fields as plain numbers and nothing else, which is how metadata mostly looks. Numbers
+# of more than 18 digits go to the parser, which has a limit of its own for them.
+PLAIN = r'^\{"partition": ?(0|[1-9][0-9]{0,17}), ?"offset": ?(0|[1-9][0-9]{0,17})\}\z'
 
-# Bit of each defect in the ``defects`` mask of a row.
+# The names of the defects and counters. Bit of each defect in the ``defects`` mask of a row.
 DEFECTS = {
     "missing_metadata": 1,
     "malformed_json": 2,
@@ -155,14 +156,29 @@ def defect_mask() -> Column:
 # -- profile, normalized rows, packed ledger --------------------------------------------------
 
 
-def metadata_quality(parsed: DataFrame) -> DataFrame:
-    """One row of counters. The defect counts may add up to more than the invalid rows."""
-    return parsed.agg(
+def _counters() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("eligible_row_count"),
         *(count_when(condition).alias(f"{name}_count") for name, condition in _conditions().items()),
         count_when(is_invalid()).alias("invalid_row_count"),
         count_when(is_valid()).alias("valid_offset_row_count"),
-    )
+    ]
+
+
+def metadata_quality(parsed: DataFrame) -> DataFrame:
+    """One row of counters. The defect counts may add up to more than the invalid rows."""
+    return parsed.agg(*_counters())
+
+
+def observed_quality(parsed: DataFrame) -> tuple[DataFrame, Observation]:
+    """``parsed`` with the counters of ``metadata_quality`` observed by the first job that reads it."""
+    profile = Observation()
+    return parsed.observe(profile, *_counters()), profile
+
+
+def quality_frame(spark: SparkSession, counters: dict) -> DataFrame:
+    """Observed counters as the one-row frame of ``metadata_quality``."""
+    return spark.range(1).select(*(F.lit(counters[name]).cast("bigint").alias(name) for name in PROFILE_COLUMNS))
 
 
 def normalize_offsets(parsed: DataFrame, source_file: str | None = None) -> DataFrame:

@@ -4,14 +4,15 @@ Side-topic records may repeat one key any number of times, so they are counted p
 before they are shuffled for a join; both join sides then hold each key once.
 """
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import format_offsets
 from tidemark.functions.frames import one_row
-from tidemark.operators.sequences import any_truncated, gap_partition_count
+from tidemark.operators.sequences import any_truncated, gap_partition_count, offset_bit, offset_word, range_bits
+from tidemark.sources.scratch import materialize
 from tidemark.sources.side_topic import CANARY, DEAD_LETTER
 
 RECORD_KEY = ["source_topic", "source_partition", "source_offset"]
@@ -46,8 +47,7 @@ def unresolved(keys: DataFrame, canary: DataFrame, dead_letter: DataFrame) -> Da
 def explain_keys(keys: DataFrame, records: DataFrame) -> DataFrame:
     """Every missing key with its match flags and its counts of dead-letter diagnostics.
 
-    ``records`` are the records of both kinds. One aggregation and one join answer all
-    that the summary needs.
+    ``records`` are the records of both kinds, counted per key before the join.
     """
     dead = F.col("kind") == DEAD_LETTER
     per_key = records.groupBy(*RECORD_KEY).agg(
@@ -72,14 +72,16 @@ def classify_missing(keys: DataFrame, canary: DataFrame, dead_letter: DataFrame)
     )
 
 
-def matched_records(records: DataFrame, keys: DataFrame, salts: int = 16) -> DataFrame:
+def matched_records(records: DataFrame, keys: DataFrame, salts: int | None = None) -> DataFrame:
     """The records whose key is missing, repeats kept.
 
     All repeats of one key would meet in one task, so each input task adds its own salt to
-    its records and the keys, of which there are at most the limit per partition, are
-    repeated per salt. The salt depends on the task's number only, so a task that is run
-    again after a loss sends its rows to the same places.
+    its records and the keys are repeated per salt: as many as the root of the number of
+    shuffle partitions, unless ``salts`` says otherwise. The salt depends on the task's
+    number only, so a task that is run again after a loss sends its rows to the same places.
     """
+    if salts is None:
+        salts = math.isqrt(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1) + 1
     salted = records.withColumn("salt", F.spark_partition_id() % salts)
     spread = keys.select(*RECORD_KEY, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     return salted.join(spread, [*RECORD_KEY, "salt"], "left_semi").select(*records.columns)
@@ -90,47 +92,113 @@ def dead_letter_fields(matched: DataFrame) -> DataFrame:
     return matched.agg(*(F.count(name).alias(f"{name}_count") for name in DIAGNOSTICS))
 
 
-def bucket_offsets(classified: DataFrame) -> DataFrame:
-    """Offsets per bucket and partition, as a count and ordered text for reading.
+def bucket_offsets(classified: DataFrame, canary_topic: str | None = None, dead_letter_topic: str | None = None) -> DataFrame:
+    """One row per bucket and offset, with the topics: ``bucket, source_topic, side_topic, partition, offset``.
 
-    A list holds at most the missing-offset limit.
+    An offset in both side topics is in both buckets.
     """
+
+    def bucket(name, topic):
+        return F.struct(F.lit(name).alias("bucket"), F.lit(topic).cast("string").alias("side_topic"))
+
     buckets = F.array(
-        F.when(F.col("in_canary"), "canary_explained"),
-        F.when(F.col("in_dead_letter"), "dead_letter_explained"),
-        F.when(F.col("unresolved"), "unresolved"),
+        F.when(F.col("in_canary"), bucket("canary_explained", canary_topic)),
+        F.when(F.col("in_dead_letter"), bucket("dead_letter_explained", dead_letter_topic)),
+        F.when(F.col("unresolved"), bucket("unresolved", None)),
+    )
+    return classified.select("*", F.explode(F.array_compact(buckets)).alias("in")).select(
+        "in.bucket",
+        "source_topic",
+        "in.side_topic",
+        F.col("source_partition").alias("partition"),
+        F.col("source_offset").alias("offset"),
+    )
+
+
+def ordered_buckets(buckets: DataFrame) -> DataFrame:
+    """Buckets by partition and offset."""
+    return buckets.orderBy("partition", "offset", "bucket")
+
+
+def bucket_counts(buckets: DataFrame) -> DataFrame:
+    """Offsets per bucket, topics and partition."""
+    return buckets.groupBy("bucket", "source_topic", "side_topic", "partition").agg(
+        F.count(F.lit(1)).alias("offset_count")
     )
+
+
+def side_words(records: DataFrame) -> DataFrame:
+    """Record keys of one source topic in packed form: ``partition, word, canary, dead_letter``.
+
+    The two columns hold a bit per offset that occurs, as in the packed ledger.
+    """
+    bit = offset_bit(F.col("source_offset"))
+    kinds = {"canary": CANARY, "dead_letter": DEAD_LETTER}
+    return records.groupBy(
+        F.col("source_partition").alias("partition"), offset_word(F.col("source_offset")).alias("word")
+    ).agg(*(F.coalesce(F.bit_or(F.when(F.col("kind") == kind, bit)), F.lit(0)).alias(name) for name, kind in kinds.items()))
+
+
+def explained_words(side: DataFrame, words: DataFrame, stats: DataFrame) -> DataFrame:
+    """``side_words`` with only the bits of missing offsets: not seen, and within the partition's range."""
+    seen = words.groupBy("partition", "word").agg(F.bit_or("bits").alias("seen"))
+    ranges = stats.select("partition", "min_offset", "max_offset")
+    missing = F.bitwise_not(F.coalesce("seen", F.lit(0))).bitwiseAND(range_bits(F.col("word"), F.col("min_offset"), F.col("max_offset")))
     return (
-        classified.select("*", F.explode(F.array_compact(buckets)).alias("bucket"))
-        .groupBy("bucket", F.col("source_partition").alias("partition"))
-        .agg(
-            F.count(F.lit(1)).alias("offset_count"),
-            format_offsets(F.array_sort(F.collect_list("source_offset"))).alias("offsets"),
-        )
+        side.join(seen, ["partition", "word"], "left")
+        .join(ranges, "partition")
+        .select("partition", "word", *(F.col(name).bitwiseAND(missing).alias(name) for name in ("canary", "dead_letter")))
     )
 
 
-def reconciliation_summary(explained: DataFrame, records: DataFrame, stats: DataFrame, limit: int) -> DataFrame:
-    """One row of counters over ``explain_keys``, the records and the statistics.
+def reconciliation_summary(
+    words: DataFrame, stats: DataFrame, records: DataFrame, source_topic: str, limit: int | None = None,
+    listed: DataFrame | None = None,
+) -> DataFrame:
+    """One row of counters over all missing offsets of the packed ``words``.
 
-    A key in both side topics counts in both, so the three outcome counts may add up to
-    more than ``bounded_missing_offset_count``. Record counts cover all decoded records.
+    No missing offset is expanded: the keys of the side topics are packed like the ledger and
+    compared bit by bit. A key in both side topics counts in both, so the outcome counts may
+    add up to more than ``total_missing_offset_count``. Record counts cover all decoded records of
+    any topic. The ``bounded_`` counters are those of the listing under ``limit``; ``listed``
+    is that listing after ``explain_keys``, and without a limit they equal the totals.
     """
-    outcome = explained.agg(
-        F.count(F.lit(1)).alias("bounded_missing_offset_count"),
-        F.count_if("in_canary").alias("canary_explained_count"),
-        F.count_if("in_dead_letter").alias("dead_letter_explained_count"),
-        F.count_if("unresolved").alias("unresolved_count"),
-        *(F.coalesce(F.sum(f"{name}_count"), F.lit(0)).alias(f"dead_letter_{name}_count") for name in DIAGNOSTICS),
+    of_source = records.filter(F.col("source_topic") == source_topic)
+    found = materialize(explained_words(side_words(of_source), words, stats), "explained-words")
+
+    def bits(column):
+        return F.coalesce(F.sum(F.bit_count(column)), F.lit(0))
+
+    either = F.col("canary").bitwiseOR(F.col("dead_letter"))
+    outcome = found.agg(
+        bits(F.col("canary")).alias("canary_explained_count"),
+        bits(F.col("dead_letter")).alias("dead_letter_explained_count"),
+        bits(either).alias("explained_count"),
+    )
+    per_key = (
+        of_source.filter(F.col("kind") == DEAD_LETTER)
+        .groupBy(F.col("source_partition").alias("partition"), "source_offset")
+        .agg(*(F.count(name).alias(name) for name in DIAGNOSTICS))
+        .withColumn("word", offset_word(F.col("source_offset")))
+    )
+    matched = per_key.join(found, ["partition", "word"]).filter(
+        F.col("dead_letter").bitwiseAND(offset_bit(F.col("source_offset"))) != 0
     )
+    fields = matched.agg(*(F.coalesce(F.sum(name), F.lit(0)).alias(f"dead_letter_{name}_count") for name in DIAGNOSTICS))
     decoded = records.agg(
         F.count_if(F.col("kind") == CANARY).alias("canary_record_count"),
         F.count_if(F.col("kind") == DEAD_LETTER).alias("dead_letter_record_count"),
     )
     gaps = stats.select("has_gaps", "missing_offset_count")
-    return one_row(
-        outcome,
-        decoded,
-        gap_partition_count(gaps).withColumnRenamed("gap_partition_count", "raw_gap_partition_count"),
-        any_truncated(gaps, limit),
+    total = F.coalesce(F.sum("missing_offset_count"), F.lit(0))
+    bounded = total if limit is None else F.coalesce(F.sum(F.least("missing_offset_count", F.lit(limit).cast("bigint"))), F.lit(0))
+    totals = gaps.agg(total.alias("total_missing_offset_count"), bounded.alias("bounded_missing_offset_count"))
+    frames = [outcome, fields, decoded, totals, gap_partition_count(gaps).withColumnRenamed("gap_partition_count", "raw_gap_partition_count")]
+    if listed is not None:
+        frames.append(listed.agg(F.count_if("unresolved").alias("bounded_unresolved_count")))
+    row = one_row(*frames, any_truncated(gaps, limit)).withColumn(
+        "unresolved_count", F.col("total_missing_offset_count") - F.col("explained_count")
     )
+    if listed is None:
+        row = row.withColumn("bounded_unresolved_count", F.col("unresolved_count"))
+    return row.drop("explained_count").withColumn("source_topic", F.lit(source_topic))

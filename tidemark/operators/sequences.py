@@ -25,9 +25,14 @@ WORD_SHIFT = 5
 WORD = 1 << WORD_SHIFT
 BUCKET_SHIFT = 15
 ZONE_SHIFT = 20
-EXPAND_CHUNK = 1 << 16
+# A listed gap is cut into runs of these lengths, one level after the other, so that no array
+# grows with the gap. Runs of the last length but one are spread over the tasks.
+RUNS = (1 << 46, 1 << 36, 1 << 26)
+INNER_RUN = 1 << 13
+STREAMS = 1 << 20
 
-DEFAULT_MISSING_LIMIT = 1000
+MAX_LIMIT = 1 << 62
+DEFAULT_MISSING_LIMIT = None
 
 
 # -- packed form ---------------------------------------------------------------------------
@@ -42,15 +47,32 @@ def pack_sequences(df: DataFrame, key: str = "partition", seq: str = "offset", b
     share one shuffle.
     """
     value = F.col(seq).cast("bigint")
-    word = F.coalesce(F.shiftright(value, WORD_SHIFT), F.lit(0))
-    bit = _lone_bit(value.bitwiseAND(F.lit(WORD - 1)).cast("int"))
+    word = F.coalesce(offset_word(value), F.lit(0))
     return (
-        df.select(F.col(key), word.alias("word"), *by, bit.alias("bit"))
+        df.select(F.col(key), word.alias("word"), *by, offset_bit(value).alias("bit"))
         .groupBy(key, "word", *by)
         .agg(F.count(F.lit(1)).alias("row_count"), F.bit_or("bit").alias("bits"))
     )
 
 
+def offset_word(value: Column) -> Column:
+    """The word of a value."""
+    return F.shiftright(value, WORD_SHIFT)
+
+
+def offset_bit(value: Column) -> Column:
+    """The bit of a value within its word."""
+    return _lone_bit(value.bitwiseAND(F.lit(WORD - 1)).cast("int"))
+
+
+def range_bits(word: Column, first: Column, last: Column) -> Column:
+    """The bits of a word whose values lie between ``first`` and ``last``, ends included."""
+    low = F.when(offset_word(first) < word, 0).when(offset_word(first) == word, first.bitwiseAND(F.lit(WORD - 1)))
+    high = F.when(offset_word(last) > word, WORD - 1).when(offset_word(last) == word, last.bitwiseAND(F.lit(WORD - 1)))
+    bits = _lone_bit((high + 1).cast("int")) - _lone_bit(low.cast("int"))
+    return F.coalesce(bits, F.lit(0).cast("bigint"))
+
+
 def _pack(df: DataFrame, key: str, seq: str) -> DataFrame:
     return pack_sequences(df.dropna(subset=[key, seq]), key, seq)
 
@@ -114,7 +136,8 @@ def partition_gap_stats(df: DataFrame, key: str = "partition", seq: str = "offse
 
     Values before the first or after the last one seen are outside the range and cannot be
     told from values that never existed. A span of exactly ``2**63`` does not fit a bigint
-    and reads as null; the missing count and ``has_gaps`` are right even then.
+    and reads as null; the missing count and ``has_gaps`` are right even then. The largest and
+    the smallest value of a key must be less than ``2**63`` apart; else the query fails.
     """
     return packed_gap_stats(_pack(df, key, seq), key)
 
@@ -291,73 +314,107 @@ def packed_gaps(packed: DataFrame, key: str = "partition", limit: int | None = N
 # -- listed missing values -----------------------------------------------------------------
 
 
-def check_limit(limit: int) -> int:
-    if isinstance(limit, bool) or not isinstance(limit, int) or limit < 0:
-        raise InputError(f"missing-offset limit must be a non-negative integer: {limit!r}")
+def check_limit(limit: int | None) -> int | None:
+    """A bound on what is listed per key, or None for no bound."""
+    if limit is None:
+        return None
+    if isinstance(limit, bool) or not isinstance(limit, int) or not 0 <= limit <= MAX_LIMIT:
+        raise InputError(f"missing-offset limit must be an integer from 0 to {MAX_LIMIT}: {limit!r}")
     return limit
 
 
 def missing_offsets(
-    df: DataFrame, limit: int = DEFAULT_MISSING_LIMIT, key: str = "partition", seq: str = "offset"
+    df: DataFrame, limit: int | None = DEFAULT_MISSING_LIMIT, key: str = "partition", seq: str = "offset"
 ) -> DataFrame:
-    """The smallest ``limit`` missing values of each key as ``(key, missing_offset)``.
+    """The missing values of each key as ``(key, missing_offset)``, the smallest ``limit`` if one is given.
 
     A limit of 0 gives no rows.
     """
     return packed_missing_offsets(_pack(df, key, seq), limit, key)
 
 
-def packed_missing_offsets(packed: DataFrame, limit: int = DEFAULT_MISSING_LIMIT, key: str = "partition") -> DataFrame:
+def packed_missing_offsets(
+    packed: DataFrame, limit: int | None = DEFAULT_MISSING_LIMIT, key: str = "partition"
+) -> DataFrame:
     check_limit(limit)
+    left = F.lit(limit).cast("bigint") - F.col("prior_missing_count")
     taken = packed_gaps(packed, key, limit).select(
         key,
         F.col("gap_start").alias("from"),
-        F.least(F.col("gap_size"), F.lit(limit).cast("bigint") - F.col("prior_missing_count")).alias("take"),
+        (F.col("gap_size") if limit is None else F.least(F.col("gap_size"), left)).alias("take"),
     )
-    if limit > EXPAND_CHUNK:
-        # A long gap is cut into chunks that are spread over tasks before they are expanded.
-        chunks = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(take - 1) div {EXPAND_CHUNK}"))
-        taken = (
-            taken.select("*", F.explode(chunks).alias("chunk"))
-            .select(
-                key,
-                (F.col("from") + F.col("chunk") * EXPAND_CHUNK).alias("from"),
-                F.least(F.lit(EXPAND_CHUNK), F.col("take") - F.col("chunk") * EXPAND_CHUNK).alias("take"),
-            )
-            .repartition(key, "from")
-        )
-    return taken.select(key, F.explode(F.sequence("from", F.col("from") + F.col("take") - 1)).alias("missing_offset"))
+    for length in RUNS:
+        taken = _cut(taken, length, key)
+    taken = taken.repartition(key, "from")
+    return _cut(taken, INNER_RUN, key).select(
+        key, F.explode(F.sequence("from", F.col("from") + F.col("take") - 1)).alias("missing_offset")
+    )
+
+
+def _cut(runs: DataFrame, length: int, key: str) -> DataFrame:
+    """Runs ``from, take`` cut into pieces of at most ``length`` values.
 
+    The rows made from one row are held until all are made. ``coalesce`` to more partitions
+    than there are moves nothing, but keeps that apart from level to level.
+    """
+    pieces = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(take - 1) div {length}"))
+    return runs.select("*", F.explode(pieces).alias("piece")).select(
+        key,
+        (F.col("from") + F.col("piece") * length).alias("from"),
+        F.least(F.lit(length).cast("bigint"), F.col("take") - F.col("piece") * length).alias("take"),
+    ).coalesce(STREAMS)
+
+
+def _exceeds(limit: int | None) -> Column:
+    return F.lit(False) if check_limit(limit) is None else F.col("missing_offset_count") > limit
+
+
+def ordered_missing(missing: DataFrame, key: str = "partition") -> DataFrame:
+    return missing.orderBy(key, "missing_offset")
 
-def truncation_flag(stats: DataFrame, limit: int, key: str = "partition") -> DataFrame:
+
+def truncation_flag(stats: DataFrame, limit: int | None, key: str = "partition") -> DataFrame:
     """Per key with gaps: whether it misses more values than the limit lists."""
     return gap_partitions(stats).select(
-        key, "missing_offset_count", (F.col("missing_offset_count") > check_limit(limit)).alias("truncated")
+        key, "missing_offset_count", _exceeds(limit).alias("truncated")
     )
 
 
-def any_truncated(stats: DataFrame, limit: int) -> DataFrame:
+def any_truncated(stats: DataFrame, limit: int | None) -> DataFrame:
     """One row: whether the listing of any key is cut short by the limit."""
-    cut = F.bool_or(F.col("missing_offset_count") > check_limit(limit))
+    cut = F.bool_or(_exceeds(limit))
     return stats.agg(F.coalesce(cut, F.lit(False)).alias("missing_offsets_truncated"))
 
 
 def stats_with_report(stats: DataFrame, missing: DataFrame, limit: int, key: str = "partition") -> DataFrame:
     """Statistics with the listed missing values of each key and whether they were cut.
 
-    The list is a display value of at most ``limit`` entries per key; ``missing_offsets``
-    is the form for further work.
+    The list is a display value of at most ``limit`` entries per key, so it needs a limit;
+    ``missing_offsets`` and ``gap_report`` are the forms for further work.
     """
+    if check_limit(limit) is None:
+        raise InputError("a list per key needs a limit; use gap_report for all missing offsets")
     listed = missing.groupBy(key).agg(F.array_sort(F.collect_list("missing_offset")).alias("missing_offsets"))
     empty = F.array().cast("array<bigint>")
     return stats.join(listed, key, "left").select(
         *stats.columns,
         F.coalesce("missing_offsets", empty).alias("missing_offsets"),
-        F.lit(check_limit(limit)).cast("bigint").alias("missing_offsets_limit"),
+        F.lit(limit).cast("bigint").alias("missing_offsets_limit"),
         (F.col("missing_offset_count") > limit).alias("missing_offsets_truncated"),
     )
 
 
+def packed_report(packed: DataFrame, limit: int, key: str = "partition") -> DataFrame:
+    """``stats_with_report`` of a packed form, which is read by both of its sides; store it first."""
+    return stats_with_report(packed_gap_stats(packed, key), packed_missing_offsets(packed, limit, key), limit, key)
+
+
+def gap_report(packed: DataFrame, key: str = "partition") -> DataFrame:
+    """The statistics of each key with one row per run of missing values, or one without any."""
+    gaps = packed_gaps(packed, key).drop("prior_missing_count")
+    return packed_gap_stats(packed, key).join(gaps, key, "left")
+
+
 def ordered_report(report: DataFrame, key: str = "partition") -> DataFrame:
     """A statistics report ordered for reading, with its lists as text."""
     return report.withColumn("missing_offsets", format_offsets(F.col("missing_offsets"))).orderBy(key)

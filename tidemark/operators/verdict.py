@@ -1,8 +1,8 @@
 """Pass or fail, decided on a one-row frame of counters.
 
 The row holds ``invalid_row_count``, ``raw_gap_partition_count`` and ``side_topic_enabled``,
-and with side topics ``unresolved_count``, ``bounded_missing_offset_count`` and
-``missing_offsets_truncated``.
+and with side topics ``unresolved_count``, ``bounded_unresolved_count``,
+``bounded_missing_offset_count`` and ``missing_offsets_truncated``.
 """
 
 import re
@@ -27,6 +27,7 @@ TRUNCATED = (
 )
 NO_GAPS = "no gaps detected"
 ALL_RESOLVED = "side-topic reconciliation resolved all bounded missing offsets"
+# Own texts: what a run says that passes only because gaps are allowed.
 GAPS_ALLOWED = "offset gaps detected but fail_on_gaps=false"
 UNRESOLVED_ALLOWED = "unresolved offsets present but fail_on_gaps=false"
 
@@ -34,6 +35,8 @@ SIDE_TOPIC_COUNTERS = {
     "canary_explained_count": "bigint",
     "dead_letter_explained_count": "bigint",
     "unresolved_count": "bigint",
+    "total_missing_offset_count": "bigint",
+    "bounded_unresolved_count": "bigint",
     "bounded_missing_offset_count": "bigint",
     "missing_offsets_truncated": "boolean",
 }
@@ -58,8 +61,8 @@ def _filled(text: str) -> Column:
 def gap_failure_reason(fail_on_gaps: bool = True) -> Column:
     """Why gaps fail the check, or null if they do not.
 
-    With side topics, a listing that was cut short fails even if all listed offsets are
-    explained: what lies beyond the limit is unknown.
+    With side topics, a listing that an explicit limit cuts short fails even if all listed
+    offsets are explained.
     """
     gaps = F.col("raw_gap_partition_count")
     side = F.col("side_topic_enabled")
@@ -68,7 +71,7 @@ def gap_failure_reason(fail_on_gaps: bool = True) -> Column:
     return (
         F.when(gaps == 0, F.lit(None).cast("string"))
         .when(~side, _filled(RAW_GAPS))
-        .when(F.col("unresolved_count") > 0, _filled(UNRESOLVED))
+        .when(F.col("bounded_unresolved_count") > 0, _filled(UNRESOLVED))
         .when(F.col("missing_offsets_truncated"), _filled(TRUNCATED))
     )
 

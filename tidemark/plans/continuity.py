@@ -2,11 +2,10 @@
 
 from dataclasses import dataclass, replace
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.errors import InputError
+from tidemark.errors import ENGINE_ERRORS, InputError
 from tidemark.operators import metadata as md
 from tidemark.operators import reconcile as rc
 from tidemark.operators import sequences as sq
@@ -14,7 +13,7 @@ from tidemark.operators import verdict as vd
 from tidemark.sources import discovery as ds
 from tidemark.sources import landed as ld
 from tidemark.sources import side_topic as st
-from tidemark.sources.scratch import materialize
+from tidemark.sources.scratch import materialize, release
 
 
 @dataclass(frozen=True)
@@ -43,9 +42,16 @@ class SideTopics:
 
 @dataclass(frozen=True)
 class Reconciliation:
+    """Side-topic records held against the missing offsets.
+
+    ``summary`` counts over all of them. ``explained`` has one row per listed offset; without
+    a limit it is computed when it is read.
+    """
+
     records: DataFrame
     explained: DataFrame
     summary: DataFrame
+    side_topics: SideTopics
 
     @property
     def classified(self) -> DataFrame:
@@ -53,7 +59,12 @@ class Reconciliation:
 
     @property
     def buckets(self) -> DataFrame:
-        return rc.bucket_offsets(self.explained)
+        return rc.bucket_offsets(self.explained, self.side_topics.canary_topic, self.side_topics.dead_letter_topic)
+
+    @property
+    def decoded_record_counts(self) -> DataFrame:
+        sides = [(self.side_topics.canary_topic, st.CANARY), (self.side_topics.dead_letter_topic, st.DEAD_LETTER)]
+        return st.decoded_record_count(self.records, [side for side in sides if side[0]])
 
 
 @dataclass(frozen=True)
@@ -64,20 +75,40 @@ class Continuity:
     words: DataFrame
     stats: DataFrame
     missing: DataFrame
-    limit: int
+    limit: int | None
     reconciliation: Reconciliation | None
     verdict: DataFrame
     partitions: DataFrame | None = None
+    roots: tuple = ()
 
     @property
     def report(self) -> DataFrame:
+        """Statistics per partition: with the listed offsets under a limit, else a row per run."""
+        if self.limit is None:
+            return sq.gap_report(self.words)
         return sq.stats_with_report(self.stats, self.missing, self.limit)
 
+    @property
+    def scan_summary(self) -> DataFrame:
+        """Children per root and status, 0 included; only for a run over roots."""
+        return ds.scan_summary(self.partitions, self.roots)
+
+    @property
+    def duplicates(self) -> DataFrame:
+        """Rows, distinct pairs, and rows that repeat an earlier pair."""
+        return sq.packed_duplicate_summary(self.words)
+
+    def release(self) -> None:
+        """Delete the intermediate tables of the run; its frames can then no longer be read."""
+        side = self.reconciliation
+        frames = [self.words, self.stats, self.missing, *((side.records, side.explained, side.summary) if side else ())]
+        release(*frames)
+
 
 def reconcile_side_topics(
-    missing: DataFrame, stats: DataFrame, limit: int, side_topics: SideTopics | None
+    words: DataFrame, stats: DataFrame, side_topics: SideTopics | None, limit: int | None = None
 ) -> Reconciliation | None:
-    """Decode the side topics and hold the missing offsets against them.
+    """Decode the side topics and hold the missing offsets of the packed ``words`` against them.
 
     The topics are decoded even if nothing is missing, so a broken payload never goes
     unnoticed. Without side topics there is no result.
@@ -91,21 +122,25 @@ def reconcile_side_topics(
     frames = [st.decode_side_topic(rows, kind, topic) for rows, kind, topic in sides if rows is not None]
     try:
         decoded = materialize(ld.cross_root_union(frames), "side-topic-records")
-    except PySparkException as error:
+    except ENGINE_ERRORS as error:
         topics = [topic for _, _, topic in sides if topic]
         raise InputError(f"cannot read side topics {topics}: {error}") from error
     st.require_decoded(decoded)
     records = st.side_topic_records(decoded)
     of_source = records.filter(F.col("source_topic") == side_topics.source_topic)
-    keys = rc.missing_keys(missing, side_topics.source_topic)
-    explained = materialize(rc.explain_keys(keys, of_source), "explained-offsets")
-    return Reconciliation(records, explained, rc.reconciliation_summary(explained, records, stats, limit))
+    keys = rc.missing_keys(sq.packed_missing_offsets(words, limit), side_topics.source_topic)
+    explained = rc.explain_keys(keys, of_source)
+    if limit is not None:
+        explained = materialize(explained, "explained-offsets")
+    listed = None if limit is None else explained
+    summary = rc.reconciliation_summary(words, stats, records, side_topics.source_topic, limit, listed)
+    return Reconciliation(records, explained, summary, side_topics)
 
 
 def check_landed(
     landed: DataFrame,
     metadata_column: str = md.DEFAULT_METADATA_COLUMN,
-    limit: int = sq.DEFAULT_MISSING_LIMIT,
+    limit: int | None = sq.DEFAULT_MISSING_LIMIT,
     fail_on_gaps=True,
     fail_on_invalid_rows=True,
     normalized_path: str | None = None,
@@ -115,9 +150,12 @@ def check_landed(
     """Check one frame of landed rows.
 
     The landed data is scanned and parsed once, into the packed ledger, from which all else
-    follows. Only when normalized rows are to be stored is it scanned twice: the profile
-    comes first, so that an input without valid rows leaves an older copy as it is, and the
-    analysis then reads the stored copy.
+    follows. When normalized rows are to be stored, the same pass writes them and counts the
+    profile, and the analysis reads the stored copy. An input without valid rows is noticed
+    before that, so an older copy is left as it is.
+
+    Counts and verdict cover all missing offsets. ``limit`` bounds only how many are listed
+    per partition; a listing that it cuts short fails a run with side topics.
     """
     sq.check_limit(limit)
     fail_on_gaps = vd.check_flag(fail_on_gaps, "fail_on_gaps")
@@ -127,9 +165,11 @@ def check_landed(
     if normalized_path:
         source = "_source_file"
         parsed = md.parse_metadata(ld.with_source_file(landed, source), metadata_column, keep=[source])
-        quality = materialize(md.metadata_quality(parsed), "quality")
-        md.require_valid_rows(quality.first())
-        ld.persist_normalized(md.normalize_offsets(parsed, source), normalized_path, normalized_overwrite)
+        if not parsed.filter(md.is_valid()).limit(1).count():
+            md.require_valid_rows(md.metadata_quality(parsed).first())
+        watched, profile = md.observed_quality(parsed)
+        ld.persist_normalized(md.normalize_offsets(watched, source), normalized_path, normalized_overwrite)
+        quality = md.quality_frame(landed.sparkSession, profile.get)
         stored = ld.reload_normalized(landed.sparkSession, normalized_path)
         words = materialize(sq.pack_sequences(stored), "ledger")
     else:
@@ -139,8 +179,10 @@ def check_landed(
         words = md.ledger_words(ledger)
 
     stats = materialize(sq.packed_gap_stats(words), "gap-stats")
-    missing = materialize(sq.packed_missing_offsets(words, limit), "missing-offsets")
-    reconciliation = reconcile_side_topics(missing, stats, limit, side_topics)
+    missing = sq.packed_missing_offsets(words, limit)
+    if limit is not None:
+        missing = materialize(missing, "missing-offsets")
+    reconciliation = reconcile_side_topics(words, stats, side_topics, limit)
     counted = (
         reconciliation.summary
         if reconciliation
@@ -165,7 +207,8 @@ def check_continuity(
     ``options`` are those of ``check_landed``.
     """
     sq.check_limit(options.get("limit", sq.DEFAULT_MISSING_LIMIT))
+    roots = ds.check_roots(roots)
     partitions = ds.classify_partitions(ds.scan_roots(spark, roots), ds.check_run_date(run_date), date_column)
     landed = ld.read_eligible(spark, ds.require_eligible(partitions))
     result = check_landed(landed, **options)
-    return replace(result, partitions=partitions)
+    return replace(result, partitions=partitions, roots=tuple(roots))

@@ -24,6 +24,8 @@ def _varint(buf, pos):
         pos += 1
         value |= (byte & 0x7F) << shift
         if byte < 0x80:
+            if value >> 64:
+                raise ValueError("variable-length number has more than 64 bits")
             return (value >> 1) ^ -(value & 1), pos
         shift += 7
         if shift > 63:

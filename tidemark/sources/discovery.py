@@ -1,6 +1,7 @@
 """Finding the date partitions to check below a list of roots."""
 
 import datetime
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from tidemark.errors import InputError
 # Fixed value: the date column of the landed directories.
 DEFAULT_DATE_COLUMN = "timestampcolumn"
 LISTING_SCHEMA = "root string, path string, name string, is_dir boolean"
+# The outcomes of a scan.
 STATUSES = ["eligible", "skipped_run_date", "invalid_date", "non_matching"]
 
 
@@ -24,13 +26,21 @@ def check_roots(roots) -> list:
 
 
 def check_run_date(run_date) -> datetime.date:
-    """The date to skip; the driver's current date when none is given."""
+    """The date to skip; the driver's current date when none is given.
+
+    Text must be a full ISO date; of a date with a time the date counts.
+    """
     if run_date is None:
         return datetime.date.today()
+    if isinstance(run_date, datetime.datetime):
+        return run_date.date()
     if isinstance(run_date, datetime.date):
         return run_date
+    text = str(run_date)
     try:
-        return datetime.datetime.strptime(str(run_date), "%Y-%m-%d").date()
+        if not re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", text):
+            raise ValueError("not of the form yyyy-mm-dd")
+        return datetime.date.fromisoformat(text)
     except ValueError as error:
         raise InputError(f"invalid run date: {run_date!r}") from error
 
@@ -92,9 +102,26 @@ def eligible_paths(partitions: DataFrame) -> DataFrame:
     return partitions.filter("status = 'eligible'").select("path").distinct().orderBy("path")
 
 
-def scan_summary(partitions: DataFrame) -> DataFrame:
-    """Number of children per root and status."""
-    return partitions.groupBy("root", "status").agg(F.count(F.lit(1)).alias("path_count"))
+def ordered_eligible(partitions: DataFrame) -> DataFrame:
+    """The eligible partitions with their dates, by date and then path."""
+    eligible = partitions.filter("status = 'eligible'").select("partition_date", "path").distinct()
+    return eligible.orderBy("partition_date", "path")
+
+
+def scan_summary(partitions: DataFrame, roots=()) -> DataFrame:
+    """Number of children per root and status, 0 included.
+
+    A root without children is not in ``partitions``; name it in ``roots`` to have its rows.
+    """
+    names = F.array(*map(F.lit, STATUSES))
+    every = partitions.select("root")
+    if roots:
+        every = every.union(partitions.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, check_roots(roots))))))
+    wanted = every.distinct().select("root", F.explode(names).alias("status"))
+    counts = partitions.groupBy("root", "status").agg(F.count(F.lit(1)).alias("n"))
+    return wanted.join(counts, ["root", "status"], "left").select(
+        "root", "status", F.coalesce("n", F.lit(0)).alias("path_count")
+    )
 
 
 def require_eligible(partitions: DataFrame) -> list:

@@ -2,11 +2,10 @@
 
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.errors import InputError
+from tidemark.errors import ENGINE_ERRORS, InputError
 
 
 def read_eligible(spark: SparkSession, paths) -> DataFrame:
@@ -17,7 +16,7 @@ def read_eligible(spark: SparkSession, paths) -> DataFrame:
     """
     try:
         return spark.read.parquet(*paths)
-    except PySparkException as error:
+    except ENGINE_ERRORS as error:
         raise InputError(f"cannot read the eligible partitions: {error}") from error
 
 
@@ -35,7 +34,7 @@ def persist_normalized(normalized: DataFrame, path: str, overwrite: bool = True)
     """Write normalized rows as Parquet; without ``overwrite`` an existing path is an error."""
     try:
         normalized.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
-    except PySparkException as error:
+    except ENGINE_ERRORS as error:
         raise InputError(f"cannot write normalized rows to {path}: {error}") from error
 
 
@@ -49,5 +48,5 @@ def reload_normalized(spark: SparkSession, path: str) -> DataFrame:
             "metadata_json",
             "source_file",
         )
-    except PySparkException as error:
+    except ENGINE_ERRORS as error:
         raise InputError(f"cannot read normalized rows from {path}: {error}") from error

@@ -4,6 +4,7 @@ They are written as Parquet tables rather than cached: a written table survives
 an executor, cuts the lineage, and gives the planner a true size for its join choices.
 """
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,3 +29,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the scratch tables that the frames read; other files are left alone."""
+    for frame in frames:
+        spark = frame.sparkSession
+        shared = scratch_path(spark, "x").rpartition("/")[0]
+        for folder in {name.rpartition("/")[0] for name in frame.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            below = spark._jvm.org.apache.hadoop.fs.Path(shared).toUri().getPath()
+            ours = re.fullmatch(r".+-[0-9a-f]{32}", path.getName())
+            if ours and path.toUri().getPath() == f"{below}/{path.getName()}":
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

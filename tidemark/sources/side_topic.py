@@ -5,11 +5,10 @@ import math
 import re
 
 import pyarrow as pa
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.errors import InputError
+from tidemark.errors import ENGINE_ERRORS, InputError
 from tidemark.sources.container import (
     Symbol,
     read_container,
@@ -92,7 +91,7 @@ def read_side_topic(source, topic: str, options: dict | None = None) -> DataFram
     else:
         try:
             rows = source.read.format("kafka").options(**(options or {})).load()
-        except PySparkException as error:
+        except ENGINE_ERRORS as error:
             raise InputError(f"cannot read side topic {topic}: {error}") from error
     return rows.select("topic", "partition", "offset", "value")
 
@@ -120,6 +119,8 @@ def _as_long(record, name):
         value = 0 if math.isnan(value) else int(max(-(2.0**63), min(value, 2.0**63)))
         return max(-(2**63), min(value, 2**63 - 1))
     if isinstance(value, int) and not isinstance(value, bool):
+        if not -(2**63) <= value < 2**63:
+            raise ValueError(f"{name} does not fit a long: {value}")
         return value
     if isinstance(value, str) and not isinstance(value, Symbol):
         if re.fullmatch(r"[+-]?\d+", value) and -(2**63) <= int(value) < 2**63:
@@ -184,17 +185,27 @@ def decode_errors(decoded: DataFrame) -> DataFrame:
 
 
 def require_decoded(decoded: DataFrame, shown: int = 20) -> None:
-    """Raise if any payload is broken; the message counts all and lists the first few."""
+    """Raise if any payload is broken; the message counts all and names the first few.
+
+    The error carries the frame of all of them as ``details``.
+    """
     errors = decode_errors(decoded)
     first = errors.orderBy("kafka_topic", "kafka_offset").limit(shown).collect()
     if first:
         lines = "; ".join(f"topic={e.kafka_topic} offset={e.kafka_offset}: {e.decode_error}" for e in first)
-        raise InputError(f"{errors.count()} side-topic payloads cannot be decoded: {lines}")
-
-
-def decoded_record_count(records: DataFrame) -> DataFrame:
-    """Records per side topic and kind."""
-    return records.groupBy("side_topic", "kind").agg(F.count(F.lit(1)).alias("decoded_record_count"))
+        raise InputError(f"{errors.count()} side-topic payloads cannot be decoded: {lines}", details=errors)
+
+
+def decoded_record_count(records: DataFrame, topics=()) -> DataFrame:
+    """Records per side topic and kind; ``topics`` are such pairs that count 0 when absent."""
+    counts = records.groupBy("side_topic", "kind").agg(F.count(F.lit(1)).alias("decoded_record_count"))
+    if not topics:
+        return counts
+    pairs = F.array(*(F.struct(F.lit(topic).alias("side_topic"), F.lit(kind).alias("kind")) for topic, kind in topics))
+    absent = records.sparkSession.range(1).select(F.inline(pairs), F.lit(0).cast("bigint").alias("decoded_record_count"))
+    return counts.unionByName(absent).groupBy("side_topic", "kind").agg(
+        F.sum("decoded_record_count").alias("decoded_record_count")
+    )
 
 
 # -- publishing --------------------------------------------------------------------------------
