@@ -18,6 +18,9 @@ class Symbol(str):
 
 
 def _varint(buf, pos):
+    byte = buf[pos]
+    if byte < 0x80:
+        return (byte >> 1) ^ -(byte & 1), pos + 1
     shift = value = 0
     while True:
         byte = buf[pos]
@@ -85,10 +88,14 @@ PRIMITIVES = {
 }
 
 
-def _reader(schema, named, space=""):
-    """A function ``(buf, pos) -> (value, pos)`` for a schema."""
+def _reader(schema, named, space="", wanted=None, text=_text):
+    """A function ``(buf, pos) -> (value, pos)`` for a schema.
+
+    ``wanted`` names the fields of the outermost record that are needed; of the others the
+    texts are passed over without being decoded.
+    """
     if isinstance(schema, list):
-        branches = [_reader(branch, named, space) for branch in schema]
+        branches = [_reader(branch, named, space, wanted, text) for branch in schema]
 
         def read_union(buf, pos):
             index, pos = _varint(buf, pos)
@@ -100,17 +107,19 @@ def _reader(schema, named, space=""):
 
     kind = schema["type"] if isinstance(schema, dict) else schema
     if isinstance(kind, (dict, list)):
-        return _reader(kind, named, space)
+        return _reader(kind, named, space, wanted, text)
+    if kind == "string":
+        return text
     if kind in PRIMITIVES:
         return PRIMITIVES[kind]
     if kind == "array":
-        item = _reader(schema["items"], named, space)
+        item = _reader(schema["items"], named, space, text=text)
         return lambda buf, pos: _blocks(buf, pos, item)
     if kind == "map":
-        item = _reader(schema["values"], named, space)
+        item = _reader(schema["values"], named, space, text=text)
 
         def read_entry(buf, pos):
-            name, pos = _text(buf, pos)
+            name, pos = text(buf, pos)
             value, pos = item(buf, pos)
             return (name, value), pos
 
@@ -148,13 +157,36 @@ def _reader(schema, named, space=""):
 
     named[full] = read
     if kind == "record":
-        fields.extend((field["name"], _reader(field["type"], named, space)) for field in schema["fields"])
+        for field in schema["fields"]:
+            passed = wanted is not None and field["name"] not in wanted
+            fields.append((field["name"], _reader(field["type"], named, space, text=_bytes if passed else text)))
     return read
 
 
 @functools.lru_cache(maxsize=64)
-def _compiled(schema_text):
-    return _reader(json.loads(schema_text), {})
+def _compiled(schema_text, wanted):
+    return _reader(json.loads(schema_text), {}, wanted=wanted)
+
+
+#: Parsed headers by their length and bytes, as payloads of one topic mostly share theirs.
+_parsed_headers: dict = {}
+
+
+def _open_container(payload, wanted):
+    """Codec, record reader and the end of the header of a payload."""
+    for size, known in _parsed_headers.items():
+        found = known.get((payload[4:size], wanted))
+        if found:
+            return *found, size
+    meta, pos = _read_meta(payload, 4)
+    codec = meta.get("avro.codec", b"null").decode()
+    if codec not in ("null", "deflate"):
+        raise ValueError(f"unsupported Avro codec {codec}")
+    found = codec, _compiled(meta["avro.schema"].decode("utf-8"), wanted)
+    if sum(map(len, _parsed_headers.values())) >= 64:
+        _parsed_headers.clear()
+    _parsed_headers.setdefault(pos, {})[payload[4:pos], wanted] = found
+    return *found, pos
 
 
 def _read_meta(buf, pos):
@@ -167,18 +199,17 @@ def _read_meta(buf, pos):
     return dict(entries), pos
 
 
-def read_container(payload: bytes) -> list:
-    """The records of a container as dicts. Any defect is a ``ValueError``."""
+def read_container(payload: bytes, wanted: frozenset | None = None) -> list:
+    """The records of a container as dicts. Any defect is a ``ValueError``.
+
+    Of fields that are not ``wanted`` the texts stay undecoded.
+    """
     if not payload:
         raise ValueError("payload is empty")
     if payload[:4] != MAGIC:
         raise ValueError("not an Avro object container")
     try:
-        meta, pos = _read_meta(payload, 4)
-        codec = meta.get("avro.codec", b"null").decode()
-        if codec not in ("null", "deflate"):
-            raise ValueError(f"unsupported Avro codec {codec}")
-        read = _compiled(meta["avro.schema"].decode("utf-8"))
+        codec, read, pos = _open_container(payload, wanted)
         sync, pos = _fixed(payload, pos, 16)
         records = []
         while pos < len(payload):

@@ -26,6 +26,7 @@ DEAD_LETTER = "dead_letter"
 KEY_FIELDS = ["sourceKey", "sourceValue", "sourceHeaders", "sourceTopic", "sourcePartition", "sourceOffset"]
 COMMON_FIELDS = [*KEY_FIELDS, "sourceKafkaTimestamp"]
 DIAGNOSTIC_FIELDS = ["failureEventId", "reasonMsg", "exception"]
+NEEDED_FIELDS = frozenset(["sourceTopic", "sourcePartition", "sourceOffset", *DIAGNOSTIC_FIELDS])
 RECORD_NAMES = {CANARY: "CanaryRecord", DEAD_LETTER: "DeadLetterRecord"}
 
 REQUIRED_FIELDS = {CANARY: COMMON_FIELDS, DEAD_LETTER: COMMON_FIELDS + DIAGNOSTIC_FIELDS}
@@ -46,6 +47,12 @@ DECODED_SCHEMA = (
     "kafka_topic string, kafka_offset bigint, decode_error string"
 )
 
+# Everything up to the space character is trimmed, control characters included.
+TRIMMED = "".join(map(chr, range(33)))
+
+#: Decoded rows are handed on in parts of about this many.
+DECODED_ROWS = 4096
+
 # Defaults of the bounded Kafka read, which broker settings may override.
 KAFKA_TIMEOUTS = {"kafka.request.timeout.ms": "10000", "kafka.default.api.timeout.ms": "10000"}
 
@@ -107,8 +114,7 @@ def _as_text(value):
         value = value.decode("utf-8", "replace")
     elif isinstance(value, bool):
         value = "true" if value else "false"
-    # Everything up to the space character is trimmed, control characters included.
-    return str(value).strip("".join(map(chr, range(33)))) or None
+    return str(value).strip(TRIMMED) or None
 
 
 def _as_long(record, name):
@@ -160,18 +166,24 @@ def decode_side_topic(rows: DataFrame, kind: str, side_topic: str) -> DataFrame:
             + [(name, pa.string()) for name in ("failure_event_id", "reason_msg", "exception", "kafka_topic")]
             + [("kafka_offset", pa.int64()), ("decode_error", pa.string())]
         )
+        def rows_of(out):
+            columns = zip(*out) if out else [[] for _ in schema]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(column, field.type) for column, field in zip(columns, schema)], schema=schema
+            )
+
         for batch in batches:
             out = []
             for topic, offset, value in zip(*(batch.column(c).to_pylist() for c in ("topic", "offset", "value"))):
                 try:
-                    records = [_decode_record(record, kind) for record in read_container(value)]
+                    records = [_decode_record(record, kind) for record in read_container(value, NEEDED_FIELDS)]
                     out += [[kind, side_topic, *record, topic, offset, None] for record in records]
                 except ValueError as error:
                     out.append([kind, side_topic, *[None] * 6, topic, offset, str(error)])
-            columns = zip(*out) if out else [[] for _ in schema]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, field.type) for column, field in zip(columns, schema)], schema=schema
-            )
+                if len(out) >= DECODED_ROWS:
+                    yield rows_of(out)
+                    out = []
+            yield rows_of(out)
 
     return rows.select("topic", "offset", "value").mapInArrow(decode, DECODED_SCHEMA)
 
