@@ -1,6 +1,7 @@
 """A training corpus in stages; each works on all that the stage before it kept."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import near_dup, packing, quality, secrets, toxicity
 from tidemark.sources.scratch import materialize
@@ -19,14 +20,19 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component, the one with the smallest id."""
+    """One document of each near-duplicate component, the one with the smallest id.
+
+    Rows that repeat an id are one document and stay or go together.
+    """
     gone = near_dup.near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the secrets in their texts replaced."""
-    return secrets.redact_secrets(docs)
+    """All documents, with the secrets in their texts replaced and the lengths counted anew."""
+    clean = secrets.redact_secrets(docs)
+    length = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    return clean.withColumn("n_chars", length)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

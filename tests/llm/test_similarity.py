@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import embedding_dup, near_dup, toxicity
+from tidemark.llm.common import connected
 from tidemark.llm.queries import op6_minhash_near_dedup, op8_embedding_near_dedup, op9_toxicity
 
 SF = "/root/testdata/sf0.01"
@@ -96,6 +97,19 @@ def test_near_duplicate_odd_rows(spark):
     assert near_dup.near_duplicates(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_connected(spark, seed):
+    """Chains, a star with many leaves, loops and repeated edges."""
+    draw = random.Random(seed)
+    chain = [(i, i + 1) for i in range(100, 160)]
+    draw.shuffle(chain)
+    edges = chain + [(7, n) for n in range(1000, 1600)] + [(5, 5), (3, 4), (4, 3), (3, 4)]
+    edges += [(draw.randrange(2000, 2300), draw.randrange(2000, 2300)) for _ in range(200)]
+    got = {r["node"]: r["component"] for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    joined = [e for e in edges if e[0] != e[1]]
+    assert got == components({n for e in joined for n in e}, joined)
+
+
 def clustered(seed, width=16):
     draw = np.random.default_rng(seed)
     centres = draw.normal(size=(12, width))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ANCHOR = "licen[sc]|warrant|liabl"
-COPYRIGHT_LINES = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+COPYRIGHT_LINES = r"^[^a-z0-9\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 #: Spellings that count as equal, by word. Fixed values.
@@ -86,7 +86,7 @@ TEXTS = {
 
 def canonical(text: Column) -> Column:
     """The text in lower case, without copyright lines and punctuation, in one spelling."""
-    words = F.regexp_replace(F.lower(text), COPYRIGHT_LINES, "")
+    words = F.regexp_replace(F.lower(text), f"(?md){COPYRIGHT_LINES}", "")
     words = F.concat(F.lit(" "), F.regexp_replace(F.replace(words, F.lit("&"), F.lit(" and ")), NOT_WORD, "  "), F.lit(" "))
     for spelling, usual in SPELLINGS.items():  # two spaces between words leave one for each neighbour
         words = F.replace(words, F.lit(f" {spelling.replace(' ', '  ')} "), F.lit(f" {usual} "))

@@ -78,7 +78,7 @@ def _text(value: str) -> str:
 
 
 def _canonical(column: str) -> str:
-    words = f"replace(regexp_replace(lower({column}), {_text(licenses.COPYRIGHT_LINES)}, '', 'g'), '&', ' and ')"
+    words = f"replace(regexp_replace(lower({column}), {_text('(?m)' + licenses.COPYRIGHT_LINES)}, '', 'g'), '&', ' and ')"
     words = f"' ' || regexp_replace({words}, {_text(licenses.NOT_WORD)}, '  ', 'g') || ' '"
     for spelling, usual in licenses.SPELLINGS.items():
         words = f"replace({words}, {_text(' ' + spelling.replace(' ', '  ') + ' ')}, {_text(' ' + usual + ' ')})"
