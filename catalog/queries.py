@@ -275,8 +275,9 @@ def _summary_of(words, records, limit=None) -> DataFrame:
 
 
 def _both(spark, sf_dir) -> DataFrame:
+    """The records of both side topics as a stored table, since a summary reads them more than once."""
     canary, dead_letter = _sides(spark, sf_dir)
-    return canary.unionByName(dead_letter)
+    return materialize(canary.unionByName(dead_letter), "records")
 
 
 def _summary(spark, sf_dir) -> DataFrame:

@@ -47,5 +47,16 @@ def test_query(spark, db, name):
     assert got == wanted
 
 
+STORED = ["stats_with_report", "gap_report", "reconciliation_summary", "gap_verdict", "final_verdict", "pass_message"]
+
+
+@pytest.mark.parametrize("name", STORED)
+def test_source_tables_are_read_once(spark, name):
+    """These read a table that one job made from the source, and not the source again."""
+    shared = spark.conf.get("spark.checkpoint.dir")
+    files = QUERIES[name](spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and all(shared in file for file in files)
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == 1
