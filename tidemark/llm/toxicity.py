@@ -100,7 +100,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     known = known.groupBy(F.col(doc_id).alias("__id")).agg(F.max(label).cast("int").alias("__label"))
     chosen = known.withColumn("__order", F.xxhash64("__id")).orderBy("__order", "__id").limit(rows)
     texts = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
-    picked = texts.join(F.broadcast(chosen), "__id")  # never more than ``rows`` ids.select("__order", "__label", "__text")
+    # the sample never has more than ``rows`` ids, so it may be sent to every task
+    picked = texts.join(F.broadcast(chosen), "__id").select("__order", "__label", "__text")
 
     def factory():
         return lambda order, marks, values: (order, marks, [found.tobytes() for found in features(values)])
