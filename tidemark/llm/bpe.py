@@ -133,9 +133,8 @@ def bpe_encode(
 
 
 def _encode_plain(rows: DataFrame, kept: list[str], tokenizer_path: str, ranks_path: str) -> DataFrame:
-    # the text goes through Python once; the other columns ride along in a struct
-    ddl = rows.select(*kept).schema
-    schema = ", ".join([f"`{field.name}` {field.dataType.simpleString()}" for field in ddl] + ["ids array<int>", "decoded string"])
+    fields = rows.select(*kept).schema
+    schema = ", ".join([f"`{field.name}` {field.dataType.simpleString()}" for field in fields] + ["ids array<int>", "decoded string"])
 
     def factory():
         coder = codec(tokenizer_path, ranks_path)
