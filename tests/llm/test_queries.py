@@ -105,6 +105,30 @@ def test_license_forms(spark):
     }
 
 
+def test_creative_commons_notices(spark):
+    """Notices written out here, and the one that the given tables hold."""
+    want = {
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Released under CC BY-ND 4.0": "CC-BY-ND-4.0",
+        "This work is licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0",
+        "Licensed under CC-BY-NC-ND 4.0": "CC-BY-NC-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "CC-BY-NC-4.0",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "CC-BY-ND-4.0",
+        "This work is licensed under the Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International Public License.": "CC-BY-NC-SA-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivs 3.0 Unported License.": "CC-BY-NC-ND-3.0",
+        "licensed under the creative commons attribution 4.0 international licence": "CC-BY-4.0",
+        "Released under CC0 1.0.": "CC0-1.0",
+        "This work is licensed under the Creative Commons CC0 1.0 Universal Public Domain Dedication.": "CC0-1.0",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.": "CC0-1.0",
+        "She gave a licence to CC BY-NC 4.0.": "",
+    }
+    got = licensed(spark, [f"Some prose.\n{line}\nMore prose." for line in want])
+    assert [got[i][2] for i in range(len(want))] == list(want.values())
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = docs.filter("array_contains(split(text, '\\n'), 'Licensed under CC BY-NC 4.0.')")
+    assert held.count() == licenses.license_scan(docs).filter("array_contains(split(notices, ','), 'CC-BY-NC-4.0')").count() > 0
+
+
 def test_license_odd_rows(spark):
     frame = spark.createDataFrame([(None, "Released under the MIT License.", "", ""), (1, "x", "", ""), (1, "x", "", "")], DOCS)
     got = sorted(tuple(r) for r in licenses.license_scan(frame).collect() if r["doc_id"])

@@ -10,7 +10,7 @@ for licence texts, and each whole line, for notices. Every known text holds one
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ANCHOR = "licen[sc]|warrant|liabl"
+ANCHOR = "licen[sc]|warrant|liabl|cc[ -]by|cc0|creative commons|public domain|waived all copyright"
 COPYRIGHT_LINES = r"^[^a-z0-9\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
@@ -23,6 +23,7 @@ SPELLINGS = {
     "behaviour": "behavior", "favour": "favor", "fulfil": "fulfill", "judgement": "judgment",
     "merchantibility": "merchantability", "whilst": "while", "wilful": "willful", "copyright owner": "copyright holder",
     "copyright owners": "copyright holders", "non infringement": "noninfringement", "per cent": "percent",
+    "non commercial": "noncommercial", "share alike": "sharealike", "noderivs": "noderivatives", "no derivatives": "noderivatives",
 }
 
 #: Notices of one line. Fixed values.
@@ -33,10 +34,36 @@ NOTICES = {
     "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "Licensed under the GNU General Public License, version 2."],
     "BSD-3-Clause": ["Released under the BSD 3-Clause License.", "Licensed under the BSD 3-Clause License."],
     "MPL-2.0": ["Licensed under the Mozilla Public License, version 2.0."],
-    "CC-BY-4.0": ["This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0."],
-    "CC-BY-SA-4.0": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
 }
 
+_CC_KINDS = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+_CC_PORTS = {"4.0": "International", "3.0": "Unported", "2.5": "Generic", "2.0": "Generic"}
+_STARTS = ("Licensed under", "Released under", "This work is licensed under", "This project is licensed under")
+
+
+def _cc_notices() -> dict[str, list[str]]:
+    """The six Creative Commons licences in each version, and CC0, by short and by full name."""
+    found = {}
+    for kind, title in _CC_KINDS.items():
+        for version, port in _CC_PORTS.items():
+            full = f"Creative Commons {title} {version}"
+            names = [f"CC {kind} {version}", f"the CC {kind} {version} license", f"a CC {kind} {version} license", full, f"{full} {port}"]
+            names += [f"{article} {full} {tail}" for article in ("a", "the") for tail in ("License", f"{port} License", f"{port} Public License")]
+            found[f"CC-{kind}-{version}"] = [f"{start} {name}." for start in _STARTS for name in names]
+    names = [f"{article}{name}{tail}" for article in ("", "the ") for name in ("CC0", "CC0 1.0", "CC0 1.0 Universal", "Creative Commons CC0", "Creative Commons CC0 1.0 Universal",
+             "Creative Commons Zero 1.0 Universal", "Creative Commons Zero v1.0 Universal") for tail in ("", " License", " Public Domain Dedication")]
+    found["CC0-1.0"] = [f"{start} {name}." for start in (*_STARTS, "This work is marked with", "Dedicated to the public domain under") for name in names] + [
+        f"To the extent possible under law, {who} waived all copyright and related or neighboring rights to this work."
+        for who in ("the author has", "the author(s) have", "the authors have", "the person who associated CC0 with this work has")
+    ]
+    return found
+
+
+NOTICES |= _cc_notices()
+
 _MIT_GRANT = (
     'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
     "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
@@ -101,8 +128,10 @@ def known_digests(spark: SparkSession) -> DataFrame:
     """``(known, license, unit)``: one row per canonical form; as many as there are texts above."""
     rows = [("line", name, text) for name, texts in NOTICES.items() for text in texts]
     rows += [("document", name, text) for name, texts in TEXTS.items() for text in texts]
-    structs = [F.struct(*(F.lit(value).alias(column) for column, value in zip(("unit", "license", "text"), row, strict=True))) for row in rows]
-    table = spark.range(1).select(F.inline(F.array(*structs)))
+    # one literal, as a plan with a literal per text is slow to build
+    packed = F.split(F.lit("\x1e".join("\x1f".join(row) for row in rows)), "\x1e")
+    fields = spark.range(1).select(F.explode(packed).alias("row")).select(F.split("row", "\x1f").alias("f"))
+    table = fields.select(*(F.col("f")[i].alias(name) for i, name in enumerate(("unit", "license", "text"))))
     return table.groupBy(digest(F.col("text")).alias("known"), "unit").agg(F.min("license").alias("license"))
 
 
