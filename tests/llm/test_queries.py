@@ -129,6 +129,40 @@ def test_creative_commons_notices(spark):
     assert held.count() == licenses.license_scan(docs).filter("array_contains(split(notices, ','), 'CC-BY-NC-4.0')").count() > 0
 
 
+def test_known_texts_at_any_width(spark):
+    """Wrapped anywhere, also with copyright lines of several kinds before it, a known text stays known."""
+    import re
+    import textwrap
+
+    isc = """The ISC License
+
+Copyright (c) Isaac Z. Schlueter and Contributors
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR
+IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
+"""
+    wanted, texts = ["ISC"], [isc]
+    heads = ["", "Copyright (c) 2020 Some One\n", "Copyright 2020 Some One\n", "Copyright by Some One\n", "Copyright Some One\nAll rights reserved.\n", "© Nobody\n",
+             "Copyright: Ökonomie AG\n", "(c) 2020 Some One\n", "Copyright Noticeable Holdersons\n"]
+    for name, known in licenses.TEXTS.items():
+        for number, width in enumerate((9, 20, 31, 44, 57, 66, 72, 79, 100)):
+            keep = lambda part: re.search(r"(?mi)^ *copyright (\(c\)|\[)", part)
+            parts = [part if keep(part) else textwrap.fill(part, width, break_long_words=False, break_on_hyphens=False) for part in known[-1].split("\n\n")]
+            wanted.append(name)
+            texts.append(heads[number] + "\n\n".join(parts))
+    got = licensed(spark, texts)
+    assert [(i, got[i][0]) for i in range(len(texts))] == list(enumerate(wanted))
+
+
 def test_license_odd_rows(spark):
     frame = spark.createDataFrame([(None, "Released under the MIT License.", "", ""), (1, "x", "", ""), (1, "x", "", "")], DOCS)
     got = sorted(tuple(r) for r in licenses.license_scan(frame).collect() if r["doc_id"])

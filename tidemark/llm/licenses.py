@@ -7,11 +7,39 @@ for licence texts, and each whole line, for notices. Every known text holds one
 ``ANCHOR`` words, so units without one are left out before any digest is made.
 """
 
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ANCHOR = "licen[sc]|warrant|liabl|cc[ -]by|cc0|creative commons|public domain|waived all copyright"
-COPYRIGHT_LINES = r"^[^a-z0-9\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+
+#: Words of running text after "copyright" or a list item "(c)"; anything else there is a holder. Fixed values.
+NO_HOLDER = frozenset(
+    "a act an and any are as be by claim claims disclaimer disclaimers doctrine doctrines for from has have holder holders if in interest interests is it law "
+    "laws licence license licensed licenses line lines may must not notice notices of on or other owned owner owners ownership permission permissions "
+    "protection right rights shall statement statements that the this to treaties treaty under which with year you your accompany convey prohibiting".split()
+)
+
+
+def _other_than(words: frozenset[str]) -> str:
+    """The start of a lower-case word up to where it differs from all ``words``; without look-ahead, which RE2 has not."""
+    nexts: dict[str, set[str]] = {}
+    for word in words - {""}:
+        nexts.setdefault(word[0], set()).add(word[1:])
+    ways = [rf"[^{''.join(sorted(nexts))}\x00-\x2f\x3a-\x60\x7b-\x7f]"]
+    for first, rests in sorted(nexts.items()):
+        ways.append(first + (_other_than(frozenset(rests)) if "" in rests else f"(?:{_other_than(frozenset(rests))}|{_WORD_END})"))
+    return f"(?:{'|'.join(ways)})"
+
+
+_WORD_END = r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f]|$"
+_HOLDER = _other_than(NO_HOLDER)
+#: "Copyright" with a sign, a year, "by" or a holder after it, "(c)" with a year or a holder, and the reservation of rights.
+COPYRIGHT_LINES = (
+    r"^[^a-z0-9\n]*(?:copyright(?:[^a-z0-9\n]*(?:\(c\)|©|&copy;|[12][0-9][0-9][0-9]|by )|[ \t]+[<\[{])|\(c\)[ \t]*copyright"
+    r"|(?:copyright[ \t:]+|\(c\)[ \t]*)" + _HOLDER + r"|©|all rights reserved|rights reserved[^a-z0-9\n]*$)[^\n]*$"
+)
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 #: Spellings that count as equal, by word. Fixed values.
@@ -98,16 +126,57 @@ _BSD_DISCLAIMER = (
     "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 )
 
+_UNLICENSE = (
+    "This is free and unencumbered software released into the public domain.\n\n"
+    "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+    "purpose, commercial or non-commercial, and by any means.\n\n"
+    "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the "
+    "public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this "
+    "dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.\n\n"
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+    "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
+    "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+
+
+def _titled(titles: str, *texts: str) -> list[str]:
+    return [f"{title}\n\n{text}" if title else text for title in ("", *titles.split("|")) for text in texts]
+
+
+def _bullets(text: str) -> str:
+    return text.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")
+
+
+def _files() -> dict[str, list[str]]:
+    """The texts in ``license_texts``, each also without the advice that follows its terms."""
+    found = {}
+    for file in resources.files("tidemark.llm").joinpath("license_texts").iterdir():
+        text = file.read_text(encoding="utf-8")
+        terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        found[file.name.removesuffix(".txt")] = [text, terms, terms + end] if end else [text]
+    return found
+
+
+_BSD_2, _BSD_3 = _BSD_TWO + _BSD_DISCLAIMER, _BSD_TWO + _BSD_THIRD + _BSD_DISCLAIMER
+_ISC_TERMS = ", provided that the above copyright notice and this permission notice appear in all copies.\n\n"
+_GRANTS = (_ISC_GRANT, _ISC_GRANT.replace("and/or", "and"))
+
 #: Licence texts. Fixed values.
 TEXTS = {
-    "MIT": [_MIT_GRANT, "MIT License\n\n" + _MIT_GRANT, "The MIT License\n\n" + _MIT_GRANT, "The MIT License (MIT)\n\n" + _MIT_GRANT],
-    "ISC": [
-        f"{title}{_ISC_GRANT}, provided that the above copyright notice and this permission notice appear in all copies.\n\n{_ISC_DISCLAIMER}"
-        for title in ("", "ISC License\n\n")
-    ],
-    "0BSD": [f"{title}{_ISC_GRANT}.\n\n{_ISC_DISCLAIMER}" for title in ("", "Zero-Clause BSD\n\n", "BSD Zero Clause License\n\n")],
-    "BSD-2-Clause": [title + _BSD_TWO + _BSD_DISCLAIMER for title in ("", "BSD 2-Clause License\n\n")],
-    "BSD-3-Clause": [title + _BSD_TWO + _BSD_THIRD + _BSD_DISCLAIMER for title in ("", "BSD 3-Clause License\n\n")],
+    "MIT": _titled("MIT License|The MIT License|The MIT License (MIT)|MIT License (MIT)|MIT", _MIT_GRANT),
+    "ISC": _titled("ISC License|The ISC License|ISC License (ISC)|The ISC License (ISC)|ISC", *(grant + _ISC_TERMS + _ISC_DISCLAIMER for grant in _GRANTS)),
+    "0BSD": _titled("Zero-Clause BSD|BSD Zero Clause License|Zero-Clause BSD License|0BSD", *(f"{grant}.\n\n{_ISC_DISCLAIMER}" for grant in _GRANTS)),
+    "BSD-2-Clause": _titled(
+        'BSD 2-Clause License|The BSD 2-Clause License|The 2-Clause BSD License|BSD 2-Clause "Simplified" License|BSD License', _BSD_2, _bullets(_BSD_2)
+    ),
+    "BSD-3-Clause": _titled(
+        'BSD 3-Clause License|The BSD 3-Clause License|The 3-Clause BSD License|BSD 3-Clause "New" or "Revised" License|BSD License', _BSD_3, _bullets(_BSD_3)
+    ),
+    "Unlicense": _titled(
+        "The Unlicense|Unlicense",
+        *(_UNLICENSE + tail for tail in ("", *(f"\n\nFor more information, please refer to {at}unlicense.org{end}" for at in ("http://", "https://") for end in ("", "/")))),
+    ),
+    **_files(),
 }
 
 
