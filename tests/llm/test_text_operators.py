@@ -130,6 +130,24 @@ def test_random_tokens_are_added(spark):
     assert all("[secret]" in clean[r["doc_id"]] for r in found if r["spans"])
 
 
+PLAIN = ["it was said that the river runs along the old stone walls of town and they went on", "InternationalizationHelperFactory2 and "
+         "AbstractSingletonProxyFactoryBean are names, see /usr/share/common-licenses/Apache2 or docs/GettingStarted_part2", "das WeltwirtschaftsForum2024inDavos"]
+
+
+@pytest.mark.parametrize("alphabet, length", [
+    (secrets.BASE64[:62], 48), (secrets.BASE64, 88), (secrets.BASE64[:52], 40), (secrets.BASE64[26:62], 40), (secrets.BASE32, 32),
+    ("0123456789ABCDEF", 40), (secrets.BASE64[:62], 200), (secrets.BASE64[:26] + "0123456789", 32),
+])
+def test_one_planted_key_is_enough(spark, alphabet, length):
+    draw = random.Random(length)
+    key = "".join(draw.choice(alphabet) for _ in range(length))
+    docs = spark.createDataFrame([(0, f"see {key} here"), *((i + 1, text) for i, text in enumerate(PLAIN))], "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in secrets.secret_spans(docs).collect()}
+    assert found == {0: [("random", 4, 4 + length)], 1: [], 2: [], 3: []}
+    alone = secrets.redact_secrets(docs.filter("doc_id = 0")).collect()
+    assert alone[0]["text"] == "see [secret] here"
+
+
 def test_secret_odd_rows(odd, empty):
     found = secrets.secret_spans(odd)
     assert found.count() == len(ODD) + 2

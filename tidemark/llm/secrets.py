@@ -5,17 +5,21 @@ asks whether it looks drawn evenly from the alphabet of that encoding: a chi-squ
 the symbol counts, a runs test about the middle of the alphabet, and a test of the serial
 correlation of neighbours. The three p-values are combined by Bonferroni's bound.
 
-Short prose passes such tests by chance, and the shorter the more often. So each candidate
-is matched with a decoy: prose from around it, of the same length, read in the same alphabet.
-Per encoding and length band the limit on the p-value is the lowest at which the decoys that
-pass are at most ``FDR`` of the candidates that pass. Those counts are a small histogram
-over the whole table.
+Short prose passes such tests by chance, and the shorter the more often. So each candidate is
+also held against prose: a model of which character follows which, counted over all prose of
+the table on top of a fixed sample. Under that model the token's probability divided by its
+probability as even draws is a p-value, whatever its length and encoding (Markov's bound, with
+a share for each alphabet). Benjamini-Hochberg over all long tokens of the table then keeps the
+false discoveries at ``FDR``; a single strong token needs no others beside it. The counts and a
+small histogram are all that is gathered from the table.
 """
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from importlib import resources
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +28,10 @@ from tidemark.llm.common import arrow_map
 
 FDR = 0.05
 MIN_LENGTH = 20
-BINS = 200
-BANDS = (20, 24, 32, 40, 64, 128)
+#: Draws that are even pass the battery but for this share.
+EVEN = 0.001
+#: The histogram of strengths, -log p: number and width of its bins.
+BINS, STEP = 400, 0.25
 #: Spans at the same start are listed in this order.
 KINDS = ("assign", "access", "hex", "random")
 
@@ -38,9 +44,19 @@ HINTS = ("passw", "secret", "token", "api")
 HEX_DIGITS = "0123456789abcdef"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-ALPHABETS = {"hex": HEX_DIGITS, "base32": BASE32, "base64": BASE64}
+BASE36 = "0123456789abcdefghijklmnopqrstuvwxyz"
+BASE62 = BASE64[:62]
+ALPHABETS = {"hex": HEX_DIGITS, "base32": BASE32, "base36": BASE36, "base62": BASE62, "base64": BASE64}
 CODES = {name: {symbol: i for i, symbol in enumerate(alphabet)} for name, alphabet in ALPHABETS.items()}
 CODES["base64"] |= {"-": 62, "_": 63}
+#: Each alphabet as it may be written, in upper and lower case.
+WRITTEN = len(ALPHABETS) + 2
+#: States of the prose model: the characters of tokens, and last what stands between them.
+SYMBOLS = BASE64 + "-_"
+OUTSIDE = len(SYMBOLS)
+PLACE = {symbol: i for i, symbol in enumerate(SYMBOLS)}
+PLACES = np.full(256, OUTSIDE, np.int64)
+PLACES[np.frombuffer(SYMBOLS.encode(), np.uint8)] = np.arange(OUTSIDE)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -64,8 +80,10 @@ def encoding_of(token: str) -> str | None:
         return "hex"
     if digits and letters and symbols <= set(BASE32):
         return "base32"
-    if digits and any(c.islower() for c in letters) and any(c.isupper() for c in letters):
-        return "base64"
+    if digits and letters and (symbols <= set(BASE36) or symbols <= set(BASE36.upper())):
+        return "base36"
+    if any(c.islower() for c in letters) and any(c.isupper() for c in letters):
+        return "base62" if symbols <= set(BASE62) else "base64"
     return None
 
 
@@ -118,7 +136,7 @@ def read_as(token: str, encoding: str) -> list[int]:
     """Places in the alphabet; a character outside it counts by its code."""
     code, size = CODES[encoding], len(ALPHABETS[encoding])
     token = token.rstrip("=")
-    if encoding == "hex":
+    if encoding in ("hex", "base36"):
         token = token.lower()
     return [code.get(symbol, ord(symbol) % size) for symbol in token]
 
@@ -136,78 +154,119 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     return out
 
 
-def _p_bin(p: float) -> int:
-    return min(BINS - 1, int(p * BINS))
-
-
-def _band(length: int) -> int:
-    return sum(length >= edge for edge in BANDS)
+def prose_pairs(text: str, spans: Iterable[tuple[int, int]] = ()) -> np.ndarray:
+    """How often each state follows each, as a flat square, in ``text`` without ``spans``."""
+    parts, last = [], 0
+    for start, end in sorted(spans):
+        parts.append(text[last:max(last, start)])
+        last = max(last, end)
+    text = " ".join([*parts, text[last:]])
+    states = PLACES[np.frombuffer(f" {text} ".encode("latin-1", "replace"), np.uint8)]
+    return np.bincount(states[:-1] * (OUTSIDE + 1) + states[1:], minlength=(OUTSIDE + 1) ** 2)
+
+
+def prose_logs(counts: np.ndarray) -> list[list[float]]:
+    """log P(character | the one before) inside tokens, from ``counts`` on top of the fixed sample."""
+    folder = resources.files("tidemark.llm").joinpath("license_texts")
+    sample = " ".join(file.read_text(encoding="utf-8") for file in sorted(folder.iterdir(), key=lambda file: file.name))
+    pairs = (counts + prose_pairs(sample)).reshape(OUTSIDE + 1, OUTSIDE + 1)[:, :OUTSIDE] + 0.0
+    at = np.arange(OUTSIDE + 1)
+    folded = np.where(at < 26, at + 26, at)  # upper case comes first in SYMBOLS
+    either = np.zeros_like(pairs)
+    np.add.at(either, (folded[:, None], folded[None, :OUTSIDE]), pairs)
+    single = pairs.sum(axis=0) + 1.0
+    seen = pairs + 5.0 * single / single.sum()  # rare pairs follow the single characters
+    either += 5.0 * either.sum(axis=0) / either.sum()
+    # a name runs on in one case as words do, or begins a new word in either case, a number or a sign
+    kind = np.where(at < 26, 0, np.where(at < 52, 1, 2))
+    same = (kind[:, None] == kind[None, :OUTSIDE]) | (kind[:, None] == 2) | (kind[None, :OUTSIDE] == 2)
+    run = (either / either.sum(axis=1, keepdims=True))[folded][:, folded[:OUTSIDE]] * same
+    first = either[OUTSIDE] / either[OUTSIDE, 26:52].sum()
+    begin = np.concatenate([0.425 * first[26:52], 0.425 * first[26:52], np.full(10, 0.01), np.full(4, 0.0125)])
+    return np.log(0.5 * seen / seen.sum(axis=1, keepdims=True) + 0.4 * run + 0.1 * begin).tolist()
+
+
+def strength(token: str, encoding: str, logs: list[list[float]]) -> float:
+    """-log p of ``token`` as prose, or 0 for one that is not even in its alphabet."""
+    values, size = read_as(token, encoding), len(ALPHABETS[encoding])
+    last, prose = OUTSIDE, 0.0
+    for symbol in token.rstrip("="):
+        prose += logs[last][last := PLACE[symbol]]
+    found = -len(values) * math.log(size) - prose - math.log(WRITTEN)
+    return found if found > 0 and battery(values, size) >= EVEN else 0.0
+
+
+def _bin(strength: float) -> int:
+    return min(BINS - 1, int(strength / STEP))
+
+
+def _all_counts(docs: DataFrame, text: str) -> np.ndarray:
+    def factory():
+        def work(texts):
+            total = np.zeros((OUTSIDE + 1) ** 2, np.int64)
+            for value in texts:
+                if value:
+                    base = base_spans(value)
+                    spans = [(start, end) for start, _, end in base] + [(start, end) for start, end, _ in candidates(value, base)]
+                    total += prose_pairs(value, spans)
+            at = np.nonzero(total)[0]
+            return [at, total[at]]
 
+        return work
 
-def _decoy(prose: str, at: int, length: int) -> str:
-    """``length`` characters of the prose, which has neither white space nor base spans."""
-    start = max(0, min(at, len(prose) - length))
-    return prose[start : start + length]
+    rows = arrow_map(docs.select(text), "pair int, n long", factory).groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros((OUTSIDE + 1) ** 2, np.int64)
+    for row in rows:
+        counts[row["pair"]] = row["n"]
+    return counts
 
 
-def p_histogram(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(encoding, band, bin, targets, decoys)`` over every candidate of the table."""
-    names = list(ALPHABETS)
+def strength_histogram(docs: DataFrame, logs: list[list[float]], text: str = "text") -> DataFrame:
+    """``(bin, n)`` over every long token of the table; those that fit no encoding are in bin 0."""
 
     def factory():
         def work(texts):
-            counts: dict = {}
+            counts = [0] * BINS
             for value in texts:
                 value = value or ""
-                found = candidates(value, base := base_spans(value))
-                if not found:
-                    continue
-                prose, last = [], 0
-                for start, end in sorted([(s, e) for s, _, e in base] + [(s, e) for s, e, _ in found]):
-                    prose.append(value[last:max(last, start)])
-                    last = max(last, end)
-                prose = "".join("".join([*prose, value[last:]]).split())
+                base = base_spans(value)
+                found = candidates(value, base)
+                counts[0] += max(0, sum(1 for _ in CANDIDATE.finditer(value)) - len(found))
                 for start, end, encoding in found:
-                    size, band = len(ALPHABETS[encoding]), _band(end - start)
-                    key = (names.index(encoding), band, _p_bin(battery(read_as(value[start:end], encoding), size)))
-                    counts.setdefault(key, [0, 0])[0] += 1
-                    decoy = _decoy(prose, start, len(value[start:end].rstrip("=")))
-                    if len(decoy) >= MIN_LENGTH:
-                        key = (*key[:2], _p_bin(battery(read_as(decoy, encoding), size)))
-                        counts.setdefault(key, [0, 0])[1] += 1
-            return list(zip(*((*key, *value) for key, value in counts.items()), strict=True)) if counts else [[]] * 5
+                    counts[_bin(strength(value[start:end], encoding, logs))] += 1
+            held = [(number, n) for number, n in enumerate(counts) if n]
+            return list(zip(*held, strict=True)) if held else [[], []]
 
         return work
 
-    rows = arrow_map(docs.select(text), "encoding int, band int, bin int, targets long, decoys long", factory)
-    return rows.groupBy("encoding", "band", "bin").agg(F.sum("targets").alias("targets"), F.sum("decoys").alias("decoys"))
+    return arrow_map(docs.select(text), "bin int, n long", factory).groupBy("bin").agg(F.sum("n").alias("n"))
 
 
-def thresholds(rows: list, fdr: float = FDR) -> dict[tuple[str, int], int]:
-    """Per encoding and length band the lowest bin of p-values that is still accepted."""
-    names = list(ALPHABETS)
-    strata: dict = {}
-    for row in rows:
-        strata.setdefault((names[row["encoding"]], row["band"]), {})[row["bin"]] = (row["targets"], row["decoys"])
-    limits = {}
-    for stratum, bins in strata.items():
-        passed = fakes = 0
-        for number in range(BINS - 1, -1, -1):
-            targets, decoys = bins.get(number, (0, 0))
-            passed, fakes = passed + targets, fakes + decoys
-            if targets and 1 + fakes <= fdr * passed:
-                limits[stratum] = number
-    return limits
-
-
-def find_spans(text: str | None, limits: dict[tuple[str, int], int]) -> list[tuple[int, int, int]]:
+def least_bin(counts: dict[int, int], fdr: float = FDR) -> int:
+    """The lowest bin that Benjamini-Hochberg accepts, ``BINS`` for none."""
+    total, passed, limit = sum(counts.values()), 0, BINS
+    for number in range(BINS - 1, 0, -1):
+        passed += counts.get(number, 0)
+        if passed and math.exp(-number * STEP) * total <= fdr * passed:
+            limit = number
+    return limit
+
+
+def learn(docs: DataFrame, text: str = "text", fdr: float = FDR) -> tuple[list[list[float]], int]:
+    """The prose model of the table and the lowest bin of strengths that is accepted."""
+    logs = prose_logs(_all_counts(docs, text))
+    counts = {row["bin"]: row["n"] for row in strength_histogram(docs, logs, text).collect()}
+    return logs, least_bin(counts, fdr)
+
+
+def find_spans(text: str | None, rule: tuple[list[list[float]], int]) -> list[tuple[int, int, int]]:
     """``(start, kind, end)`` of base spans and of accepted candidates, in order."""
     text = text or ""
     base = base_spans(text)
     added = []
+    logs, limit = rule
     for start, end, encoding in candidates(text, base):
-        limit = limits.get((encoding, _band(end - start)))
-        if limit is not None and _p_bin(battery(read_as(text[start:end], encoding), len(ALPHABETS[encoding]))) >= limit:
+        if _bin(strength(text[start:end], encoding, logs)) >= limit:
             added.append((start, 3, end))
     return sorted(base + added)
 
@@ -219,15 +278,14 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fd
     """``(doc_id, spans)``: the secrets of every text, by start and then kind.
 
     Offsets count code points, the end is exclusive. Null text has no spans; repeated rows
-    are scanned one by one. With few candidates in a band nothing can be told from chance
-    and only the fixed patterns report there.
+    are scanned one by one. A random token is found however few others there are.
     """
-    limits = thresholds(p_histogram(docs, text).collect(), fdr)
+    rule = learn(docs, text, fdr)
     id_type = docs.schema[doc_id].dataType.simpleString()
 
     def factory():
         def work(ids, texts):
-            spans = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in find_spans(v, limits)] for v in texts]
+            spans = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in find_spans(v, rule)] for v in texts]
             return ids, spans
 
         return work
@@ -235,10 +293,10 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fd
     return arrow_map(docs.select(doc_id, text), f"doc_id {id_type}, spans {SPANS}", factory)
 
 
-def redact(text: str | None, limits: dict[tuple[str, int], int], mark: str) -> str | None:
+def redact(text: str | None, rule: tuple[list[list[float]], int], mark: str) -> str | None:
     """``text`` with every secret replaced by ``mark``; overlapping spans become one."""
     out, last = [], 0
-    for start, _, end in find_spans(text, limits):
+    for start, _, end in find_spans(text, rule):
         if start >= last:
             out += [text[last:start], mark]
         last = max(last, end)
@@ -247,10 +305,10 @@ def redact(text: str | None, limits: dict[tuple[str, int], int], mark: str) -> s
 
 def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[secret]", fdr: float = FDR) -> DataFrame:
     """``docs`` with the secrets in ``text`` replaced; null stays null, other columns stay as they are."""
-    limits = thresholds(p_histogram(docs, text).collect(), fdr)
+    rule = learn(docs, text, fdr)
 
     def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            yield batch.map(lambda value: redact(value, limits, mark))
+            yield batch.map(lambda value: redact(value, rule, mark))
 
     return docs.withColumn(text, F.pandas_udf(clean, "string")(F.col(text)))
