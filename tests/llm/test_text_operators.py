@@ -260,3 +260,37 @@ def test_bin_completion_against_exhaustive_search(seed):
     used = sum(times for _, times in plan)
     first_fit = packing._fill(dict(Counter(lengths)), capacity, lambda counts, _, room: packing.best_fit(counts, room))
     assert fewest(sorted(lengths, reverse=True), []) <= used <= sum(times for _, times in first_fit)
+
+
+@pytest.mark.parametrize("copies", [1, 2, 50])
+def test_packing_backtracks(copies):
+    """Both greedy plans need 5 sequences for each 4."""
+    lengths = Counter([1126, 1126, 1024, 819, 819, 819, 716, 614, 512, 409])
+    lengths = {length: copies * n for length, n in lengths.items()}
+    plan = packing.plan_sequences(lengths, 2048)
+    placed = Counter()
+    for pattern, times in plan:
+        assert sum(pattern) <= 2048
+        for length in pattern:
+            placed[length] += times
+    assert placed == lengths
+    assert sum(times for _, times in plan) == 4 * copies
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_packing_reaches_the_optimum_of_small_cases(seed):
+    draw = random.Random(seed)
+    lengths = sorted((draw.randrange(12, 60) for _ in range(10)), reverse=True)
+
+    def fits(number, left, bins):
+        if not left:
+            return True
+        spaces = {room: i for i, room in enumerate(bins) if room >= left[0]}
+        return any(fits(number, left[1:], [*bins[:i], room - left[0], *bins[i + 1 :]]) for room, i in spaces.items()) or (
+            len(bins) < number and fits(number, left[1:], [*bins, 100 - left[0]])
+        )
+
+    fewest = next(number for number in range(1, 11) if fits(number, lengths, []))
+    plan = packing.plan_sequences(dict(Counter(lengths)), 100)
+    assert Counter(x for pattern, times in plan for x in pattern * times) == Counter(lengths)
+    assert sum(times for _, times in plan) == fewest

@@ -27,6 +27,9 @@ CAPACITY = 2048
 END_ID = 0
 CACHE = 400_000
 SEARCH_NODES = 4000
+#: Work of one branch-and-bound over sequences, as lengths left at all its nodes, and steps of listing the fillings of one node.
+PLAN_WORK = 150_000
+LIST_STEPS = 400
 
 
 class WordCoder:
@@ -190,18 +193,102 @@ def _fill(histogram: dict[int, int], capacity: int, choose) -> list[tuple[list[i
     return plan
 
 
+def fillings(counts: list[int], lengths: list[int], room: int, steps: int = LIST_STEPS) -> list[list[int]]:
+    """Undominated fillings of ``room``, least waste first, as far as ``steps`` go.
+
+    A filling is dominated when another piece still fits, or fits in the place of a shorter
+    one; and all others are when one piece fills the room.
+    """
+    if counts[room]:
+        return [[room]]
+    found: list[tuple[int, list[int]]] = []
+    left = steps
+
+    def visit(space: int, at: int, taken: list[int]) -> None:
+        nonlocal left
+        for i in range(min(at, bisect_right(lengths, space) - 1), -1, -1):
+            if left <= 0:
+                return
+            length = lengths[i]
+            if counts[length] > taken.count(length):
+                left -= 1
+                visit(space - length, i, [*taken, length])
+        free = [x for x in lengths if counts[x] > taken.count(x)]
+        if (not free or free[0] > space) and not any(0 < x - y <= space for y in set(taken) for x in free[bisect_right(free, y) : bisect_right(free, y + space)]):
+            found.append((space, taken))
+
+    visit(room, len(lengths) - 1, [])
+    return [taken for _, taken in sorted(found, key=lambda pair: (pair[0], [-x for x in pair[1]]))]
+
+
+def branch(histogram: dict[int, int], capacity: int, fewest: int, work: int = PLAN_WORK, single: bool = True) -> list[tuple[list[int], int]] | None:
+    """A plan of less than ``fewest`` sequences, the best found within ``work``, or None.
+
+    Depth-first over the fillings of the largest length, each for as many copies as there are
+    and, if ``single``, for one. A node is cut when the total and the waste so far need ``fewest`` sequences.
+    """
+    counts = [0] * (capacity + 1)
+    for length, count in histogram.items():
+        counts[length] = count
+    total = sum(length * count for length, count in histogram.items())
+    least = -(-total // capacity)
+    best = None
+    stack: list[tuple[list[int], int, int, tuple | None]] = [(counts, 0, 0, None)]
+    seen = set()
+    while stack and work > 0 and fewest > least:
+        counts, used, waste, path = stack.pop()
+        if max(used, -(-(total + waste) // capacity)) >= fewest:
+            continue
+        lengths = [length for length, count in enumerate(counts) if count]
+        work -= 1 + len(lengths)
+        if not lengths:
+            best, fewest = path, used
+            continue
+        state = (used, *((length, counts[length]) for length in lengths))
+        if state in seen:
+            continue
+        seen.add(state)
+        largest = lengths[-1]
+        counts[largest] -= 1
+        children = []
+        for filling in fillings(counts, [x for x in lengths if counts[x]], capacity - largest):
+            pattern = [largest, *filling]
+            most = min((counts[x] + (x == largest)) // pattern.count(x) for x in set(pattern))
+            for times in {most, 1} if single else {most}:
+                after = counts.copy()
+                after[largest] += 1
+                for length in pattern:
+                    after[length] -= times
+                children.append((-times, (capacity - sum(pattern)), after, (path, pattern, times)))
+        children.sort(key=lambda child: (child[1], child[0]))
+        stack += [(after, used - times, waste - times * spare, way) for times, spare, after, way in reversed(children)]
+    if best is None:
+        return None
+    plan = []
+    while best:
+        best, pattern, times = best
+        plan.append((pattern, times))
+    return plan[::-1]
+
+
 def plan_sequences(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
     """Patterns of lengths and how many sequences follow each, as few sequences as found.
 
     The plan by best fit is the incumbent; bin completion replaces it when it is better, and
-    is not tried when the incumbent already meets the bound by total length.
+    is not tried when the incumbent already meets the bound by total length. Branch-and-bound
+    over sequences then looks for fewer, within ``PLAN_WORK``; with that used up the plan
+    need not be the optimum.
     """
     total = sum(length * count for length, count in histogram.items())
     incumbent = _fill(histogram, capacity, lambda counts, lengths, room: best_fit(counts, room))
     if sum(times for _, times in incumbent) * capacity < total + capacity:
         return incumbent
     better = _fill(histogram, capacity, complete)
-    return min(better, incumbent, key=lambda plan: sum(times for _, times in plan))
+    number = lambda plan: sum(times for _, times in plan)
+    incumbent = min(better, incumbent, key=number)
+    for single in (False, True):  # the small tree first, as its plans cut the large one
+        incumbent = branch(histogram, capacity, number(incumbent), single=single) or incumbent
+    return incumbent
 
 
 def _places(plan: list[tuple[list[int], int]]) -> dict[int, tuple]:
