@@ -220,6 +220,23 @@ def test_training_lowers_the_loss(spark):
     assert score(network, found) > score(network, mixed) + 100
 
 
+def test_training_predicts_every_position_and_ignores_partitions(spark):
+    own = np.random.default_rng(2).integers(0, lm.CLASSES, 500).astype(np.uint8)
+    network = lm.Network.initial(np.ones(1 << lm.BITS), lm.entry_classes(np.ones(1 << lm.BITS)))
+    seen = 0
+    for round_ in range(lm.ROUNDS):
+        task = lm._Gradients(network.flat(), round_)
+        task.add([own.tobytes()])
+        task.flush()
+        seen += task.seen
+    assert seen == len(own)
+    texts = [" ".join(f"w{(i * j) % 31}" for j in range(50)) for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = lm.entry_counts(docs)
+    one, many = (lm.train(docs.repartition(n), counts) for n in (1, 7))
+    assert np.allclose(one, many, atol=1e-3)
+
+
 def test_gradient_against_differences():
     draw = np.random.default_rng(3)
     counts = draw.integers(0, 50, 1 << lm.BITS)
