@@ -3,7 +3,21 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, embedding_dup, html_text, licenses, lm, near_dup, packing, quality, secrets, toxicity
+from tidemark.llm import (
+    bpe,
+    contamination,
+    embedding_dup,
+    html_text,
+    licenses,
+    lm,
+    near_dup,
+    packing,
+    prefix_trie,
+    quality,
+    secrets,
+    spelling,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +94,27 @@ def op10_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all conversations, rebuilt with shared openings."""
+    return prefix_trie.shared_opening_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words and usual forms of the vocabulary of all documents."""
+    forms = spelling.spelling_forms(table(spark, sf_dir, "documents"))
+    return forms.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a passage of the benchmark, and the items found."""
+    found = contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_pseudo_likelihood": op1_pseudo_likelihood,
     "op2_quality_cascade": op2_quality_cascade,
@@ -91,4 +126,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_license_digests": op10_license_digests,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_decontamination": op13_decontamination,
 }
