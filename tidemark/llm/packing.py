@@ -10,11 +10,12 @@ places of the plan by their rank within their length.
 
 import re
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -25,54 +26,80 @@ from tidemark.sources.scratch import materialize
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY = 2048
 END_ID = 0
-CACHE = 400_000
+CACHE = 300_000
+#: Steps of the search for one filling.
 SEARCH_NODES = 4000
-#: Work of one branch-and-bound over sequences, as lengths left at all its nodes, and steps of listing the fillings of one node.
-PLAN_WORK = 150_000
-LIST_STEPS = 400
+#: Work of one branch-and-bound over sequences: lengths left at all its nodes and steps of listing their fillings.
+PLAN_WORK = 300_000
+WORD_END = b"\x00"
+#: Characters whose normal forms and classes are plain: ASCII, Latin-1 and common punctuation.
+PLAIN = r"\x21-\x7e\u00a1-\u00ff\u2010-\u2015\u2018-\u201f\u2026"
+LETTERS = "a-zªµºß-öø-ÿ"
+NUMBERS = "0-9²³¹¼-¾"
+#: Byte-level vocabularies write a printable byte as itself and number the others from U+0100 on.
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+OTHERS = [byte for byte in range(256) if byte not in PRINTABLE]
+BYTE_OF = {chr(byte): byte for byte in PRINTABLE} | {chr(0x100 + place): byte for place, byte in enumerate(OTHERS)}
 
 
 class WordCoder:
-    """Token ids of a text, as little-endian bytes, with a bounded memory of chunks and pieces.
+    """Token ids of a text, as little-endian bytes, with a bounded memory of chunks.
 
     The vocabulary drops white space and never joins tokens across it, so a text's ids are
-    those of its chunks between ASCII white space, one after the other.
+    those of its chunks between ASCII white space, one after the other. Chunks met for the
+    first time are encoded together. Those of ``PLAIN`` characters go through tiktoken: the
+    same merges as ranks of byte strings, where the end of a word is a byte of its own, zero,
+    that joins the letter before it ahead of all other merges. The rest, and chunks that name
+    a special token, go through the tokenizers library.
     """
 
     def __init__(self, path: str, cache: int = CACHE):
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain = re.compile(r"[\x21-\x7e]+")
-        self.split = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
+        ranks = {_as_bytes(token): number for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items()}
+        self.ranked = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+        self.cut = ranks[b"\n" + WORD_END]
+        self.plain = re.compile(f"[{PLAIN}]+").fullmatch
+        self.split = re.compile(rf"\n|'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\s{LETTERS}{NUMBERS}]+").findall
         self.cache = cache
-        self.chunks: dict = {}
-        self.pieces: dict = {}
-
-    def encode(self, text: str) -> bytes:
-        chunks, out = self.chunks, []
-        for chunk in text.encode().split():
-            ids = chunks.get(chunk)
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [text.encode().split() for text in texts]
+        self._learn(set().union(*split))
+        ids = self.young
+        return [b"".join([ids[chunk] for chunk in chunks]) for chunks in split]
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        """Put ``chunks`` into the young memory; when that is full it becomes the old one."""
+        if len(self.young) + len(missing := chunks.difference(self.young)) > self.cache:
+            self.old, self.young, missing = self.young, {}, chunks
+        old, young, new = self.old, self.young, []
+        for chunk in missing:
+            ids = old.get(chunk)
             if ids is None:
-                if len(chunks) >= self.cache:
-                    chunks.clear()
-                ids = chunks[chunk] = self._chunk(chunk.decode())
-            out.append(ids)
-        return b"".join(out)
-
-    def _chunk(self, chunk: str) -> bytes:
-        if not self.plain.fullmatch(chunk) or any(name in chunk for name in self.special):
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes()
-        return b"".join([self._piece(piece) for piece in self.split(chunk.lower())])
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= self.cache:
-                self.pieces.clear()
-            ids = self.pieces[piece] = np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
-        return ids
+                new.append(chunk.decode())
+            else:
+                young[chunk] = ids
+        plain = [chunk for chunk in new if self.plain(chunk) and not ("<|" in chunk and any(name in chunk for name in self.special))]
+        if plain:
+            text = "\x00".join(self.split("\n".join(plain).lower() + "\n")) + "\x00"
+            ids = np.array(self.ranked.encode_ordinary(text), "<u4")
+            ends = np.nonzero(ids == self.cut)[0].tolist()
+            data, start = ids.tobytes(), 0
+            for chunk, end in zip(plain, ends, strict=True):
+                young[chunk.encode()] = data[4 * start : 4 * end]
+                start = end + 1
+        odd = list(set(new).difference(plain))
+        for chunk, coded in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False), strict=True):
+            young[chunk.encode()] = np.array(coded.ids, "<u4").tobytes()
+
+
+def _as_bytes(token: str) -> bytes:
+    """The bytes that a vocabulary entry stands for, with ``WORD_END`` where a word ends."""
+    end = token.endswith("</w>") and len(token) > 4
+    return bytes(BYTE_OF[letter] for letter in (token[:-4] if end else token)) + (WORD_END if end else b"")
 
 
 @lru_cache(maxsize=2)
@@ -91,7 +118,8 @@ def token_pieces(
 ) -> DataFrame:
     """The token pieces of every document; only documents longer than ``capacity`` are cut.
 
-    Null text counts as empty: such a document is its end token alone.
+    Null text counts as empty: such a document is its end token alone. Pieces of equal length
+    are placed in the order of their table's parts, then of ids and pieces.
     """
     id_type = docs.schema[doc_id].dataType.simpleString()
     schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, ids binary"
@@ -103,8 +131,8 @@ def token_pieces(
 
         def work(doc_ids, texts):
             rows = []
-            for key, value in zip(doc_ids, texts, strict=True):
-                ids = coder.encode(value or "") + end
+            for key, coded in zip(doc_ids, coder.encode([value or "" for value in texts]), strict=True):
+                ids = coded + end
                 for piece, at in enumerate(range(0, len(ids), width)):
                     part = ids[at : at + width]
                     rows.append((key, piece, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
@@ -140,36 +168,27 @@ def complete(counts: list[int], lengths: list[int], room: int, nodes: int = SEAR
     """
     best = best_fit(counts, room)
     least = room - sum(best)
-    used: dict = {}
     budget = nodes
     volume = np.cumsum([length * counts[length] for length in lengths]).tolist()
 
-    def visit(space: int, upto: int, taken: list[int]) -> bool:
+    def visit(space: int, upto: int, taken: list[tuple[int, int]]) -> bool:
+        """Go on from ``taken``, (length, number) pairs, with lengths below ``upto``; one level per distinct length."""
         nonlocal best, least, budget
-        budget -= 1
-        if space < least:
-            best, least = list(taken), space
-        if least == 0 or budget <= 0:
-            return True
-        if space <= upto and counts[space] > used.get(space, 0):
-            best, least = [*taken, space], 0
-            return True
-        at = bisect_right(lengths, min(space, upto)) - 1
+        at = bisect_left(lengths, min(space + 1, upto)) - 1
         while at >= 0 and space - volume[at] < least:  # all shorter pieces together must beat the best waste
             length = lengths[at]
-            if counts[length] > used.get(length, 0):
-                used[length] = used.get(length, 0) + 1
-                taken.append(length)
-                done = visit(space - length, length, taken)
-                taken.pop()
-                used[length] -= 1
-                if done:
+            for number in range(min(counts[length], space // length), 0, -1):
+                budget -= 1
+                rest = space - number * length
+                if rest < least:
+                    best, least = [x for x, n in (*taken, (length, number)) for _ in range(n)], rest
+                if least == 0 or budget <= 0 or visit(rest, length, [*taken, (length, number)]):
                     return True
             at -= 1
         return False
 
     if least and room:
-        visit(room, room, [])
+        visit(room, room + 1, [])
     return best
 
 
@@ -193,39 +212,44 @@ def _fill(histogram: dict[int, int], capacity: int, choose) -> list[tuple[list[i
     return plan
 
 
-def fillings(counts: list[int], lengths: list[int], room: int, steps: int = LIST_STEPS) -> list[list[int]]:
-    """Undominated fillings of ``room``, least waste first, as far as ``steps`` go.
+def fillings(counts: list[int], lengths: list[int], room: int, steps: int) -> tuple[list[list[int]], int]:
+    """All undominated fillings of ``room``, least waste first, and the steps left; none left if they ran out.
 
     A filling is dominated when another piece still fits, or fits in the place of a shorter
     one; and all others are when one piece fills the room.
     """
     if counts[room]:
-        return [[room]]
+        return [[room]], steps
     found: list[tuple[int, list[int]]] = []
     left = steps
 
-    def visit(space: int, at: int, taken: list[int]) -> None:
+    def dominated(space: int, taken: dict[int, int]) -> bool:
+        free = [x for x in lengths if counts[x] > taken.get(x, 0)]
+        return bool(free and free[0] <= space or any(0 < x - y <= space for y in taken for x in free[bisect_right(free, y) : bisect_right(free, y + space)]))
+
+    def visit(space: int, upto: int, taken: dict[int, int]) -> None:
+        """Add fillings from ``taken`` on with lengths below ``upto``; one level per distinct length."""
         nonlocal left
-        for i in range(min(at, bisect_right(lengths, space) - 1), -1, -1):
-            if left <= 0:
-                return
-            length = lengths[i]
-            if counts[length] > taken.count(length):
-                left -= 1
-                visit(space - length, i, [*taken, length])
-        free = [x for x in lengths if counts[x] > taken.count(x)]
-        if (not free or free[0] > space) and not any(0 < x - y <= space for y in set(taken) for x in free[bisect_right(free, y) : bisect_right(free, y + space)]):
-            found.append((space, taken))
+        left -= 1
+        for at in range(bisect_left(lengths, min(space + 1, upto)) - 1, -1, -1):
+            length = lengths[at]
+            for number in range(min(counts[length], space // length), 0, -1):
+                if left <= 0:
+                    return
+                visit(space - number * length, length, taken | {length: number})
+        if not dominated(space, taken):
+            found.append((space, [x for x, n in taken.items() for _ in range(n)]))
 
-    visit(room, len(lengths) - 1, [])
-    return [taken for _, taken in sorted(found, key=lambda pair: (pair[0], [-x for x in pair[1]]))]
+    visit(room, room + 1, {})
+    return [taken for _, taken in sorted(found, key=lambda pair: (pair[0], [-x for x in pair[1]]))], left
 
 
 def branch(histogram: dict[int, int], capacity: int, fewest: int, work: int = PLAN_WORK, single: bool = True) -> list[tuple[list[int], int]] | None:
     """A plan of less than ``fewest`` sequences, the best found within ``work``, or None.
 
     Depth-first over the fillings of the largest length, each for as many copies as there are
-    and, if ``single``, for one. A node is cut when the total and the waste so far need ``fewest`` sequences.
+    and, if ``single``, for one, which the next node may repeat: with ``single`` the search is
+    exhaustive if it ends within ``work``. A node is cut when the total and the waste so far need ``fewest`` sequences.
     """
     counts = [0] * (capacity + 1)
     for length, count in histogram.items():
@@ -251,7 +275,8 @@ def branch(histogram: dict[int, int], capacity: int, fewest: int, work: int = PL
         largest = lengths[-1]
         counts[largest] -= 1
         children = []
-        for filling in fillings(counts, [x for x in lengths if counts[x]], capacity - largest):
+        listed, work = fillings(counts, [x for x in lengths if counts[x]], capacity - largest, work)
+        for filling in listed:
             pattern = [largest, *filling]
             most = min((counts[x] + (x == largest)) // pattern.count(x) for x in set(pattern))
             for times in {most, 1} if single else {most}:
@@ -331,7 +356,7 @@ def pack(
     before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("block", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("prior"))
     within = Window.partitionBy("block", "length").orderBy("doc_id", "piece")
-    ranked = pieces.withColumn("local", F.row_number().over(within) - 1).join(starts, ["block", "length"])
+    ranked = pieces.withColumn("local", F.row_number().over(within) - 1).join(starts.hint("merge"), ["block", "length"])
     columns = [name for name in pieces.columns if name != "block"]
     ranked = ranked.select(*columns, (F.col("prior") + F.col("local")).alias("rank"))
     schema = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in pieces.select(*columns).schema)
