@@ -2,16 +2,20 @@
 
 Every word is predicted from the ``SIDE`` words on its left and right; the log-probabilities
 of all words add up to the score of a document. Words are hashed into ``2 ** BITS`` entries,
-so no word is unknown and no table grows with the corpus. An entry belongs to a class: the
-most frequent entries have one each, the others share the rest by hash. The network predicts
-the class from the classes around it, and the entry follows within its class by its count in
-the corpus: log P(word | sides) = log P(class | sides) + log P(word | class).
-
-Counts cover every word of every document. Training is data-parallel: a round masks one
-position in ``MASK``, others in each round, so that after ``MASK`` rounds every position was
-predicted once. All tasks sum the gradients of their documents at the same weights, and one
-step follows the sum, so how the table is cut into tasks does not matter.
-Weights and counts have fixed sizes, so they may be sent everywhere.
+so no word is unknown and no table grows with the corpus. An entry is reached in three steps:
+the most frequent entries are classes of their own, all others share the remaining classes;
+a shared class is divided into groups, half of them for one frequent entry each, the others for
+the rest by hash. The network predicts the class and the group from the words around, and an
+entry follows in its group by its count in the corpus:
+log P(word | sides) = log P(class | sides) + log P(group | class, sides) + log P(word | group).
+
+Counts cover every word of every document. Training is data-parallel: texts are hashed once,
+and their entries are dealt into shards by a hash of id and text, one per ``SHARD_WORDS``
+words of the corpus, so how the input is cut into files does not matter. In each of
+``ROUNDS`` rounds a shard goes on from the shared weights by mini-batches over one masked
+position in ``ROUNDS``, others in each round, so that every position is predicted once; the
+weights of all shards are then averaged by the positions they predicted. Weights and counts
+have fixed sizes, so they may be sent everywhere.
 """
 
 from collections.abc import Iterator
@@ -21,26 +25,41 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
 from tidemark.llm.common import arrow_map
-from tidemark.sources.scratch import materialize
+from tidemark.sources.scratch import materialize, release
 
 BITS = 18
-CLASSES = 128
-OWN = 64
+CLASSES = 64
+OWN = 32
+GROUPS = 64
 SIDE = 2
 WIDTH = 16
-MASK = 16
-ROUNDS = MASK
+ROUNDS = 4
 BATCH = 4096
-RATE = 0.05
+RATE = 0.1
 SEED = 7
 HASH_KEY = "window-model-key"
-
-PAD = CLASSES
-SHAPES = {"inputs": (2 * SIDE, CLASSES + 1, WIDTH), "hidden": (WIDTH,), "outputs": (WIDTH, CLASSES), "bias": (CLASSES,)}
+SHARD_WORDS = 1 << 21
+#: Rows whose words are handled together, and parts that weights are first averaged in.
+ROWS = 128
+PARTS = 32
+
+SHARED = CLASSES - OWN
+FREQUENT = SHARED * GROUPS // 2
+#: What a word is to its neighbours: a frequent entry, or the class of another; and nothing past the ends of a text.
+CODES = OWN + FREQUENT + SHARED
+PAD = CODES
+GAP = np.full(SIDE, -1, "<i4").tobytes()
+SHAPES = {
+    "inputs": (2 * SIDE, CODES + 1, WIDTH),
+    "hidden": (WIDTH,),
+    "outputs": (WIDTH, CLASSES),
+    "bias": (CLASSES,),
+    "group_outputs": (SHARED, WIDTH, GROUPS),
+    "group_bias": (SHARED, GROUPS),
+}
+SIZES = {name: int(np.prod(shape)) for name, shape in SHAPES.items()}
 
 
 def entries(texts: list[str | None]) -> list[np.ndarray]:
@@ -55,54 +74,53 @@ def entries(texts: list[str | None]) -> list[np.ndarray]:
     return np.split(found, np.cumsum([len(part) for part in split])[:-1])
 
 
-def per_task(df: DataFrame, schema: str, start, rows: int = 512) -> DataFrame:
-    """Feed all rows of a task to ``start()`` and return the columns of its ``finish()``."""
-    fields = to_arrow_schema(StructType.fromDDL(schema))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = start()
-        for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                state.add(*(column.to_pylist() for column in batch.slice(at, rows).columns))
-        arrays = [pa.array(values, field.type) for values, field in zip(state.finish(), fields, strict=True)]
-        yield pa.RecordBatch.from_arrays(arrays, schema=fields)
-
-    return df.mapInArrow(run, schema)
+def hashed_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, own)``: the entries of each text, four bytes a word."""
+    id_type = docs.schema[doc_id].dataType.simpleString()
 
+    def factory():
+        return lambda ids, texts: [ids, [found.astype("<i4").tobytes() for found in entries(texts)]]
 
-class _Counts:
-    def __init__(self):
-        self.counts = np.zeros(1 << BITS, np.int64)
+    return arrow_map(docs.select(doc_id, text), f"doc_id {id_type}, own binary", factory)
 
-    def add(self, texts):
-        self.counts += np.bincount(np.concatenate(entries(texts)), minlength=1 << BITS)
 
-    def finish(self):
-        at = np.nonzero(self.counts)[0]
-        return at.astype(np.int32), self.counts[at]
+def entry_counts(words: DataFrame) -> np.ndarray:
+    """How often each entry occurs in the whole table of ``hashed_words``."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << BITS, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                own = np.frombuffer(b"".join(batch.column(0).slice(at, ROWS).to_pylist()), "<i4")
+                counts += np.bincount(own, minlength=1 << BITS)
+        at = np.nonzero(counts)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], names=["entry", "n"])
 
-def entry_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """How often each entry occurs in the whole table."""
-    parts = per_task(docs.select(text), "entry int, n long", _Counts)
-    rows = parts.groupBy("entry").agg(F.sum("n").alias("n")).toPandas()
+    rows = words.select("own").mapInArrow(run, "entry int, n long").groupBy("entry").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(1 << BITS, np.int64)
     counts[rows["entry"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return counts
 
 
-def entry_classes(counts: np.ndarray) -> np.ndarray:
-    """The class of each entry."""
-    classes = (OWN + np.arange(len(counts)) % (CLASSES - OWN)).astype(np.int16)
-    frequent = np.lexsort((np.arange(len(counts)), -counts))[:OWN]
-    classes[frequent] = np.arange(OWN)
-    return classes
-
+class Vocabulary:
+    """Class, group and neighbour code of every entry, and its share of its group."""
 
-def within_class(counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """log P(entry | class), with one added to every count."""
-    smooth = counts + 1.0
-    return np.log(smooth) - np.log(np.bincount(classes, smooth, minlength=CLASSES))[classes]
+    def __init__(self, counts: np.ndarray):
+        number = len(counts)
+        entry = np.arange(number)
+        ranked = np.lexsort((entry, -counts))
+        own, frequent = ranked[:OWN], ranked[OWN : OWN + FREQUENT]
+        place = np.arange(len(frequent))
+        self.classes = (OWN + entry % SHARED).astype(np.uint8)
+        self.groups = (GROUPS // 2 + entry // SHARED % (GROUPS // 2)).astype(np.uint8)
+        self.classes[own], self.groups[own] = np.arange(OWN), 0
+        self.classes[frequent], self.groups[frequent] = OWN + place % SHARED, place // SHARED
+        self.codes = np.append(OWN + FREQUENT + entry % SHARED, PAD).astype(np.int16)  # the last stands for -1
+        self.codes[own], self.codes[frequent] = np.arange(OWN), OWN + place
+        smooth = counts + 1.0
+        cell = self.classes.astype(np.int64) * GROUPS + self.groups
+        self.cells = np.bincount(cell, smooth, minlength=CLASSES * GROUPS).reshape(CLASSES, GROUPS)
+        self.share = np.log(smooth / self.cells.ravel()[cell])
 
 
 class Network:
@@ -112,179 +130,233 @@ class Network:
         self.weights = {name: np.array(value, np.float32).reshape(SHAPES[name]) for name, value in weights.items()}
 
     @classmethod
-    def initial(cls, counts: np.ndarray, classes: np.ndarray) -> "Network":
+    def initial(cls, vocabulary: Vocabulary) -> "Network":
         draw = np.random.default_rng(SEED)
-        totals = np.bincount(classes, counts, minlength=CLASSES) + 1.0
-        return cls({
-            "inputs": draw.normal(0, 0.1, SHAPES["inputs"]), "hidden": np.zeros(WIDTH),
-            "outputs": draw.normal(0, 0.1, SHAPES["outputs"]), "bias": np.log(totals / totals.sum()),
-        })
+        weights = {name: draw.normal(0, 0.1, shape) for name, shape in SHAPES.items()}
+        totals = vocabulary.cells.sum(axis=1)
+        shared = vocabulary.cells[OWN:]
+        known = {"bias": np.log(totals / totals.sum()), "group_bias": np.log(np.maximum(shared, 1e-3) / shared.sum(axis=1, keepdims=True)), "hidden": np.zeros(WIDTH)}
+        return cls(weights | known)
 
     @classmethod
     def of(cls, flat: np.ndarray) -> "Network":
-        ends = np.cumsum([int(np.prod(shape)) for shape in SHAPES.values()])[:-1]
+        ends = np.cumsum(list(SIZES.values()))[:-1]
         return cls(dict(zip(SHAPES, np.split(flat, ends), strict=True)))
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.weights[name].ravel() for name in SHAPES])
 
-    def forward(self, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden layer and class log-probabilities for rows of neighbouring classes."""
-        w = self.weights
-        total = w["hidden"] + sum(w["inputs"][slot][sides[:, slot]] for slot in range(2 * SIDE))
-        hidden = np.tanh(total)
-        logits = hidden @ w["outputs"] + w["bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-        return hidden, logits
-
-    def slopes(self, sides: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
-        """The gradient of the summed loss over ``targets``."""
-        w = self.weights
-        hidden, logs = self.forward(sides)
-        error = np.exp(logs)
-        error[np.arange(len(targets)), targets] -= 1
-        back = (error @ w["outputs"].T) * (1 - hidden * hidden)
-        inputs = np.empty(SHAPES["inputs"], np.float32)
+    def hidden(self, sides: np.ndarray) -> np.ndarray:
+        """The hidden layer for rows of neighbouring codes."""
+        inputs = self.weights["inputs"]
+        return np.tanh(self.weights["hidden"] + sum(inputs[slot][sides[slot]] for slot in range(2 * SIDE)))
+
+    def class_logs(self, hidden: np.ndarray) -> np.ndarray:
+        return _log_softmax(hidden @ self.weights["outputs"] + self.weights["bias"])
+
+    def group_logs(self, hidden: np.ndarray, shared: int) -> np.ndarray:
+        return _log_softmax(hidden @ self.weights["group_outputs"][shared] + self.weights["group_bias"][shared])
+
+    def predict(self, sides: np.ndarray, classes: np.ndarray, groups: np.ndarray) -> np.ndarray:
+        """The log-probability of each row's class and group."""
+        hidden = self.hidden(sides)
+        logs = self.class_logs(hidden)[np.arange(len(classes)), classes]
+        for shared, rows in _by_class(classes):
+            logs[rows] += self.group_logs(hidden[rows], shared)[np.arange(len(rows)), groups[rows]]
+        return logs
+
+    def step(self, sides: np.ndarray, classes: np.ndarray, groups: np.ndarray, squares: "Network") -> None:
+        """One step against the mean gradient, with a rate per weight that shrinks with use."""
+        w, n = self.weights, len(classes)
+        hidden = self.hidden(sides)
+        error = np.exp(self.class_logs(hidden))
+        error[np.arange(n), classes] -= 1
+        error /= n
+        back = error @ w["outputs"].T
+        slopes, biases = np.zeros(SHAPES["group_outputs"], np.float32), np.zeros(SHAPES["group_bias"], np.float32)
+        for shared, rows in _by_class(classes):
+            part = hidden[rows]
+            wrong = np.exp(self.group_logs(part, shared))
+            wrong[np.arange(len(rows)), groups[rows]] -= 1
+            wrong /= n
+            back[rows] += wrong @ w["group_outputs"][shared].T
+            slopes[shared], biases[shared] = part.T @ wrong, wrong.sum(axis=0)
+        back *= 1 - hidden * hidden
+        self._move("group_outputs", ..., slopes, squares)
+        self._move("group_bias", ..., biases, squares)
+        self._move("outputs", ..., hidden.T @ error, squares)
+        self._move("bias", ..., error.sum(axis=0), squares)
+        self._move("hidden", ..., back.sum(axis=0), squares)
         for slot in range(2 * SIDE):
-            picked = np.zeros((len(targets), CLASSES + 1), np.float32)
-            picked[np.arange(len(targets)), sides[:, slot]] = 1
-            inputs[slot] = picked.T @ back
-        return {"inputs": inputs, "hidden": back.sum(axis=0), "outputs": hidden.T @ error, "bias": error.sum(axis=0)}
-
-    def apply(self, slopes: dict[str, np.ndarray], squares: dict[str, np.ndarray]) -> None:
-        """One step against ``slopes``, with a rate per weight that shrinks with use."""
-        for name, slope in slopes.items():
-            squares[name] += slope * slope
-            self.weights[name] -= RATE * slope / (np.sqrt(squares[name]) + 1e-6)
-
-    def step(self, sides: np.ndarray, targets: np.ndarray, squares: dict[str, np.ndarray]) -> None:
-        """One step against the mean gradient over ``targets``."""
-        self.apply({name: slope / len(targets) for name, slope in self.slopes(sides, targets).items()}, squares)
-
-
-def neighbours(classes: np.ndarray) -> np.ndarray:
-    """For each word of a document the classes of the words around it."""
-    padded = np.concatenate([np.full(SIDE, PAD), classes, np.full(SIDE, PAD)]).astype(np.int64)
-    offsets = [*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1)]
-    return np.stack([padded[offset : offset + len(classes)] for offset in offsets], axis=1)
-
-
-class _Gradients:
-    """Sums the gradients of a round's masked positions over a task's documents."""
-
-    def __init__(self, weights: np.ndarray, round_: int):
-        self.network, self.round = Network.of(weights), round_ % MASK
-        self.sums = {name: np.zeros(shape) for name, shape in SHAPES.items()}
-        self.sides, self.targets, self.waiting, self.seen = [], [], 0, 0
-
-    def add(self, documents):
-        for held in documents:
-            own = np.frombuffer(held, np.uint8)
-            masked = np.nonzero((np.arange(len(own)) + own) % MASK == self.round)[0]
-            if len(masked):
-                self.sides.append(neighbours(own)[masked])
-                self.targets.append(own[masked])
-                self.waiting += len(masked)
-        if self.waiting >= BATCH:
+            order = np.argsort(sides[slot], kind="stable")
+            codes = sides[slot][order]
+            starts = np.nonzero(np.diff(codes, prepend=-1))[0]
+            self._move("inputs", (slot, codes[starts]), np.add.reduceat(back[order], starts), squares)
+
+    def _move(self, name: str, at, slope: np.ndarray, squares: "Network") -> None:
+        seen = squares.weights[name][at] + slope * slope
+        squares.weights[name][at] = seen
+        self.weights[name][at] -= RATE * slope / (np.sqrt(seen) + 1e-7)
+
+
+def _log_softmax(logits: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=1, keepdims=True)
+    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    return logits
+
+
+def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shared class with the rows that have it."""
+    order = np.argsort(classes, kind="stable")
+    ends = np.searchsorted(classes[order], np.arange(OWN, CLASSES + 1))
+    for shared in range(SHARED):
+        if ends[shared] < ends[shared + 1]:
+            yield shared, order[ends[shared] : ends[shared + 1]]
+
+
+def _laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries of several texts in one array with gaps between; where the words are, and their places in their texts."""
+    line = np.frombuffer(GAP + GAP.join(texts) + GAP, "<i4")
+    lengths = np.array([len(own) // 4 for own in texts], np.int64)
+    starts = SIDE + np.cumsum(np.append(0, lengths[:-1] + SIDE))
+    place = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return line, np.repeat(starts, lengths) + place, place
+
+
+def neighbours(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The codes around the words ``at``, one row per place on the sides."""
+    return np.stack([codes[at + offset] for offset in (*range(-SIDE, 0), *range(1, SIDE + 1))])
+
+
+class _Shard:
+    """A shard's own copy of the weights during a round."""
+
+    def __init__(self, weights: np.ndarray, squares: np.ndarray, vocabulary: Vocabulary, round_: int):
+        self.network, self.squares, self.vocabulary, self.round = Network.of(weights), Network.of(squares), vocabulary, round_
+        self.waiting, self.number, self.seen = [], 0, 0
+
+    def add(self, texts: list[bytes]) -> None:
+        line, words, place = _laid_out(texts)
+        words = words[(place + self.round) % ROUNDS == 0]
+        if len(words):
+            own = line[words]
+            self.waiting.append((neighbours(self.vocabulary.codes[line], words), self.vocabulary.classes[own], self.vocabulary.groups[own]))
+            self.number += len(words)
+        if self.number >= BATCH:
             self.flush()
 
-    def flush(self):
-        if not self.waiting:
+    def flush(self) -> None:
+        if not self.number:
             return
-        sides, targets = np.concatenate(self.sides), np.concatenate(self.targets)
-        for at in range(0, len(targets), BATCH):
-            for name, slope in self.network.slopes(sides[at : at + BATCH], targets[at : at + BATCH]).items():
-                self.sums[name] += slope
-        self.seen += len(targets)
-        self.sides, self.targets, self.waiting = [], [], 0
+        sides = np.concatenate([part[0] for part in self.waiting], axis=1)
+        classes, groups = (np.concatenate([part[i] for part in self.waiting]) for i in (1, 2))
+        cuts = np.linspace(0, self.number, -(-self.number // BATCH) + 1).astype(int)
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            self.network.step(sides[:, a:b], classes[a:b], groups[a:b], self.squares)
+        self.seen += self.number
+        self.waiting, self.number = [], 0
 
-    def finish(self):
-        self.flush()
-        if not self.seen:
-            return [], [], []
-        flat = np.concatenate([self.sums[name].ravel() for name in SHAPES])
-        return np.arange(len(flat), dtype=np.int32), flat, np.full(len(flat), self.seen, np.int64)
 
+def _round(words: DataFrame, weights: np.ndarray, squares: np.ndarray, vocabulary: Vocabulary, round_: int) -> DataFrame:
+    """``(seen, sums)``: per task the sums of its shards' weights and rates, each times the positions it predicted."""
+    shared = words.sparkSession.sparkContext.broadcast((weights, squares, vocabulary))
 
-def word_classes(docs: DataFrame, classes: np.ndarray, text: str = "text") -> DataFrame:
-    """``(own)``: the classes of each document's words, a byte each."""
-    shared = docs.sparkSession.sparkContext.broadcast(classes.astype(np.uint8))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, squares, vocabulary = shared.value
+        total, seen, number, shard = np.zeros(2 * len(weights)), 0, None, None
 
-    def factory():
-        classes = shared.value
-        return lambda texts: [[classes[found].tobytes() for found in entries(texts)]]
+        def close():
+            nonlocal seen
+            if shard is not None:
+                shard.flush()
+                seen += shard.seen
+                total[:] += np.concatenate([shard.network.flat(), shard.squares.flat()]) * float(shard.seen)
+
+        for batch in batches:
+            numbers = batch.column(0).to_numpy()
+            edges = np.append(np.nonzero(np.diff(numbers, prepend=-1))[0], len(numbers))
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if numbers[a] != number:
+                    close()
+                    number, shard = numbers[a], _Shard(weights, squares, vocabulary, round_)
+                for at in range(a, b, ROWS):
+                    shard.add(batch.column(1).slice(at, min(ROWS, b - at)).to_pylist())
+        close()
+        yield _sums(seen, total)
+
+    return words.select("shard", "own").mapInArrow(run, "seen long, sums binary")
 
-    return arrow_map(docs.select(text), "own binary", factory)
 
+def _sums(seen: int, total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["seen", "sums"])
 
-def train(docs: DataFrame, counts: np.ndarray, text: str = "text", rounds: int = ROUNDS) -> np.ndarray:
-    """The weights after ``rounds`` steps; each ``MASK`` of them predict every position once."""
-    classes = entry_classes(counts)
-    own = materialize(word_classes(docs, classes, text), "word-classes")
-    network = Network.initial(counts, classes)
-    squares = {name: np.full(shape, 1e-8, np.float32) for name, shape in SHAPES.items()}
+
+def _added(sums: DataFrame, parts: int) -> DataFrame:
+    """Rows of sums added up in ``parts`` parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = np.zeros(2 * sum(SIZES.values())), 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                seen += batch.column(0)[i].as_py()
+                total += np.frombuffer(batch.column(1)[i].as_buffer(), np.float64)
+        yield _sums(seen, total)
+
+    return sums.repartition(parts).mapInArrow(run, "seen long, sums binary")
+
+
+def train(words: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """The weights after ``rounds`` rounds over ``(shard, own)``; ``ROUNDS`` of them predict every position once."""
+    weights = Network.initial(vocabulary).flat()
+    squares = np.full(len(weights), 1e-8, np.float32)
     for round_ in range(rounds):
-        shared = docs.sparkSession.sparkContext.broadcast(network.flat())
-        parts = per_task(own, "place int, value double, seen long", lambda shared=shared, round_=round_: _Gradients(shared.value, round_))
-        mean = parts.groupBy("place").agg((F.sum("value") / F.sum("seen")).alias("value")).toPandas()
-        if len(mean):
-            flat = np.zeros(len(network.flat()), np.float32)
-            flat[mean["place"].to_numpy(np.int64)] = mean["value"].to_numpy(np.float32)
-            network.apply(Network.of(flat).weights, squares)
-    return network.flat()
-
-
-def log_likelihood(network: Network, found: np.ndarray, classes: np.ndarray, within: np.ndarray) -> float:
-    """The sum over all words of the log-probability given both sides."""
-    own = classes[found]
-    sides = neighbours(own)
-    total = float(within[found].sum())
-    for at in range(0, len(own), BATCH):
-        _, logs = network.forward(sides[at : at + BATCH])
-        total += float(logs[np.arange(len(logs)), own[at : at + BATCH]].sum(dtype=np.float64))
-    return total
+        seen, sums = _added(_added(_round(words, weights, squares, vocabulary, round_), PARTS), 1).first()
+        if seen:
+            weights, squares = np.split((np.frombuffer(sums, np.float64) / seen).astype(np.float32), 2)
+    return weights
 
 
 def pseudo_likelihood(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """``(doc_id, n_words, pll, pll_per_word)`` of every row, under a model of the whole table.
 
     Texts without words, or null, have ``pll`` 0 and no ``pll_per_word``. Repeated rows are
-    scored, and counted, once each.
+    scored, and counted, once each; an empty table gives no row. Very long texts are handled in
+    slices of rows, one text at least. The result reads a table below ``spark.checkpoint.dir``;
+    ``release`` deletes it.
     """
-    counts = entry_counts(docs, text)
-    weights = train(docs, counts, text, rounds)
-    classes = entry_classes(counts)
-    shared = docs.sparkSession.sparkContext.broadcast((weights, classes, within_class(counts, classes)))
-    id_type = docs.schema[doc_id].dataType.simpleString()
+    hashed = materialize(hashed_words(docs, doc_id, text), "entries")
+    counts = entry_counts(hashed)
+    vocabulary = Vocabulary(counts)
+    shards = -(-int(counts.sum()) // SHARD_WORDS) or 1
+    dealt = hashed.withColumn("shard", F.pmod(F.xxhash64("doc_id", "own"), F.lit(shards)))
+    words = materialize(dealt.repartition(shards, "shard").sortWithinPartitions("shard"), "shards")
+    release(hashed)
+    weights = train(words, vocabulary, rounds)
+    shared = docs.sparkSession.sparkContext.broadcast((weights, vocabulary))
+    id_type = words.schema["doc_id"].dataType.simpleString()
 
     def factory():
-        weights, classes, within = shared.value
+        weights, vocabulary = shared.value
         network = Network.of(weights)
 
         def work(ids, texts):
-            found = entries(texts)
-            lengths = [len(words) for words in found]
-            scored = _scores(network, found, classes, within)
+            lengths = [len(own) // 4 for own in texts]
+            scored = scores(network, vocabulary, texts)
             return ids, lengths, scored, [s / n if n else None for s, n in zip(scored, lengths, strict=True)]
 
         return work
 
-    return arrow_map(docs.select(doc_id, text), f"doc_id {id_type}, n_words long, pll double, pll_per_word double", factory, rows=64)
+    return arrow_map(words.select("doc_id", "own"), f"doc_id {id_type}, n_words long, pll double, pll_per_word double", factory, rows=ROWS)
 
 
-def _scores(network: Network, found: list[np.ndarray], classes: np.ndarray, within: np.ndarray) -> list[float]:
-    """``log_likelihood`` of several documents in shared batches."""
-    lengths = np.array([len(words) for words in found])
-    words = np.concatenate(found)
-    if not len(words):
-        return [0.0] * len(found)
-    own = classes[words]
-    sides = np.concatenate([neighbours(classes[part]) for part in found])
-    each = within[words].astype(np.float64)
-    for at in range(0, len(own), BATCH):
-        _, logs = network.forward(sides[at : at + BATCH])
-        each[at : at + BATCH] += logs[np.arange(len(logs)), own[at : at + BATCH]]
-    sums = np.concatenate([[0.0], np.cumsum(each)])
-    ends = np.cumsum(lengths)
-    return (sums[ends] - sums[ends - lengths]).tolist()
+def scores(network: Network, vocabulary: Vocabulary, texts: list[bytes]) -> list[float]:
+    """The sum over each text's words of their log-probabilities given both sides."""
+    line, words, _ = _laid_out(texts)
+    codes, own = vocabulary.codes[line], line[words]
+    each = vocabulary.share[own].astype(np.float64)
+    for a in range(0, len(words), BATCH):
+        part = slice(a, a + BATCH)
+        each[part] += network.predict(neighbours(codes, words[part]), vocabulary.classes[own[part]], vocabulary.groups[own[part]])
+    ends = np.cumsum([len(text) // 4 for text in texts])
+    sums = np.append(0.0, np.cumsum(each))
+    return np.diff(sums[np.append(0, ends)]).tolist()
