@@ -3,13 +3,22 @@
 The page is cut into blocks at block-level tags. The first pass decides what it can: blocks
 inside menus, headers, footers, sidebars, notices, adverts, forms and comments, and blocks
 that are mostly links, are not text; long blocks with the share of stop words of running
-prose are, and so is what stands in an article. Short blocks stay open. In the second pass
-each open block takes the label of the nearest decided neighbours in the same part of the
-page.
+prose are. Short blocks, and long ones without stop words (code, tables, lists), stay open. In
+the second pass each open block takes the label of the nearest decided neighbours in the same
+part of the page, an article or what lies outside of one.
+
+Stop words are known for the languages of ``STOP_WORDS``. On a page of any other language no
+block is prose by them, so their density is unknown there: it decides nothing, and length and
+links alone do. Characters of scripts written without spaces count double as length.
+
+Parsing is linear in the page: tags are found by jumps to the next quote or bracket, and an
+element is looked for among the open ones only if one of its name is open.
 """
 
 import html
 import re
+from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -29,7 +38,7 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-DROPPED = frozenset("script style noscript template textarea select svg math iframe object canvas audio video title head button".split())
+DROPPED = frozenset("script style noscript template textarea select svg iframe object canvas audio video title head button".split())
 RAW = frozenset("script style textarea title iframe noscript template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CHROME_TAGS = frozenset("nav footer aside form dialog menu fieldset".split())
@@ -39,6 +48,12 @@ CHROME_NAMES = frozenset(
     "alert newsletter subscribe signup login comment comments disqus reply replies respond share sharing social related recommended breadcrumb breadcrumbs "
     "popup modal overlay widget toolbar pagination pager masthead".split()
 )
+#: Name parts that say nothing of the content; inside an article a name of furniture holds nothing but these beside it.
+NEUTRAL_NAMES = frozenset(
+    "site page global main top bottom left right upper lower box bar wrapper wrap container inner outer list block area section button buttons link links "
+    "post posts item items slot unit text message panel row col column group form trail article articles story stories user users reader readers visitor thread "
+    "count icon icons media module region zone content holder header title label info this us js view more the our your".split()
+)
 HEADER_NAMES = frozenset(("header", "head", "topbar"))
 MAIN_NAMES = frozenset(("articlebody",))
 CLOSES_P = BLOCK_TAGS - frozenset(("html", "body", "head"))
@@ -47,9 +62,9 @@ SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.2, 0.3
 LINKS = 0.33
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
-)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)", re.DOTALL)
+QUOTED = re.compile(r"""=\s*(["'])""")
+WIDE = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\u0e00-\u0e7f]")
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 WORD = re.compile(r"\w+")
@@ -73,14 +88,41 @@ class _Open:
     place: str
     part: int
     dropped: bool
+    inside: bool = False  # an article
+
 
+def _tag_end(page: str, at: int) -> int:
+    """The place of the ``>`` that ends a tag whose name ends at ``at``, or -1.
 
-def _names(attributes: str) -> tuple[set[str], set[str], bool]:
-    names, roles, hidden = set(), set(), False
+    Quotes hide it only right after an equals sign, and only if they are closed.
+    """
+    first = end = page.find(">", at)
+    while end >= 0:
+        opened = QUOTED.search(page, at, end)
+        if not opened:
+            return end
+        at = page.find(opened.group(1), opened.end()) + 1
+        if not at:
+            return first
+        end = page.find(">", at)
+    return first
+
+
+def _is_furniture(names: list[set[str]], inside: bool) -> bool:
+    """Whether a class or id names page furniture; inside an article it must name nothing else besides."""
+    for parts in names:
+        if parts & CHROME_NAMES and (not inside or all(part in CHROME_NAMES or part in NEUTRAL_NAMES or part.isdigit() or len(part) < 2 for part in parts)):
+            return True
+    return False
+
+
+def _names(attributes: str) -> tuple[list[set[str]], set[str], bool]:
+    """The parts of each class and id, the roles, and whether the element is hidden."""
+    names, roles, hidden = [], set(), False
     for match in ATTRIBUTE.finditer(attributes):
         key, value = match.group(1).lower(), (match.group(2) or "").strip("\"'")
         if key in ("class", "id"):
-            names |= {part.lower() for part in NAME_PARTS.findall(value)}
+            names += [{part.lower() for part in NAME_PARTS.findall(name)} for name in value.split()]
         elif key in ("role", "itemprop"):
             roles.add(value.lower())
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and "display:none" in value.replace(" ", "").lower():
@@ -96,6 +138,21 @@ def blocks_of(page: str) -> list[Block]:
     links: list[str] = []
     in_link = parts = 0
     heading = False
+    tags: Counter = Counter()
+
+    def push(entry: _Open):
+        tags[entry.tag] += 1
+        stack.append(entry)
+
+    def cut(depth: int):
+        while len(stack) > depth:
+            tags[stack.pop().tag] -= 1
+
+    def find(*names: str) -> int:
+        """The depth of the innermost open element of these names, or 0."""
+        if not any(tags[name] for name in names):
+            return 0
+        return next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag in names)
 
     def close_block():
         nonlocal text, links
@@ -120,7 +177,13 @@ def blocks_of(page: str) -> list[Block]:
         say(page[at : match.start()])
         at = match.end()
         tag = (match.group(2) or "").lower()
-        if not tag:
+        if tag:
+            end = _tag_end(page, at)
+            if end < 0:
+                say(page[match.start() :])
+                break
+            attributes, at = page[at:end], end + 1
+        else:
             if match.group().startswith("<![CDATA["):
                 say(match.group()[9:].removesuffix("]]>"))
             continue
@@ -140,48 +203,46 @@ def blocks_of(page: str) -> list[Block]:
             if ending:
                 if len(stack) > 1 and stack[-1].tag == tag:
                     close_block()
-                    stack.pop()
+                    cut(len(stack) - 1)
                 continue
-            names, roles, hidden = _names(match.group(3))
-            if hidden or roles & CHROME_ROLES or names & CHROME_NAMES:
+            names, roles, hidden = _names(attributes)
+            if hidden or roles & CHROME_ROLES or _is_furniture(names, stack[-1].inside):
                 close_block()
                 parts += 1
-                stack.append(_Open(tag, "chrome", parts, stack[-1].dropped or hidden))
+                push(_Open(tag, "chrome", parts, stack[-1].dropped or hidden, stack[-1].inside))
             continue
         close_block()
         if ending:
             if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
                 heading = False
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth:
-                del stack[depth:]
+            if depth := find(tag):
+                cut(depth)
                 in_link = 0
             continue
         in_link = 0
         if tag == "hr":
             continue
         if tag in CLOSES_P and stack[-1].tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
-            stack.pop()
+            cut(len(stack) - 1)
         if tag in ("body", "article", "main"):  # an element left open before does not reach into these
-            depth = next((i for i in range(len(stack)) if stack[i].tag in ("head", "button", "select")), 0)
-            if depth:
-                del stack[depth:]
+            while depth := find("head", "button", "select"):
+                cut(depth)
         heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6")
         here = stack[-1]
         place, part = here.place, here.part
-        names, roles, hidden = _names(match.group(3))
-        inside = any(entry.place == "main" for entry in stack)
+        names, roles, hidden = _names(attributes)
+        inside = here.inside
         if tag in ("article", "main") or "main" in roles or roles & MAIN_NAMES:
             if place != "chrome" or not inside:
                 parts += 1
                 place, part = "main", parts
         elif tag not in ("html", "body"):
-            chrome = tag in CHROME_TAGS or roles & CHROME_ROLES or names & CHROME_NAMES
-            chrome = chrome or not inside and (tag == "header" or names & HEADER_NAMES)
+            chrome = tag in CHROME_TAGS or roles & CHROME_ROLES or _is_furniture(names, inside)
+            chrome = chrome or not inside and (tag == "header" or any(parts & HEADER_NAMES for parts in names))
             if chrome or hidden:
                 parts += 1
                 place, part = "chrome", parts
-        stack.append(_Open(tag, place, part, here.dropped or hidden or tag in DROPPED))
+        push(_Open(tag, place, part, here.dropped or hidden or tag in DROPPED, inside or place == "main"))
     close_block()
     return blocks
 
@@ -191,24 +252,36 @@ def stop_density(text: str) -> float:
     return sum(word in STOP for word in words) / len(words) if words else 0.0
 
 
-def first_pass(block: Block) -> str:
-    """``good``, ``bad``, or a label that is still open: ``near`` (likely good) and ``short``."""
-    size = len(block.text)
-    linked = block.link_chars / size
+def size_of(text: str) -> int:
+    """Characters of a text, those of scripts without spaces twice."""
+    return len(text) if text.isascii() else len(text) + len(WIDE.findall(text))
+
+
+def first_pass(block: Block, known: bool = True) -> str:
+    """``good``, ``bad``, or a label that is still open: ``near`` (likely good) and ``short``.
+
+    ``known`` says whether the page is in a language with stop words.
+    """
+    size = size_of(block.text)
+    linked = block.link_chars / len(block.text)
     if block.place == "chrome":
         return "bad"
-    if block.place == "main":
-        return "short" if linked > LINKS or size < SHORT else "good"
+    inside = block.place == "main"
     if linked > LINKS:
-        return "bad"
+        return "short" if inside and (not known or block.heading or stop_density(block.text) >= STOP_LOW) else "bad"
     if size < SHORT:
-        return "bad" if block.link_chars else "short"
-    density = stop_density(block.text)
-    if density >= STOP_HIGH:
+        return "bad" if block.link_chars and not inside else "short"
+    if not known:
         return "good" if size >= LONG else "near"
-    if density >= STOP_LOW:
-        return "near"
-    return "bad"
+    density = stop_density(block.text)
+    if density >= STOP_HIGH and size >= LONG or inside and density >= STOP_LOW:
+        return "good"
+    return "near" if density >= STOP_LOW else "short"
+
+
+def is_known(blocks: list[Block]) -> bool:
+    """Whether any block outside of page furniture has the share of stop words of running prose."""
+    return any(block.place != "chrome" and size_of(block.text) >= SHORT and stop_density(block.text) >= STOP_LOW for block in blocks)
 
 
 def second_pass(blocks: list[Block]) -> None:
@@ -222,7 +295,8 @@ def second_pass(blocks: list[Block]) -> None:
             if blocks[i].label in ("good", "bad"):
                 before = n
                 continue
-            after = next((m for m in decided if m > n), None)
+            later = bisect_left(decided, n)
+            after = decided[later] if later < len(decided) else None
             ends = [(abs(m - n), blocks[own[m]].label) for m in (before, after) if m is not None]
             if not ends or not has_text and blocks[i].link_chars == 0:
                 labels[i] = "good"  # nothing better on this part of the page
@@ -243,8 +317,9 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     blocks = blocks_of(page)
+    known = is_known(blocks)
     for block in blocks:
-        block.label = first_pass(block)
+        block.label = first_pass(block, known)
     second_pass(blocks)
     return "\n\n".join(block.text for block in blocks if block.label == "good")
 
@@ -253,6 +328,7 @@ def extract_main_text(pages: DataFrame, page_html: str = "html", into: str = "te
     """``pages`` with the main text of ``page_html`` as column ``into``, and without ``page_html``.
 
     Null html gives an empty text. A column that is already called ``into`` is replaced.
+    Repeated rows are each given their text; an empty table gives none.
     """
     kept = [field for field in pages.schema if field.name not in (page_html, into)]
     schema = ", ".join([f"`{field.name}` {field.dataType.simpleString()}" for field in kept] + [f"`{into}` string"])
