@@ -323,6 +323,12 @@ ORACLE = {
     "unresolved": LEDGER + f"SELECT {KEY} FROM classified WHERE unresolved",
     "set_difference": LEDGER + f"SELECT {KEY} FROM classified WHERE NOT in_canary",
     "classify_missing": LEDGER + "SELECT * FROM classified",
+    "unresolved_runs": LEDGER
+    + """SELECT partition, min(missing_offset) AS gap_start, max(missing_offset) AS gap_end, count(*) AS gap_size
+         FROM (SELECT source_partition AS partition, source_offset AS missing_offset,
+                      source_offset - row_number() OVER (PARTITION BY source_partition ORDER BY source_offset) AS run
+               FROM classified WHERE unresolved)
+         GROUP BY partition, run""",
     "matched_records": LEDGER + "SELECT * FROM matched",
     "dead_letter_fields": LEDGER
     + """SELECT count(failure_event_id) AS failure_event_id_count, count(reason_msg) AS reason_msg_count,

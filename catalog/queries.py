@@ -212,37 +212,56 @@ def input_guards(spark, sf_dir) -> DataFrame:
 # -- reconciliation -----------------------------------------------------------------------------
 
 
-def _keys(spark, sf_dir) -> DataFrame:
-    return rc.missing_keys(lg.missing(spark, sf_dir), lg.SOURCE_TOPIC)
-
-
 def _sides(spark, sf_dir) -> tuple:
     return lg.records(spark, sf_dir, st.CANARY), lg.records(spark, sf_dir, st.DEAD_LETTER)
 
 
+def _explained(spark, sf_dir, *kinds) -> tuple:
+    """The packed ledger, and the missing keys that records of these kinds explain."""
+    words = lg.words(spark, sf_dir)
+    records = ld.cross_root_union([lg.records(spark, sf_dir, kind) for kind in kinds])
+    explained = rc.explained_keys(words, sq.packed_gap_stats(words), records, lg.SOURCE_TOPIC)
+    return words, materialize(explained, "explained-keys")
+
+
+def _unresolved_keys(spark, sf_dir, *kinds) -> DataFrame:
+    return rc.run_keys(rc.unresolved_runs(*_explained(spark, sf_dir, *kinds)), lg.SOURCE_TOPIC)
+
+
 @query("explained_by")
 def explained_by(spark, sf_dir) -> DataFrame:
-    return rc.explained_by(_keys(spark, sf_dir), lg.records(spark, sf_dir, st.DEAD_LETTER))
+    return _explained(spark, sf_dir, st.DEAD_LETTER)[1].select(*rc.RECORD_KEY)
 
 
 @query("unresolved")
 def unresolved(spark, sf_dir) -> DataFrame:
-    return rc.unresolved(_keys(spark, sf_dir), *_sides(spark, sf_dir))
+    return _unresolved_keys(spark, sf_dir, st.CANARY, st.DEAD_LETTER)
+
+
+@query("unresolved_runs")
+def unresolved_runs(spark, sf_dir) -> DataFrame:
+    """What no record explains, one row per run; no offset is expanded."""
+    return rc.unresolved_runs(*_explained(spark, sf_dir, st.CANARY, st.DEAD_LETTER))
 
 
 @query("set_difference")
 def set_difference(spark, sf_dir) -> DataFrame:
-    return rc.set_difference(_keys(spark, sf_dir), lg.records(spark, sf_dir, st.CANARY))
+    return _unresolved_keys(spark, sf_dir, st.CANARY)
 
 
 @query("classify_missing")
 def classify_missing(spark, sf_dir) -> DataFrame:
-    return rc.classify_missing(_keys(spark, sf_dir), *_sides(spark, sf_dir))
+    words = lg.words(spark, sf_dir)
+    canary, dead_letter = _sides(spark, sf_dir)
+    return rc.classify_ledger(words, sq.packed_gap_stats(words), canary.unionByName(dead_letter), lg.SOURCE_TOPIC)
 
 
 @query("matched_records")
 def matched_records(spark, sf_dir) -> DataFrame:
-    return rc.matched_records(lg.records(spark, sf_dir, st.DEAD_LETTER), _keys(spark, sf_dir))
+    records = materialize(lg.records(spark, sf_dir, st.DEAD_LETTER), "dead-letters")
+    words = lg.words(spark, sf_dir)
+    keys = rc.explained_keys(words, sq.packed_gap_stats(words), records, lg.SOURCE_TOPIC)
+    return rc.matched_records(records, keys)
 
 
 @query("dead_letter_fields")

@@ -122,7 +122,7 @@ def test_ordered_missing_and_runs(spark):
         Row(partition=0, gap_start=1, gap_end=3), Row(partition=1, gap_start=2, gap_end=2),
         Row(partition=2, gap_start=None, gap_end=None)]))
     with pytest.raises(InputError, match="needs a limit"):
-        sq.stats_with_report(sq.partition_gap_stats(df), sq.missing_offsets(df), None)
+        sq.stats_with_report(sq.partition_gap_stats(df), sq.prior_missing(df), None)
 
 
 def test_truncation_and_report(spark):
@@ -132,12 +132,37 @@ def test_truncation_and_report(spark):
     assert sq.any_truncated(stats, 2).first()[0] is True
     assert sq.any_truncated(stats, 3).first()[0] is False
     assert sq.any_truncated(stats, None).first()[0] is False
-    report = sq.ordered_report(sq.stats_with_report(stats, sq.missing_offsets(df, 2), 2)).collect()
+    report = sq.ordered_report(sq.stats_with_report(stats, sq.prior_missing(df), 2)).collect()
     assert [(r.partition, r.missing_offsets, r.missing_offsets_truncated) for r in report] == [
         (0, "[1,2]", True), (1, "[]", False)
     ]
 
 
+@pytest.mark.parametrize("part", [1, 3, 4, 1000])
+def test_long_lists_go_on_in_further_rows(spark, part):
+    draw = random.Random(part)
+    seen = [(p, o) for p in range(3) for o in sorted(draw.sample(range(60), 20))]
+    df = frame(spark, [*seen, (7, 5), (7, 6)])
+    for limit in (0, 1, 4, 7, 100):
+        report = sq.stats_with_report(sq.partition_gap_stats(df), sq.prior_missing(df), limit, part=part).collect()
+        for p in (0, 1, 2, 7):
+            own = [o for q, o in [*seen, (7, 5), (7, 6)] if q == p]
+            want = [o for o in range(min(own), max(own)) if o not in own][:limit]
+            lists = sorted(r.missing_offsets for r in report if r.partition == p)
+            assert [o for row in lists for o in row] == want and lists
+            assert all(len(row) <= part for row in lists) and all(len(row) == part for row in lists[:-1])
+
+
+def test_a_huge_limit_lists_in_bounded_rows(spark):
+    """Three million missing offsets under a limit of 2 ** 62: no row holds more than a part of them."""
+    df = frame(spark, [(0, 0), (0, 3_000_001), (1, 0), (1, 2**61)])
+    report = sq.stats_with_report(sq.partition_gap_stats(df).filter("partition = 0"), sq.prior_missing(df).filter("partition = 0"), 2**62)
+    row = report.agg(F.max(F.size("missing_offsets")), F.sum(F.size("missing_offsets")), F.sum(F.expr("aggregate(missing_offsets, 0L, (a, x) -> a + x)"))).first()
+    assert tuple(row) == (sq.LIST_PART, 3_000_000, 3_000_000 * 3_000_001 // 2)
+    top = sq.stats_with_report(sq.partition_gap_stats(df).filter("partition = 1"), sq.prior_missing(df).filter("partition = 1"), 20_000).collect()
+    assert [o for r in sorted(top, key=lambda r: r.missing_offsets[0]) for o in r.missing_offsets] == list(range(1, 20_001))
+
+
 def test_other_column_names_and_nulls(spark):
     df = spark.createDataFrame([("x", 1), ("x", 3), ("x", None), (None, 2)], "source string, number int")
     got = sq.gap_intervals(df, "source", "number").collect()

@@ -205,6 +205,14 @@ def test_classification_against_sets(spark, seed):
 
     words, both = sq.pack_sequences(df), canary.unionByName(dead)
     stats = sq.packed_gap_stats(words)
+    whole = rc.explain_ledger(words, stats, both, "orders")
+    listed = rc.explain_keys(keys, both.filter("source_topic = 'orders'"))
+    assert sorted(map(tuple, whole.select(*listed.columns).collect())) == sorted(map(tuple, listed.collect()))
+    explained = rc.explained_keys(words, stats, canary, "orders")
+    assert {(r.source_partition, r.source_offset) for r in explained.collect()} == in_canary
+    runs = rc.unresolved_runs(words, explained).collect()
+    assert {(r.partition, o) for r in runs for o in range(r.gap_start, r.gap_end + 1)} == gaps - in_canary
+    assert sum(r.gap_size for r in runs) == len(gaps - in_canary)
     repeats = sum(k[0] == "orders" and k[1:] in in_dead for k in dead_keys)
     for limit in (None, 5):
         listed = None if limit is None else rc.explain_keys(rc.missing_keys(sq.missing_offsets(df, limit), "orders"), both)
@@ -239,6 +247,37 @@ def test_overlap_counts_in_both(spark):
     assert (row.in_canary, row.in_dead_letter, row.unresolved) == (True, True, False)
 
 
+def test_unresolved_runs_expand_no_offset(spark):
+    """A run of 2 ** 61 missing offsets around one explained key stays two rows."""
+    df = spark.createDataFrame([(0, 0), (0, 2**61), (1, 5), (None, 3)], "partition int, offset bigint")
+    words = sq.pack_sequences(df.dropna())
+    side = records(spark, st.CANARY, [("o", 0, 1000), ("o", 0, 0), ("o", 0, -4), ("o", 0, 2**61 + 9), ("x", 0, 7), ("o", 9, 1), ("o", 1, 5)])
+    explained = rc.explained_keys(words, sq.packed_gap_stats(words), side, "o")
+    runs = rc.unresolved_runs(words, explained)
+    assert sorted(map(tuple, runs.collect())) == [(0, 1, 999, 999), (0, 1001, 2**61 - 1, 2**61 - 1001)]
+    assert rc.unresolved_runs(words.limit(0), explained.limit(0)).collect() == []
+
+
+def test_only_heavy_keys_are_matched_apart(spark):
+    """A key outside the summary is neither copied nor sent to all tasks, and every repeat stays."""
+    rows = spark.range(20_000).selectExpr(
+        "'dead_letter' AS kind", "'side' AS side_topic", "'o' AS source_topic", "0 AS source_partition",
+        "CASE WHEN id % 3 = 0 THEN 1L WHEN id % 5 = 0 THEN 2L ELSE id END AS source_offset", "concat('e', id) AS failure_event_id",
+        "cast(NULL AS string) AS reason_msg", "cast(NULL AS string) AS exception")
+    keys = rows.filter("source_offset <> 2").select(*rc.RECORD_KEY).distinct()
+    heavy = rc.heavy_keys(rows, 0.05)
+    hashes = {r[0]: r[1] for r in rows.selectExpr("xxhash64(source_topic, source_partition, source_offset)", "source_offset").distinct().collect()}
+    assert sorted(hashes[h] for h in heavy) == [1, 2]
+    matched = rc.matched_records(rows, keys, share=0.05)
+    expected = rows.filter("source_offset <> 2")
+    assert matched.exceptAll(expected).isEmpty() and expected.exceptAll(matched).isEmpty()
+    plan = matched._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("strategy=broadcast") == 1
+    assert rc.heavy_keys(rows.limit(0), 0.05) == [] and rc.matched_records(rows.limit(0), keys).collect() == []
+    none = rc.matched_records(rows, keys, share=0.9)
+    assert none.exceptAll(expected).isEmpty() and none.count() == expected.count()
+
+
 def test_matched_records_keep_every_repeat_of_a_hot_key(spark):
     keys = rc.missing_keys(spark.createDataFrame([(0, 1), (0, 2)], "partition int, missing_offset bigint"), "o")
     hot = spark.range(0, 5000, 1, 8).selectExpr(

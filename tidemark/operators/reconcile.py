@@ -2,21 +2,36 @@
 
 Side-topic records may repeat one key any number of times, so they are counted per key
 before they are shuffled for a join; both join sides then hold each key once.
+
+Missing values are far more than explained ones as a rule, and they come in runs. Against a
+packed ledger they are therefore not listed first: a record's key is missing if its bit is
+not set within the range of its partition, and the unresolved runs are the gaps of the ledger
+once the bits of the explained keys are added to it. Only then, if asked for, are runs expanded.
 """
 
-import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.frames import one_row
-from tidemark.operators.sequences import any_truncated, gap_partition_count, offset_bit, offset_word, range_bits
+from tidemark.operators.sequences import (
+    any_truncated,
+    expand_runs,
+    gap_partition_count,
+    offset_bit,
+    offset_word,
+    packed_gaps,
+    range_bits,
+)
 from tidemark.sources.scratch import materialize
 from tidemark.sources.side_topic import CANARY, DEAD_LETTER
 
 RECORD_KEY = ["source_topic", "source_partition", "source_offset"]
 DIAGNOSTICS = ["failure_event_id", "reason_msg", "exception"]
+#: Keys with the most records that are told apart, and counters kept to find them.
+HEAVY = 256
+HEAVY_TRACKED = 4096
 
 
 def missing_keys(missing: DataFrame, source_topic: str) -> DataFrame:
@@ -44,19 +59,23 @@ def unresolved(keys: DataFrame, canary: DataFrame, dead_letter: DataFrame) -> Da
     return set_difference(keys, canary, dead_letter)
 
 
-def explain_keys(keys: DataFrame, records: DataFrame) -> DataFrame:
-    """Every missing key with its match flags and its counts of dead-letter diagnostics.
-
-    ``records`` are the records of both kinds, counted per key before the join.
-    """
+def _per_key(records: DataFrame) -> DataFrame:
+    """Each record key once, with its kinds and its counts of dead-letter diagnostics."""
     dead = F.col("kind") == DEAD_LETTER
-    per_key = records.groupBy(*RECORD_KEY).agg(
+    return records.groupBy(*RECORD_KEY).agg(
         F.bool_or(F.col("kind") == CANARY).alias("in_canary"),
         F.bool_or(dead).alias("in_dead_letter"),
         *(F.count(F.when(dead, F.col(name))).alias(f"{name}_count") for name in DIAGNOSTICS),
     )
+
+
+def explain_keys(keys: DataFrame, records: DataFrame) -> DataFrame:
+    """Every listed missing key with its match flags and its counts of dead-letter diagnostics.
+
+    ``records`` are the records of both kinds, counted per key before the join.
+    """
     canary, dead_letter = (F.coalesce(name, F.lit(False)) for name in ("in_canary", "in_dead_letter"))
-    return keys.join(per_key, RECORD_KEY, "left").select(
+    return keys.join(_per_key(records), RECORD_KEY, "left").select(
         *RECORD_KEY,
         canary.alias("in_canary"),
         dead_letter.alias("in_dead_letter"),
@@ -65,6 +84,58 @@ def explain_keys(keys: DataFrame, records: DataFrame) -> DataFrame:
     )
 
 
+def explained_keys(words: DataFrame, stats: DataFrame, records: DataFrame, source_topic: str) -> DataFrame:
+    """The missing keys of the packed ``words`` that have records, once each, as in ``explain_keys``.
+
+    No missing offset is listed for it: a key is missing if it lies in its partition's range and its
+    bit is not set.
+    """
+    side = _per_key(records.filter(F.col("source_topic") == source_topic))
+    at = side.select("*", F.col("source_partition").alias("partition"), offset_word(F.col("source_offset")).alias("word"))
+    seen = words.groupBy("partition", "word").agg(F.bit_or("bits").alias("seen"))
+    ranges = stats.select("partition", "min_offset", "max_offset")
+    absent = F.coalesce(F.col("seen").bitwiseAND(offset_bit(F.col("source_offset"))), F.lit(0)) == 0
+    missing = at.join(ranges, "partition").filter(F.col("source_offset").between(F.col("min_offset"), F.col("max_offset")))
+    return missing.join(seen, ["partition", "word"], "left").filter(absent).select(
+        *RECORD_KEY, "in_canary", "in_dead_letter", F.lit(False).alias("unresolved"), *(f"{name}_count" for name in DIAGNOSTICS)
+    )
+
+
+def unresolved_runs(words: DataFrame, explained: DataFrame) -> DataFrame:
+    """The runs of missing offsets left over: ``(partition, gap_start, gap_end, gap_size)``.
+
+    Explained offsets count as seen. They lie within the range of their partition, so the
+    range stays the same and what is missing then is what no record explains.
+    """
+    marks = explained.select(
+        F.col("source_partition").alias("partition"), offset_word(F.col("source_offset")).alias("word"), offset_bit(F.col("source_offset")).alias("bits")
+    )
+    filled = words.select("partition", "word", "bits").filter("bits IS NOT NULL").unionByName(marks)
+    packed = filled.groupBy("partition", "word").agg(F.bit_or("bits").alias("bits"))
+    return packed_gaps(packed).drop("prior_missing_count")
+
+
+def run_keys(runs: DataFrame, source_topic: str) -> DataFrame:
+    """Every offset of ``unresolved_runs`` as a key; nothing is shuffled but the runs."""
+    listed = expand_runs(runs.select("partition", F.col("gap_start").alias("from"), F.col("gap_size").alias("take")))
+    return missing_keys(listed, source_topic)
+
+
+def explain_ledger(words: DataFrame, stats: DataFrame, records: DataFrame, source_topic: str) -> DataFrame:
+    """``explain_keys`` of all missing offsets of the packed ``words``."""
+    explained = materialize(explained_keys(words, stats, records, source_topic), "explained-keys")
+    no, zero = F.lit(False), F.lit(0).cast("bigint")
+    rest = run_keys(unresolved_runs(words, explained), source_topic).select(
+        *RECORD_KEY, no.alias("in_canary"), no.alias("in_dead_letter"), F.lit(True).alias("unresolved"), *(zero.alias(f"{name}_count") for name in DIAGNOSTICS)
+    )
+    return explained.unionByName(rest)
+
+
+def classify_ledger(words: DataFrame, stats: DataFrame, records: DataFrame, source_topic: str) -> DataFrame:
+    """``classify_missing`` of all missing offsets of the packed ``words``."""
+    return explain_ledger(words, stats, records, source_topic).select(*RECORD_KEY, "in_canary", "in_dead_letter", "unresolved")
+
+
 def classify_missing(keys: DataFrame, canary: DataFrame, dead_letter: DataFrame) -> DataFrame:
     """One row per missing key with both match flags. A key may be in both side topics."""
     return explain_keys(keys, canary.unionByName(dead_letter)).select(
@@ -72,19 +143,35 @@ def classify_missing(keys: DataFrame, canary: DataFrame, dead_letter: DataFrame)
     )
 
 
-def matched_records(records: DataFrame, keys: DataFrame, salts: int | None = None) -> DataFrame:
+def heavy_keys(records: DataFrame, share: float, heavy: int = HEAVY, tracked: int = HEAVY_TRACKED) -> list[int]:
+    """Hashes of the keys that hold more than ``share`` of all records, ``heavy`` at most.
+
+    They come from a summary of ``tracked`` counters per task, so nothing grows with the keys.
+    A key above ``1.4 / tracked`` of the records is always in it.
+    """
+    top = F.expr(f"approx_top_k(xxhash64({', '.join(RECORD_KEY)}), {heavy}, {tracked})")
+    row = records.agg(top.alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [item["item"] for item in row["top"] or [] if item["count"] > share * row["n"]]
+
+
+def matched_records(records: DataFrame, keys: DataFrame, share: float | None = None) -> DataFrame:
     """The records whose key is missing, repeats kept.
 
-    All repeats of one key would meet in one task, so each input task adds its own salt to
-    its records and the keys are repeated per salt: as many as the root of the number of
-    shuffle partitions, unless ``salts`` says otherwise. The salt depends on the task's
-    number only, so a task that is run again after a loss sends its rows to the same places.
+    Records of one key would all meet in one task, so the few keys that hold more than
+    ``share`` of the records (a quarter of what a task gets, unless given) are matched apart:
+    they are at most ``HEAVY``, so they are sent to the records. All other records and keys meet
+    in an ordinary join, and no key is copied.
     """
-    if salts is None:
-        salts = math.isqrt(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1) + 1
-    salted = records.withColumn("salt", F.spark_partition_id() % salts)
-    spread = keys.select(*RECORD_KEY, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    return salted.join(spread, [*RECORD_KEY, "salt"], "left_semi").select(*records.columns)
+    if share is None:
+        share = 0.25 / int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy = heavy_keys(records, share)
+    keys = keys.select(*RECORD_KEY).distinct()
+    if not heavy:
+        return records.join(keys, RECORD_KEY, "left_semi").select(*records.columns)
+    is_heavy = F.xxhash64(*RECORD_KEY).isin(heavy)
+    few = records.filter(is_heavy).join(F.broadcast(keys.filter(is_heavy)), RECORD_KEY, "left_semi")
+    rest = records.filter(~is_heavy).join(keys.filter(~is_heavy), RECORD_KEY, "left_semi")
+    return few.select(*records.columns).unionByName(rest.select(*records.columns))
 
 
 def dead_letter_fields(matched: DataFrame) -> DataFrame:

@@ -30,6 +30,8 @@ ZONE_SHIFT = 20
 RUNS = (1 << 46, 1 << 36, 1 << 26)
 INNER_RUN = 1 << 13
 STREAMS = 1 << 20
+#: Listed values to a row of a report.
+LIST_PART = 1 << 13
 
 MAX_LIMIT = 1 << 62
 DEFAULT_MISSING_LIMIT = None
@@ -338,11 +340,15 @@ def packed_missing_offsets(
 ) -> DataFrame:
     check_limit(limit)
     left = F.lit(limit).cast("bigint") - F.col("prior_missing_count")
-    taken = packed_gaps(packed, key, limit).select(
+    return expand_runs(packed_gaps(packed, key, limit).select(
         key,
         F.col("gap_start").alias("from"),
         (F.col("gap_size") if limit is None else F.least(F.col("gap_size"), left)).alias("take"),
-    )
+    ), key)
+
+
+def expand_runs(taken: DataFrame, key: str = "partition") -> DataFrame:
+    """Runs ``(key, from, take)`` as ``(key, missing_offset)``, long ones spread over the tasks."""
     for length in RUNS:
         taken = _cut(taken, length, key)
     taken = taken.repartition(key, "from")
@@ -386,17 +392,47 @@ def any_truncated(stats: DataFrame, limit: int | None) -> DataFrame:
     return stats.agg(F.coalesce(cut, F.lit(False)).alias("missing_offsets_truncated"))
 
 
-def stats_with_report(stats: DataFrame, missing: DataFrame, limit: int, key: str = "partition") -> DataFrame:
+def listed_parts(gaps: DataFrame, limit: int, key: str = "partition", part: int = LIST_PART) -> DataFrame:
+    """``(key, missing_offsets)``: the smallest ``limit`` missing values of each key, ``part`` to a row.
+
+    A value's place in the list follows from its run's ``prior_missing_count``, so runs are cut
+    at multiples of ``part`` and the pieces of one row meet by their number. No row and no
+    group holds more than ``part`` values, whatever the limit.
+    """
+    end = F.least(F.col("prior_missing_count") + F.col("gap_size"), F.lit(check_limit(limit)).cast("bigint"))
+    pieces = gaps.filter(F.col("prior_missing_count") < limit).select(
+        key, F.col("gap_start").alias("from"), F.col("prior_missing_count").alias("place"), end.alias("end")
+    )
+    for length in (*(run for run in RUNS if run > part), part):
+        pieces = _cut_places(pieces, length, key)
+    run = F.struct("from", (F.col("end") - F.col("place")).alias("take"))
+    grouped = pieces.groupBy(key, F.expr(f"place div {part}").alias("part")).agg(F.array_sort(F.collect_list(run)).alias("runs"))
+    values = F.flatten(F.transform("runs", lambda run: F.sequence(run["from"], run["from"] + run["take"] - 1)))
+    return grouped.select(key, values.alias("missing_offsets"))
+
+
+def _cut_places(pieces: DataFrame, length: int, key: str) -> DataFrame:
+    """Pieces ``from, place, end`` cut where the place is a multiple of ``length``."""
+    blocks = F.sequence(F.expr(f"place div {length}"), F.expr(f"(end - 1) div {length}"))
+    start = F.greatest("place", F.col("block") * length)
+    # the end of the last block may lie past a bigint
+    stop = F.coalesce(F.least("end", F.try_add(F.col("block") * length, F.lit(length).cast("bigint"))), F.col("end"))
+    return pieces.select("*", F.explode(blocks).alias("block")).select(
+        key, (F.col("from") + (start - F.col("place"))).alias("from"), start.alias("place"), stop.alias("end")
+    ).coalesce(STREAMS)
+
+
+def stats_with_report(stats: DataFrame, gaps: DataFrame, limit: int, key: str = "partition", part: int = LIST_PART) -> DataFrame:
     """Statistics with the listed missing values of each key and whether they were cut.
 
-    The list is a display value of at most ``limit`` entries per key, so it needs a limit;
-    ``missing_offsets`` and ``gap_report`` are the forms for further work.
+    ``gaps`` are those of ``prior_missing`` or ``packed_gaps``. A list longer than ``part`` goes on
+    in further rows of its key, in the order of their first values; so a row is bounded under
+    any limit. Without a limit ``gap_report`` is the form to use.
     """
     if check_limit(limit) is None:
         raise InputError("a list per key needs a limit; use gap_report for all missing offsets")
-    listed = missing.groupBy(key).agg(F.array_sort(F.collect_list("missing_offset")).alias("missing_offsets"))
     empty = F.array().cast("array<bigint>")
-    return stats.join(listed, key, "left").select(
+    return stats.join(listed_parts(gaps, limit, key, part), key, "left").select(
         *stats.columns,
         F.coalesce("missing_offsets", empty).alias("missing_offsets"),
         F.lit(limit).cast("bigint").alias("missing_offsets_limit"),
@@ -406,7 +442,7 @@ def stats_with_report(stats: DataFrame, missing: DataFrame, limit: int, key: str
 
 def packed_report(packed: DataFrame, limit: int, key: str = "partition") -> DataFrame:
     """``stats_with_report`` of a packed form, which is read by both of its sides; store it first."""
-    return stats_with_report(packed_gap_stats(packed, key), packed_missing_offsets(packed, limit, key), limit, key)
+    return stats_with_report(packed_gap_stats(packed, key), packed_gaps(packed, key, check_limit(limit)), limit, key)
 
 
 def gap_report(packed: DataFrame, key: str = "partition") -> DataFrame:
@@ -417,4 +453,5 @@ def gap_report(packed: DataFrame, key: str = "partition") -> DataFrame:
 
 def ordered_report(report: DataFrame, key: str = "partition") -> DataFrame:
     """A statistics report ordered for reading, with its lists as text."""
-    return report.withColumn("missing_offsets", format_offsets(F.col("missing_offsets"))).orderBy(key)
+    ordered = report.orderBy(key, F.asc_nulls_first(F.get("missing_offsets", F.lit(0))))
+    return ordered.withColumn("missing_offsets", format_offsets(F.col("missing_offsets")))

@@ -86,7 +86,7 @@ class Continuity:
         """Statistics per partition: with the listed offsets under a limit, else a row per run."""
         if self.limit is None:
             return sq.gap_report(self.words)
-        return sq.stats_with_report(self.stats, self.missing, self.limit)
+        return sq.stats_with_report(self.stats, sq.packed_gaps(self.words, limit=self.limit), self.limit)
 
     @property
     def scan_summary(self) -> DataFrame:
@@ -128,10 +128,11 @@ def reconcile_side_topics(
     st.require_decoded(decoded)
     records = st.side_topic_records(decoded)
     of_source = records.filter(F.col("source_topic") == side_topics.source_topic)
-    keys = rc.missing_keys(sq.packed_missing_offsets(words, limit), side_topics.source_topic)
-    explained = rc.explain_keys(keys, of_source)
-    if limit is not None:
-        explained = materialize(explained, "explained-offsets")
+    if limit is None:
+        explained = rc.explain_ledger(words, stats, of_source, side_topics.source_topic)
+    else:
+        keys = rc.missing_keys(sq.packed_missing_offsets(words, limit), side_topics.source_topic)
+        explained = materialize(rc.explain_keys(keys, of_source), "explained-offsets")
     listed = None if limit is None else explained
     summary = rc.reconciliation_summary(words, stats, records, side_topics.source_topic, limit, listed)
     return Reconciliation(records, explained, summary, side_topics)
