@@ -216,52 +216,45 @@ def _sides(spark, sf_dir) -> tuple:
     return lg.records(spark, sf_dir, st.CANARY), lg.records(spark, sf_dir, st.DEAD_LETTER)
 
 
-def _explained(spark, sf_dir, *kinds) -> tuple:
-    """The packed ledger, and the missing keys that records of these kinds explain."""
+def _marked(spark, sf_dir, *kinds) -> DataFrame:
+    """The packed ledger with the missing offsets that records of these kinds explain."""
     words = lg.words(spark, sf_dir)
     records = ld.cross_root_union([lg.records(spark, sf_dir, kind) for kind in kinds])
-    explained = rc.explained_keys(words, sq.packed_gap_stats(words), records, lg.SOURCE_TOPIC)
-    return words, materialize(explained, "explained-keys")
-
-
-def _unresolved_keys(spark, sf_dir, *kinds) -> DataFrame:
-    return rc.run_keys(rc.unresolved_runs(*_explained(spark, sf_dir, *kinds)), lg.SOURCE_TOPIC)
+    return materialize(rc.marked_words(words, sq.packed_gap_stats(words), records, lg.SOURCE_TOPIC), "marked-words")
 
 
 @query("explained_by")
 def explained_by(spark, sf_dir) -> DataFrame:
-    return _explained(spark, sf_dir, st.DEAD_LETTER)[1].select(*rc.RECORD_KEY)
+    return rc.explained_keys(_marked(spark, sf_dir, st.DEAD_LETTER), lg.SOURCE_TOPIC).select(*rc.RECORD_KEY)
 
 
 @query("unresolved")
 def unresolved(spark, sf_dir) -> DataFrame:
-    return _unresolved_keys(spark, sf_dir, st.CANARY, st.DEAD_LETTER)
+    return rc.run_keys(unresolved_runs(spark, sf_dir), lg.SOURCE_TOPIC)
 
 
 @query("unresolved_runs")
 def unresolved_runs(spark, sf_dir) -> DataFrame:
     """What no record explains, one row per run; no offset is expanded."""
-    return rc.unresolved_runs(*_explained(spark, sf_dir, st.CANARY, st.DEAD_LETTER))
+    return rc.unresolved_runs(_marked(spark, sf_dir, st.CANARY, st.DEAD_LETTER))
 
 
 @query("set_difference")
 def set_difference(spark, sf_dir) -> DataFrame:
-    return _unresolved_keys(spark, sf_dir, st.CANARY)
+    return rc.run_keys(rc.unresolved_runs(_marked(spark, sf_dir, st.CANARY)), lg.SOURCE_TOPIC)
 
 
 @query("classify_missing")
 def classify_missing(spark, sf_dir) -> DataFrame:
     words = lg.words(spark, sf_dir)
-    canary, dead_letter = _sides(spark, sf_dir)
-    return rc.classify_ledger(words, sq.packed_gap_stats(words), canary.unionByName(dead_letter), lg.SOURCE_TOPIC)
+    records = ld.cross_root_union(list(_sides(spark, sf_dir)))
+    return rc.classify_ledger(words, sq.packed_gap_stats(words), records, lg.SOURCE_TOPIC)
 
 
 @query("matched_records")
 def matched_records(spark, sf_dir) -> DataFrame:
-    records = materialize(lg.records(spark, sf_dir, st.DEAD_LETTER), "dead-letters")
-    words = lg.words(spark, sf_dir)
-    keys = rc.explained_keys(words, sq.packed_gap_stats(words), records, lg.SOURCE_TOPIC)
-    return rc.matched_records(records, keys)
+    keys = rc.explained_keys(_marked(spark, sf_dir, st.DEAD_LETTER), lg.SOURCE_TOPIC)
+    return rc.matched_records(lg.records(spark, sf_dir, st.DEAD_LETTER), keys)
 
 
 @query("dead_letter_fields")

@@ -208,9 +208,9 @@ def test_classification_against_sets(spark, seed):
     whole = rc.explain_ledger(words, stats, both, "orders")
     listed = rc.explain_keys(keys, both.filter("source_topic = 'orders'"))
     assert sorted(map(tuple, whole.select(*listed.columns).collect())) == sorted(map(tuple, listed.collect()))
-    explained = rc.explained_keys(words, stats, canary, "orders")
-    assert {(r.source_partition, r.source_offset) for r in explained.collect()} == in_canary
-    runs = rc.unresolved_runs(words, explained).collect()
+    marked = rc.marked_words(words, stats, canary, "orders")
+    assert {(r.source_partition, r.source_offset) for r in rc.explained_keys(marked, "orders").collect()} == in_canary
+    runs = rc.unresolved_runs(marked).collect()
     assert {(r.partition, o) for r in runs for o in range(r.gap_start, r.gap_end + 1)} == gaps - in_canary
     assert sum(r.gap_size for r in runs) == len(gaps - in_canary)
     repeats = sum(k[0] == "orders" and k[1:] in in_dead for k in dead_keys)
@@ -252,10 +252,11 @@ def test_unresolved_runs_expand_no_offset(spark):
     df = spark.createDataFrame([(0, 0), (0, 2**61), (1, 5), (None, 3)], "partition int, offset bigint")
     words = sq.pack_sequences(df.dropna())
     side = records(spark, st.CANARY, [("o", 0, 1000), ("o", 0, 0), ("o", 0, -4), ("o", 0, 2**61 + 9), ("x", 0, 7), ("o", 9, 1), ("o", 1, 5)])
-    explained = rc.explained_keys(words, sq.packed_gap_stats(words), side, "o")
-    runs = rc.unresolved_runs(words, explained)
+    marked = rc.marked_words(words, sq.packed_gap_stats(words), side, "o")
+    runs = rc.unresolved_runs(marked)
     assert sorted(map(tuple, runs.collect())) == [(0, 1, 999, 999), (0, 1001, 2**61 - 1, 2**61 - 1001)]
-    assert rc.unresolved_runs(words.limit(0), explained.limit(0)).collect() == []
+    assert [tuple(row) for row in rc.explained_keys(marked, "o").collect()] == [("o", 0, 1000, True, False, False)]
+    assert rc.unresolved_runs(marked.limit(0)).collect() == []
 
 
 def test_only_heavy_keys_are_matched_apart(spark):

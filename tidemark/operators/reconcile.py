@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.frames import one_row
 from tidemark.operators.sequences import (
+    WORD,
+    WORD_SHIFT,
     any_truncated,
     expand_runs,
     gap_partition_count,
@@ -84,34 +86,49 @@ def explain_keys(keys: DataFrame, records: DataFrame) -> DataFrame:
     )
 
 
-def explained_keys(words: DataFrame, stats: DataFrame, records: DataFrame, source_topic: str) -> DataFrame:
-    """The missing keys of the packed ``words`` that have records, once each, as in ``explain_keys``.
+def marked_words(words: DataFrame, stats: DataFrame, records: DataFrame, source_topic: str) -> DataFrame:
+    """``(partition, word, seen, canary, dead_letter)``: the packed ledger with the missing offsets that records explain.
 
-    No missing offset is listed for it: a key is missing if it lies in its partition's range and its
-    bit is not set.
+    The last two columns hold the bits of missing offsets, those within the range of their
+    partition that were not seen. Ledger and records meet in one aggregation, without a join.
     """
-    side = _per_key(records.filter(F.col("source_topic") == source_topic))
-    at = side.select("*", F.col("source_partition").alias("partition"), offset_word(F.col("source_offset")).alias("word"))
-    seen = words.groupBy("partition", "word").agg(F.bit_or("bits").alias("seen"))
+    side = side_words(records.filter(F.col("source_topic") == source_topic))
+    none = F.lit(None).cast("bigint")
+    both = words.select("partition", "word", "bits", none.alias("canary"), none.alias("dead_letter")).unionByName(
+        side.select("partition", "word", none.alias("bits"), "canary", "dead_letter")
+    )
+    met = both.groupBy("partition", "word").agg(
+        F.coalesce(F.bit_or("bits"), F.lit(0)).alias("seen"), *(F.coalesce(F.bit_or(name), F.lit(0)).alias(name) for name in ("canary", "dead_letter"))
+    )
     ranges = stats.select("partition", "min_offset", "max_offset")
-    absent = F.coalesce(F.col("seen").bitwiseAND(offset_bit(F.col("source_offset"))), F.lit(0)) == 0
-    missing = at.join(ranges, "partition").filter(F.col("source_offset").between(F.col("min_offset"), F.col("max_offset")))
-    return missing.join(seen, ["partition", "word"], "left").filter(absent).select(
-        *RECORD_KEY, "in_canary", "in_dead_letter", F.lit(False).alias("unresolved"), *(f"{name}_count" for name in DIAGNOSTICS)
+    missing = F.bitwise_not("seen").bitwiseAND(range_bits(F.col("word"), F.col("min_offset"), F.col("max_offset")))
+    return met.join(ranges, "partition").select(
+        "partition", "word", "seen", *(F.col(name).bitwiseAND(missing).alias(name) for name in ("canary", "dead_letter"))
     )
 
 
-def unresolved_runs(words: DataFrame, explained: DataFrame) -> DataFrame:
-    """The runs of missing offsets left over: ``(partition, gap_start, gap_end, gap_size)``.
+def explained_keys(marked: DataFrame, source_topic: str) -> DataFrame:
+    """The missing keys of ``marked_words`` that have records, once each, with their match flags."""
+    either = F.col("canary").bitwiseOR(F.col("dead_letter"))
+    at = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda i: F.getbit(either, i) == 1)
+    each = marked.filter(either != 0).select("*", F.explode(at).alias("at"))
+    return each.select(
+        F.lit(source_topic).alias("source_topic"),
+        F.col("partition").alias("source_partition"),
+        (F.shiftleft("word", WORD_SHIFT) + F.col("at")).alias("source_offset"),
+        *((F.getbit(name, "at") == 1).alias(f"in_{name}") for name in ("canary", "dead_letter")),
+        F.lit(False).alias("unresolved"),
+    )
+
+
+def unresolved_runs(marked: DataFrame) -> DataFrame:
+    """The runs of missing offsets that no record explains: ``(partition, gap_start, gap_end, gap_size)``.
 
     Explained offsets count as seen. They lie within the range of their partition, so the
-    range stays the same and what is missing then is what no record explains.
+    range stays the same and the gaps left are what no record explains.
     """
-    marks = explained.select(
-        F.col("source_partition").alias("partition"), offset_word(F.col("source_offset")).alias("word"), offset_bit(F.col("source_offset")).alias("bits")
-    )
-    filled = words.select("partition", "word", "bits").filter("bits IS NOT NULL").unionByName(marks)
-    packed = filled.groupBy("partition", "word").agg(F.bit_or("bits").alias("bits"))
+    bits = F.col("seen").bitwiseOR(F.col("canary")).bitwiseOR(F.col("dead_letter"))
+    packed = marked.select("partition", F.coalesce("word", F.lit(0)).alias("word"), bits.alias("bits")).filter("bits <> 0")
     return packed_gaps(packed).drop("prior_missing_count")
 
 
@@ -121,19 +138,25 @@ def run_keys(runs: DataFrame, source_topic: str) -> DataFrame:
     return missing_keys(listed, source_topic)
 
 
-def explain_ledger(words: DataFrame, stats: DataFrame, records: DataFrame, source_topic: str) -> DataFrame:
-    """``explain_keys`` of all missing offsets of the packed ``words``."""
-    explained = materialize(explained_keys(words, stats, records, source_topic), "explained-keys")
-    no, zero = F.lit(False), F.lit(0).cast("bigint")
-    rest = run_keys(unresolved_runs(words, explained), source_topic).select(
-        *RECORD_KEY, no.alias("in_canary"), no.alias("in_dead_letter"), F.lit(True).alias("unresolved"), *(zero.alias(f"{name}_count") for name in DIAGNOSTICS)
-    )
-    return explained.unionByName(rest)
-
-
 def classify_ledger(words: DataFrame, stats: DataFrame, records: DataFrame, source_topic: str) -> DataFrame:
     """``classify_missing`` of all missing offsets of the packed ``words``."""
-    return explain_ledger(words, stats, records, source_topic).select(*RECORD_KEY, "in_canary", "in_dead_letter", "unresolved")
+    return _classify(materialize(marked_words(words, stats, records, source_topic), "marked-words"), source_topic)
+
+
+def _classify(marked: DataFrame, source_topic: str) -> DataFrame:
+    no = F.lit(False)
+    rest = run_keys(unresolved_runs(marked), source_topic)
+    rest = rest.select(*RECORD_KEY, no.alias("in_canary"), no.alias("in_dead_letter"), F.lit(True).alias("unresolved"))
+    return explained_keys(marked, source_topic).unionByName(rest)
+
+
+def explain_ledger(words: DataFrame, stats: DataFrame, records: DataFrame, source_topic: str) -> DataFrame:
+    """``explain_keys`` of all missing offsets of the packed ``words``; only explained keys are joined with records."""
+    marked = materialize(marked_words(words, stats, records, source_topic), "marked-words")
+    counts = [f"{name}_count" for name in DIAGNOSTICS]
+    explained = explain_keys(explained_keys(marked, source_topic).select(*RECORD_KEY), records)
+    rest = _classify(marked, source_topic).filter("unresolved").select("*", *(F.lit(0).cast("bigint").alias(name) for name in counts))
+    return explained.unionByName(rest)
 
 
 def classify_missing(keys: DataFrame, canary: DataFrame, dead_letter: DataFrame) -> DataFrame:
