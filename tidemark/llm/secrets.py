@@ -46,11 +46,14 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 BASE36 = "0123456789abcdefghijklmnopqrstuvwxyz"
 BASE62 = BASE64[:62]
-ALPHABETS = {"hex": HEX_DIGITS, "base32": BASE32, "base36": BASE36, "base62": BASE62, "base64": BASE64}
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+ALPHABETS = {"hex": HEX_DIGITS, "letters": LETTERS, "base32": BASE32, "base36": BASE36, "base62": BASE62, "base64": BASE64}
 CODES = {name: {symbol: i for i, symbol in enumerate(alphabet)} for name, alphabet in ALPHABETS.items()}
 CODES["base64"] |= {"-": 62, "_": 63}
 #: Each alphabet as it may be written, in upper and lower case.
-WRITTEN = len(ALPHABETS) + 2
+WRITTEN = len(ALPHABETS) + 3
+#: Encodings of one case, whose tokens may be cut into groups by dashes or underscores.
+ONE_CASE = frozenset(("hex", "letters", "base32", "base36"))
 #: States of the prose model: the characters of tokens, and last what stands between them.
 SYMBOLS = BASE64 + "-_"
 OUTSIDE = len(SYMBOLS)
@@ -71,19 +74,27 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def ungrouped(token: str) -> str:
+    """A token without padding, dashes and underscores."""
+    return token.rstrip("=").replace("-", "").replace("_", "")
+
+
 def encoding_of(token: str) -> str | None:
-    """The encoding whose alphabet the token fits, or None for words and plain numbers."""
-    symbols = set(token.rstrip("="))
-    letters = {c for c in symbols if c.isalpha()}
-    digits = any(c.isdigit() for c in symbols)
-    if digits and letters and (symbols <= set(HEX_DIGITS) or symbols <= set(HEX_DIGITS.upper())):
-        return "hex"
-    if digits and letters and symbols <= set(BASE32):
-        return "base32"
-    if digits and letters and (symbols <= set(BASE36) or symbols <= set(BASE36.upper())):
-        return "base36"
+    """The encoding whose alphabet the token fits, or None for plain numbers and signs.
+
+    In the alphabets of one case dashes and underscores only group, as in a UUID.
+    """
+    core = set(ungrouped(token))
+    letters = {c for c in core if c.isalpha()}
+    digits = any(c.isdigit() for c in core)
+    if letters and core <= set(BASE36) or core <= set(BASE36.upper()) and letters:
+        if not digits:
+            return "letters"
+        if core <= set(HEX_DIGITS) or core <= set(HEX_DIGITS.upper()):
+            return "hex"
+        return "base32" if core <= set(BASE32) else "base36"
     if any(c.islower() for c in letters) and any(c.isupper() for c in letters):
-        return "base62" if symbols <= set(BASE62) else "base64"
+        return "base62" if set(token.rstrip("=")) <= set(BASE62) else "base64"
     return None
 
 
@@ -135,8 +146,8 @@ def battery(values: list[int], size: int) -> float:
 def read_as(token: str, encoding: str) -> list[int]:
     """Places in the alphabet; a character outside it counts by its code."""
     code, size = CODES[encoding], len(ALPHABETS[encoding])
-    token = token.rstrip("=")
-    if encoding in ("hex", "base36"):
+    token = ungrouped(token) if encoding in ONE_CASE else token.rstrip("=")
+    if encoding in ("hex", "letters", "base36"):
         token = token.lower()
     return [code.get(symbol, ord(symbol) % size) for symbol in token]
 
@@ -149,7 +160,8 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         if encoding:
             while i < len(base) and base[i][2] <= match.start():
                 i += 1
-            if not any(start < match.end() and end > match.start() for start, _, end in base[i:]):
+            # the first span that ends later also begins first of all that do
+            if i == len(base) or base[i][0] >= match.end():
                 out.append((match.start(), match.end(), encoding))
     return out
 
@@ -190,7 +202,7 @@ def strength(token: str, encoding: str, logs: list[list[float]]) -> float:
     """-log p of ``token`` as prose, or 0 for one that is not even in its alphabet."""
     values, size = read_as(token, encoding), len(ALPHABETS[encoding])
     last, prose = OUTSIDE, 0.0
-    for symbol in token.rstrip("="):
+    for symbol in ungrouped(token) if encoding in ONE_CASE else token.rstrip("="):
         prose += logs[last][last := PLACE[symbol]]
     found = -len(values) * math.log(size) - prose - math.log(WRITTEN)
     return found if found > 0 and battery(values, size) >= EVEN else 0.0
@@ -278,7 +290,7 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fd
     """``(doc_id, spans)``: the secrets of every text, by start and then kind.
 
     Offsets count code points, the end is exclusive. Null text has no spans; repeated rows
-    are scanned one by one. A random token is found however few others there are.
+    are scanned one by one; an empty table gives no row. A random token is found however few others there are.
     """
     rule = learn(docs, text, fdr)
     id_type = docs.schema[doc_id].dataType.simpleString()

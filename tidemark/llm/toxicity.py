@@ -94,14 +94,17 @@ def ftrl(rows: list[np.ndarray], labels: list[int], bits: int = BITS, epochs: in
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
     """The model fitted on at most ``rows`` of the labelled rows, those whose ids hash lowest.
 
-    Rows without id, label or text are left out; without any row every weight is zero.
+    Rows without id, label or text are left out; without any row every weight is zero. Of several
+    rows with one id the text that sorts first is taken, so the sample has at most ``rows`` rows
+    and no id counts more than once.
     """
     known = labels.filter(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
     known = known.groupBy(F.col(doc_id).alias("__id")).agg(F.max(label).cast("int").alias("__label"))
     chosen = known.withColumn("__order", F.xxhash64("__id")).orderBy("__order", "__id").limit(rows)
     texts = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
     # the sample never has more than ``rows`` ids, so it may be sent to every task
-    picked = texts.join(F.broadcast(chosen), "__id").select("__order", "__label", "__text")
+    picked = texts.join(F.broadcast(chosen), "__id")
+    picked = picked.groupBy("__order", "__id", "__label").agg(F.min("__text").alias("__text")).select("__order", "__label", "__text")
 
     def factory():
         return lambda order, marks, values: (order, marks, [found.tobytes() for found in features(values)])
