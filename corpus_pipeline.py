@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import near_dup, packing, quality, secrets, toxicity
-from tidemark.sources.scratch import materialize
+from tidemark.sources.scratch import materialize, release
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +29,10 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the secrets in their texts replaced and the lengths counted anew."""
+    """All documents, with the secrets in their texts replaced and the lengths, if there, counted anew."""
     clean = secrets.redact_secrets(docs)
+    if "n_chars" not in docs.columns:
+        return clean
     length = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
     return clean.withColumn("n_chars", length)
 
@@ -55,6 +57,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of the last stage over the whole ``documents`` table of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name)
+        if i:  # the table of the stage before is no longer read
+            release(before)
     return STAGES[-1][1](spark, docs, sf_dir)
