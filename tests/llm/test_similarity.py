@@ -1,5 +1,6 @@
 """Near-duplicates, embeddings and toxicity against brute force, and on odd rows."""
 
+import math
 import random
 import re
 import zlib
@@ -193,6 +194,37 @@ def test_toxicity_query_is_right_on_held_out_rows(spark):
     assert sum(wrong) < 0.01 * len(wrong)
 
 
+def test_ftrl_against_a_plain_loop():
+    draw = random.Random(3)
+    rows = [np.array(sorted(draw.sample(range(64), draw.randint(0, 9))), np.int32) for _ in range(200)]
+    labels = [int(draw.random() < 0.3 or 5 in row) for row in rows]
+    at, values, bias = toxicity.ftrl(rows, labels, bits=6, epochs=3)
+    z, n, b, b_n = [0.0] * 64, [0.0] * 64, 0.0, 0.0
+    weight = lambda i: 0.0 if abs(z[i]) <= toxicity.L1 else (math.copysign(toxicity.L1, z[i]) - z[i]) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+    for _ in range(3):
+        for row, label in zip(rows, labels, strict=True):
+            w = {int(i): weight(i) for i in row}
+            g = 1 / (1 + math.exp(-(sum(w.values()) + b))) - label
+            for i, own in w.items():
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / toxicity.ALPHA * own
+                n[i] += g * g
+            b_n += g * g
+            b -= toxicity.ALPHA / (toxicity.BETA + math.sqrt(b_n)) * g
+    want = {i: weight(i) for i in range(64) if weight(i)}
+    assert dict(zip(at.tolist(), values.tolist(), strict=True)) == pytest.approx(want) and bias == pytest.approx(b)
+    assert 0 < len(want) < 64
+
+
+def test_one_row_is_learnt_per_id(spark):
+    """Twenty thousand rows of one id teach no more than one row of it."""
+    rows = [(i, "vile thing here" if i % 2 else "sun and sea") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    many = once.union(spark.range(20_000).selectExpr("1L", "concat('vile thing here ', 'z', id)"))
+    one, two = toxicity.train(once, labels), toxicity.train(many, labels)
+    assert one[0].tolist() == two[0].tolist() and np.allclose(one[1], two[1]) and one[2] == two[2]
+
+
 def test_ftrl_is_sparse_and_odd_rows(spark):
     draw = random.Random(2)
     texts = [" ".join(draw.choice(["the", "of", "sun", "sea", "hill"]) for _ in range(30)) + (" vile" if i % 3 == 0 else "") for i in range(300)]

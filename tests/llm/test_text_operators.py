@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -148,6 +149,31 @@ def test_one_planted_key_is_enough(spark, alphabet, length):
     assert alone[0]["text"] == "see [secret] here"
 
 
+def test_grouped_and_one_case_keys(spark):
+    """Keys cut by dashes, and of letters of one case, are found; names of many words are not."""
+    draw = random.Random(8)
+    hexes = "".join(draw.choice("0123456789abcdef") for _ in range(32))
+    keys = [
+        "-".join((hexes[:8], hexes[8:12], hexes[12:16], hexes[16:20], hexes[20:])),
+        "_".join("".join(draw.choice(secrets.BASE36) for _ in range(8)) for _ in range(5)),
+        "".join(draw.choice(secrets.LETTERS) for _ in range(44)), "".join(draw.choice(secrets.LETTERS) for _ in range(44)).upper(),
+    ]
+    names = ["this-is-a-long-dashed-name-of-a-page-2024", "A_LONG_CONSTANT_NAME_OF_2", "internationalisationprocedures", "the/path/to/the/other/files/of/2023"]
+    rows = [(i, f"Here it is: {token} and that is all of it.") for i, token in enumerate(keys + names)]
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {i: [("random", 12, 12 + len(token))] if token in keys else [] for i, token in enumerate(keys + names)}
+
+
+def test_overlaps_are_linear():
+    text = " ".join(f"password=abcdef{i:06d} x{i:030x}Q" for i in range(8000))
+    base = secrets.base_spans(text)
+    start = time.perf_counter()
+    found = secrets.candidates(text, base)
+    assert time.perf_counter() - start < 1
+    plain = [(m.start(), m.end()) for m in secrets.CANDIDATE.finditer(text[:20000]) if not any(s < m.end() and e > m.start() for s, _, e in base)]
+    assert [(s, e) for s, e, _ in found if e < 19000] == [(s, e) for s, e in plain if e < 19000 and secrets.encoding_of(text[s:e])]
+
+
 def test_secret_odd_rows(odd, empty):
     found = secrets.secret_spans(odd)
     assert found.count() == len(ODD) + 2
@@ -262,6 +288,35 @@ def test_bin_completion_against_exhaustive_search(seed):
     assert fewest(sorted(lengths, reverse=True), []) <= used <= sum(times for _, times in first_fit)
 
 
+@pytest.mark.parametrize("lengths", [{2047: 5000, 5: 1, 2: 1500}, {2: 3000, 2047: 3000, 3: 1}, {1: 5000, 2047: 10}, {2048: 3}, {}])
+def test_many_equal_pieces(lengths):
+    """Thousands of pieces in one sequence, and near-full documents beside very short ones."""
+    plan = packing.plan_sequences(lengths, 2048)
+    placed = Counter()
+    for pattern, times in plan:
+        assert sum(pattern) <= 2048
+        for length, number in Counter(pattern).items():
+            placed[length] += times * number
+    assert placed == Counter(lengths)
+    used = sum(times for _, times in plan)
+    large = sum(number for length, number in lengths.items() if length > 1024)
+    assert max(large, -(-sum(length * number for length, number in lengths.items()) // 2048)) <= used <= large + 2
+
+
+def test_ranked_chunks_equal_the_library():
+    """The path through ranks against the library, over characters of every class and odd ones."""
+    tokenizer = Tokenizer.from_file(packing.TOKENIZER)
+    draw = random.Random(4)
+    letters = "abcdeEéÉßÿ×÷ªµº½²'’“–…«­ \u0085 \t\n0123!?.<|>ſıİΣσςé\u0000\x1c中文🙂's't"
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 40))) for _ in range(5000)]
+    texts += ["<|endoftext|>x", "a<|startoftext|>b", "it's 'SWORD 'LLama don'T", "word" * 5000, ""]
+    for cache in (10, 100_000):
+        coder = packing.WordCoder(packing.TOKENIZER, cache)
+        got = [ids for at in range(0, len(texts), 100) for ids in coder.encode(texts[at : at + 100])]
+        want = tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert all(np.frombuffer(a, "<u4").tolist() == b.ids for a, b in zip(got, want, strict=True))
+
+
 @pytest.mark.parametrize("copies", [1, 2, 50])
 def test_packing_backtracks(copies):
     """Both greedy plans need 5 sequences for each 4."""

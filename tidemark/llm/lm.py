@@ -305,6 +305,12 @@ def _added(sums: DataFrame, parts: int) -> DataFrame:
     return sums.repartition(parts).mapInArrow(run, "seen long, sums binary")
 
 
+def deal(hashed: DataFrame, shards: int) -> DataFrame:
+    """``hashed_words`` with their ``shard``, in an order that depends on ids and words alone."""
+    dealt = hashed.withColumn("order", F.xxhash64("doc_id", "own")).withColumn("shard", F.pmod("order", F.lit(shards)))
+    return dealt.repartition(shards, "shard").sortWithinPartitions("shard", "order").drop("order")
+
+
 def train(words: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
     """The weights after ``rounds`` rounds over ``(shard, own)``; ``ROUNDS`` of them predict every position once."""
     weights = Network.initial(vocabulary).flat()
@@ -328,8 +334,7 @@ def pseudo_likelihood(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     counts = entry_counts(hashed)
     vocabulary = Vocabulary(counts)
     shards = -(-int(counts.sum()) // SHARD_WORDS) or 1
-    dealt = hashed.withColumn("shard", F.pmod(F.xxhash64("doc_id", "own"), F.lit(shards)))
-    words = materialize(dealt.repartition(shards, "shard").sortWithinPartitions("shard"), "shards")
+    words = materialize(deal(hashed, shards), "shards")
     release(hashed)
     weights = train(words, vocabulary, rounds)
     shared = docs.sparkSession.sparkContext.broadcast((weights, vocabulary))
