@@ -268,7 +268,9 @@ def first_pass(block: Block, known: bool = True) -> str:
         return "bad"
     inside = block.place == "main"
     if linked > LINKS:
-        return "short" if inside and (not known or block.heading or stop_density(block.text) >= STOP_LOW) else "bad"
+        if inside and known and stop_density(block.text) >= STOP_LOW:
+            return "near"
+        return "short" if inside and (block.heading or not known) else "bad"
     if size < SHORT:
         return "bad" if block.link_chars and not inside else "short"
     if not known:
