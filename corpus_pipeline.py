@@ -16,7 +16,10 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents that score below one half; the labels of ``sf_dir`` teach the score."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, toxicity.learnable(labels))
-    return toxicity.score_documents(docs, model, score="__score").filter("__score < 0.5").drop("__score")
+    score = "score"
+    while score in docs.columns:
+        score += "_"
+    return toxicity.score_documents(docs, model, score=score).filter(F.col(score) < 0.5).drop(score)
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
