@@ -35,8 +35,8 @@ OWN = 32
 GROUPS = 64
 SIDE = 2
 WIDTH = 16
-ROUNDS = 4
-BATCH = 4096
+ROUNDS = 3
+BATCH = 8192
 RATE = 0.1
 SEED = 7
 HASH_KEY = "window-model-key"
@@ -59,6 +59,8 @@ SHAPES = {
     "group_outputs": (SHARED, WIDTH, GROUPS),
     "group_bias": (SHARED, GROUPS),
 }
+#: Hidden units lie within one, so with these bounds no exponential and no sum of them leaves its range.
+BOUNDS = {"outputs": (-4, 4), "group_outputs": (-4, 4), "bias": (-30, 15), "group_bias": (-30, 15)}
 SIZES = {name: int(np.prod(shape)) for name, shape in SHAPES.items()}
 
 
@@ -151,47 +153,46 @@ class Network:
         inputs = self.weights["inputs"]
         return np.tanh(self.weights["hidden"] + sum(inputs[slot][sides[slot]] for slot in range(2 * SIDE)))
 
-    def class_logs(self, hidden: np.ndarray) -> np.ndarray:
-        return _log_softmax(hidden @ self.weights["outputs"] + self.weights["bias"])
-
-    def group_logs(self, hidden: np.ndarray, shared: int) -> np.ndarray:
-        return _log_softmax(hidden @ self.weights["group_outputs"][shared] + self.weights["group_bias"][shared])
-
     def predict(self, sides: np.ndarray, classes: np.ndarray, groups: np.ndarray) -> np.ndarray:
         """The log-probability of each row's class and group."""
-        hidden = self.hidden(sides)
-        logs = self.class_logs(hidden)[np.arange(len(classes)), classes]
-        for shared, rows in _by_class(classes):
-            logs[rows] += self.group_logs(hidden[rows], shared)[np.arange(len(rows)), groups[rows]]
-        return logs
+        w = self.weights
+        order, parts = _by_class(classes)
+        classes, groups = classes[order], groups[order]
+        hidden = self.hidden(sides[:, order])
+        logs = _log_of(hidden @ w["outputs"] + w["bias"], classes)
+        for shared, part in parts:
+            logs[part] += _log_of(hidden[part] @ w["group_outputs"][shared] + w["group_bias"][shared], groups[part])
+        found = np.empty_like(logs)
+        found[order] = logs
+        return found
 
     def step(self, sides: np.ndarray, classes: np.ndarray, groups: np.ndarray, squares: "Network") -> None:
         """One step against the mean gradient, with a rate per weight that shrinks with use."""
         w, n = self.weights, len(classes)
+        order, parts = _by_class(classes)
+        sides, classes, groups = sides[:, order], classes[order], groups[order]
         hidden = self.hidden(sides)
-        error = np.exp(self.class_logs(hidden))
-        error[np.arange(n), classes] -= 1
-        error /= n
+        error = _errors(hidden @ w["outputs"] + w["bias"], classes, n)
         back = error @ w["outputs"].T
         slopes, biases = np.zeros(SHAPES["group_outputs"], np.float32), np.zeros(SHAPES["group_bias"], np.float32)
-        for shared, rows in _by_class(classes):
-            part = hidden[rows]
-            wrong = np.exp(self.group_logs(part, shared))
-            wrong[np.arange(len(rows)), groups[rows]] -= 1
-            wrong /= n
-            back[rows] += wrong @ w["group_outputs"][shared].T
-            slopes[shared], biases[shared] = part.T @ wrong, wrong.sum(axis=0)
+        for shared, part in parts:
+            wrong = _errors(hidden[part] @ w["group_outputs"][shared] + w["group_bias"][shared], groups[part], n)
+            back[part] += wrong @ w["group_outputs"][shared].T
+            slopes[shared], biases[shared] = hidden[part].T @ wrong, np.ones(len(wrong), np.float32) @ wrong
         back *= 1 - hidden * hidden
         self._move("group_outputs", ..., slopes, squares)
         self._move("group_bias", ..., biases, squares)
         self._move("outputs", ..., hidden.T @ error, squares)
-        self._move("bias", ..., error.sum(axis=0), squares)
-        self._move("hidden", ..., back.sum(axis=0), squares)
+        ones = np.ones(n, np.float32)
+        self._move("bias", ..., ones @ error, squares)
+        self._move("hidden", ..., ones @ back, squares)
         for slot in range(2 * SIDE):
             order = np.argsort(sides[slot], kind="stable")
             codes = sides[slot][order]
             starts = np.nonzero(np.diff(codes, prepend=-1))[0]
             self._move("inputs", (slot, codes[starts]), np.add.reduceat(back[order], starts), squares)
+        for name, (low, high) in BOUNDS.items():
+            np.clip(w[name], low, high, out=w[name])
 
     def _move(self, name: str, at, slope: np.ndarray, squares: "Network") -> None:
         seen = squares.weights[name][at] + slope * slope
@@ -199,19 +200,26 @@ class Network:
         self.weights[name][at] -= RATE * slope / (np.sqrt(seen) + 1e-7)
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def _log_of(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log-probability of column ``at`` of each row; ``logits`` are lost."""
+    picked = logits[np.arange(len(at)), at]
+    np.exp(logits, out=logits)
+    return picked - np.log(logits @ np.ones(logits.shape[1], np.float32))
+
+
+def _errors(logits: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """The slope of the loss, a mean over ``n`` rows, by ``logits``, which are lost."""
+    np.exp(logits, out=logits)
+    logits *= (1 / (n * (logits @ np.ones(logits.shape[1], np.float32))))[:, None]
+    logits[np.arange(len(at)), at] -= 1 / n
     return logits
 
 
-def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each shared class with the rows that have it."""
+def _by_class(classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order of the rows by class, and the part of it that each shared class has."""
     order = np.argsort(classes, kind="stable")
-    ends = np.searchsorted(classes[order], np.arange(OWN, CLASSES + 1))
-    for shared in range(SHARED):
-        if ends[shared] < ends[shared + 1]:
-            yield shared, order[ends[shared] : ends[shared + 1]]
+    ends = np.searchsorted(classes[order], np.arange(OWN, CLASSES + 1)).tolist()
+    return order, [(shared, slice(a, b)) for shared, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if a < b]
 
 
 def _laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
