@@ -4,13 +4,16 @@ import math
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dup, near_dup, toxicity
-from tidemark.llm.common import connected
+from tidemark.llm import common, embedding_dup, near_dup, toxicity
+from tidemark.llm.common import connected, join_counted
 from tidemark.llm.queries import op6_minhash_near_dedup, op8_embedding_near_dedup, op9_toxicity
+from tidemark.sources.scratch import release
 
 SF = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, node string, component string"
@@ -98,6 +101,43 @@ def test_near_duplicate_odd_rows(spark):
     assert near_dup.near_duplicates(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_counted(spark, monkeypatch, how):
+    """More keys than are matched by broadcast, keys on one side only, and rows without a key."""
+    monkeypatch.setattr(common, "HOT_KEYS", 3)
+    rows = [(i, k) for i, k in enumerate([1] * 90 + [2] * 50 + [3] * 20 + [4, 4, 5, 6, 7, None, None])]
+    counted = [(k, sum(1 for _, x in rows if x == k), f"name {k}") for k in (1, 2, 3, 4, 5, 9)]
+    frame = spark.createDataFrame(rows, "i long, k long")
+    got = join_counted(frame, spark.createDataFrame(counted, "k long, n long, name string"), "k", how).select("i", "k", "n", "name")
+    known = {k: (n, name) for k, n, name in counted}
+    want = [(i, k, *known.get(k, (None, None))) for i, k in rows if how == "left" or k in known]
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_no_task_joins_a_whole_group(spark):
+    """Two thirds of the rows are near copies, exact or not, of one text; joins deal them all the same."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words if i % 3 else [*words[: i % 60], f"x{i}", *words[i % 60 :]])) for i in range(2000)]
+    rows += [(i, " ".join(f"u{i}x{j}" for j in range(20))) for i in range(2000, 3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    members = frame.select(F.lit(0).cast("long").alias("component"), F.lit(2000).cast("long").alias("n"), F.col("doc_id").alias("node"), "text")
+    members = near_dup.member_sets(members.filter("node < 2000"), 5)
+    placed, _ = near_dup._placed(members, 75, 64)
+    assert "hashpartitioning(component#" not in re.sub(r"hashpartitioning\(component#\d+L, ", "", placed._jdf.queryExecution().toString())
+    got = near_dup.near_duplicates(frame)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {i: 0 if i < 2000 else i for i, _ in rows}
+
+
+def test_scratch_tables_are_released(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    for query in (op6_minhash_near_dedup, op8_embedding_near_dedup):
+        result = query(spark, SF)
+        assert result.count() and set(shared.iterdir()) > before
+        release(result)
+        assert set(shared.iterdir()) == before
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_connected(spark, seed):
     """Chains, a star with many leaves, loops and repeated edges."""

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tidemark.sources.scratch import materialize
+from tidemark.sources.scratch import materialize, release
 
 ROWS = 512
+HOT_KEYS = 1024
 
 
 def arrow_map(df: DataFrame, schema: str, factory: Callable[[], Callable], rows: int = ROWS) -> DataFrame:
@@ -32,13 +33,27 @@ def arrow_map(df: DataFrame, schema: str, factory: Callable[[], Callable], rows:
     return df.mapInArrow(run, schema)
 
 
+def join_counted(rows: DataFrame, counted: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``counted``, which has one row per ``key`` and its number ``n`` of rows.
+
+    The ``HOT_KEYS`` keys with most rows are matched by broadcast, each other one holds at
+    most one row in ``HOT_KEYS`` and is matched by an ordinary join. Rows without a key, kept
+    by a left join, take part in no shuffle. The columns of ``counted`` are small.
+    """
+    hot = counted.orderBy(F.desc("n"), key).limit(HOT_KEYS)
+    tagged = rows.join(F.broadcast(hot), key, "left")
+    rest = tagged.filter(F.col("n").isNull() & F.col(key).isNotNull()).select(*rows.columns)
+    done = tagged.filter(F.col("n").isNotNull() | (F.col(key).isNull() if how == "left" else F.lit(False)))
+    return done.unionByName(rest.join(counted, key, how))
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """``(node, component)`` of every node in ``edges(a, b)``, where component is its smallest member.
 
     Each round hooks every root onto the smallest root next to it and then follows the
     pointers up, so chains shrink by a constant factor a round. Rounds are written to the
-    shared folder. A node with very many neighbours only meets partial aggregates and joins
-    in which its own side has one row.
+    shared folder, and all but the last are deleted again. A node with very many neighbours
+    only meets partial aggregates and joins in which its own side has one row.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).filter("a <> b")
     links = materialize(both.distinct(), "edges")
@@ -57,9 +72,11 @@ def connected(edges: DataFrame) -> DataFrame:
         )
         hooks = materialize(hooks, "hooks")
         if not hooks.limit(1).count():
+            release(links, hooks)
             return labels
         moved = labels.join(hooks.withColumnRenamed("component", "root"), F.col("component") == F.col("root"), "left")
-        labels = materialize(moved.select("node", F.coalesce("near", "component").alias("component")), "labels")
+        before, labels = labels, materialize(moved.select("node", F.coalesce("near", "component").alias("component")), "labels")
+        release(before, hooks)
 
 
 def _jump(labels: DataFrame) -> DataFrame:
@@ -69,7 +86,8 @@ def _jump(labels: DataFrame) -> DataFrame:
         moved = labels.join(up, "component", "left").select(
             "node", F.coalesce("up", "component").alias("component"), (F.col("up") < F.col("component")).alias("moved")
         )
-        moved = materialize(moved, "labels")
+        before, moved = labels, materialize(moved, "labels")
+        release(before)
         labels = moved.select("node", "component")
         if not moved.filter("moved").limit(1).count():
             return labels

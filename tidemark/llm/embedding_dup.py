@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_map, connected
-from tidemark.sources.scratch import materialize
+from tidemark.sources.scratch import materialize, release
 
 COSINE = 0.9
 LEVELS = (1.0, 0.5, 0.25, 0.125, 0.0625)
@@ -271,13 +271,16 @@ def near_duplicate_vectors(
     Vectors that are null, zero or empty, or hold null or non-finite components, are linked
     with nothing, and so are vectors of different widths. A row without an id has no
     links and no component and is kept. Rows with one id are one vector: equal ones count
-    once, and of different ones the links are added up.
+    once, and of different ones the links are added up. An empty table gives no rows; other
+    columns are not read. The result reads tables below ``spark.checkpoint.dir``; ``release``
+    deletes them.
     """
     units = materialize(unit_rows(vectors, vec_id, embedding).dropDuplicates(["vec_id", "unit"]), "unit-vectors")
     total = units.count()
     blocks = max(min_blocks, -(-total // block_rows))
     placed, pivots = _blocks(units, min(MAX_PIVOTS, max(1, blocks // 2)))
     placed = materialize(placed, "placed-vectors")
+    release(units)
     rows = max(1, -(-total // blocks))
     cells = placed.groupBy("width", "cell").agg(
         F.count("*").alias("n"), F.max("distance").alias("radius")
@@ -322,6 +325,7 @@ def _compared(vectors, vec_id, placed, first, parts, meets, cosine):
     block = f"vec_id {id_type}, unit binary, mine int, others array<int>"
     trees = arrow_map(columns, block, number, rows=256).groupBy("mine").applyInPandas(plant, f"{block}, place int, path array<int>")
     trees = materialize(trees, "cover-trees")
+    release(placed)
     spread = trees.withColumn("other", F.explode("others")).select(
         F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "mine", "place", "vec_id", "unit", "path"
     )
@@ -344,6 +348,7 @@ def _compared(vectors, vec_id, placed, first, parts, meets, cosine):
 
     found = spread.groupBy("a", "b").applyInPandas(compare, f"vec_id {id_type}, links long, other {id_type}")
     found = materialize(found, "vector-links")
+    release(trees)
     counts = found.groupBy("vec_id").agg(F.sum("links").alias("n_links"))
     components = connected(found.select(F.col("vec_id").alias("a"), F.col("other").alias("b")))
     label = counts.join(components, counts["vec_id"] == components["node"], "left").select("vec_id", "n_links", "component")

@@ -23,8 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_map, connected
-from tidemark.sources.scratch import materialize
+from tidemark.llm.common import arrow_map, connected, join_counted
+from tidemark.sources.scratch import materialize, release
 
 SHINGLE = 5
 PERCENT = 75
@@ -101,13 +101,13 @@ def document_sketches(docs: DataFrame, doc_id: str, text: str, shingle: int, wid
 
 
 def member_sets(members: DataFrame, shingle: int) -> DataFrame:
-    """``(component, node, shingles)`` from ``(component, node, text)``."""
+    """``(component, n, node, shingles)`` from ``(component, n, node, text)``."""
     node_type = members.schema["node"].dataType.simpleString()
 
     def factory():
-        return lambda components, nodes, texts: (components, nodes, [s.tobytes() for s in _sets_of(texts, shingle)])
+        return lambda components, counts, nodes, texts: (components, counts, nodes, [s.tobytes() for s in _sets_of(texts, shingle)])
 
-    return arrow_map(members, f"component {node_type}, node {node_type}, shingles binary", factory, rows=256)
+    return arrow_map(members, f"component {node_type}, n long, node {node_type}, shingles binary", factory, rows=256)
 
 
 def _digest(shingles: np.ndarray) -> bytes:
@@ -138,7 +138,9 @@ def candidate_groups(sets: DataFrame, number: int) -> DataFrame:
     low = labelled.groupBy("key").agg(F.min("label").alias("low"))
     edges = labelled.join(low, "key").select(F.col("low").alias("a"), F.col("label").alias("b"))
     own = label.select(F.col("label").alias("a"), F.col("node").alias("b"))
-    return connected(edges.union(own).filter("a <> b").distinct())
+    found = connected(edges.union(own).filter("a <> b").distinct())
+    release(keys, label)
+    return found
 
 
 def block_links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
@@ -194,39 +196,51 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
+def sized(groups: DataFrame) -> DataFrame:
+    """``groups`` with the number ``n`` of rows of each ``component``."""
+    return join_counted(groups, groups.groupBy("component").agg(F.count("*").alias("n")), "component")
+
+
 def _placed(members: DataFrame, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
-    """``members`` with the pairs of blocks in which each is compared (``a``, ``b`` and ``mine``), and links to pivots."""
-    sizes = members.groupBy("component").agg(F.count("*").alias("n"))
-    members = members.join(sizes, "component")
+    """``members`` with the pairs of blocks in which each is compared (``a``, ``b`` and ``mine``), and links to pivots.
+
+    What a large group needs to know, its pivot and its layout, is copied once per ``block``
+    members, and they are dealt among the copies: no task joins a whole group.
+    """
     small = members.filter(F.col("n") <= block).select("component", "node", "shingles", F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(0).alias("mine"))
 
     large = members.filter(F.col("n") > block)
-    pivots = large.groupBy("component").agg(F.min("node").alias("node"))
-    pivots = pivots.join(large.select("node", F.col("shingles").alias("pivot")), "node").select("component", "pivot")
+    shares = F.ceil(F.col("n") / block)
+    share = F.pmod(F.xxhash64("node"), shares).alias("share")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share")
+    least = large.groupBy("component").agg(F.min("node").alias("node"))
+    pivots = large.join(least, ["component", "node"]).dropDuplicates(["component", "node"])
+    pivots = pivots.select("component", F.col("node").alias("pivot"), F.col("shingles").alias("others"), every)
 
     def factory():
-        def work(components, nodes, sets, others):
+        def work(components, counts, nodes, sets, pivots, others):
             bands = []
             for mine, other in zip(sets, others, strict=True):
                 x, y = np.frombuffer(mine, np.uint64), np.frombuffer(other, np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 union = len(x) + len(y) - common
                 bands.append(min(BANDS - 1, (union - common) * BANDS // union))
-            return components, nodes, sets, bands
+            return components, counts, nodes, sets, pivots, bands
 
         return work
 
     node_type = members.schema["node"].dataType.simpleString()
-    measured = large.join(pivots, "component").select("component", "node", "shingles", "pivot")
-    measured = materialize(
-        arrow_map(measured, f"component {node_type}, node {node_type}, shingles binary, band int", factory, rows=128), "group-distances"
-    )
-    counts = measured.groupBy("component", "band").agg(F.ceil(F.count("*") / block).cast("int").alias("pieces"))
-    layout = counts.groupBy("component").agg(F.sort_array(F.collect_list(F.struct("band", "pieces"))).alias("layout"))
+    shared = large.select("component", "n", "node", "shingles", share).join(pivots, ["component", "share"])
+    measured = shared.select("component", "n", "node", "shingles", "pivot", "others")
+    schema = f"component {node_type}, n long, node {node_type}, shingles binary, pivot {node_type}, band int"
+    measured = materialize(arrow_map(measured, schema, factory, rows=128), "group-distances")
+    counts = measured.groupBy("component", "n", "band").agg(F.ceil(F.count("*") / block).cast("int").alias("pieces"))
+    layout = counts.groupBy("component", "n").agg(F.sort_array(F.collect_list(F.struct("band", "pieces"))).alias("layout"))
+    layout = layout.select("component", "layout", every)
     near = BANDS * (100 - percent) // 100  # bands whose members are all linked to the pivot
-    cut = measured.join(layout, "component").withColumn(
+    cut = measured.select("component", "node", "shingles", "band", share).join(layout, ["component", "share"]).withColumn(
         "pieces", F.expr("filter(layout, x -> x.band = band)[0].pieces")
-    ).withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
+    ).withColumn("piece", F.pmod(F.xxhash64("node", F.lit("piece")), F.col("pieces")).cast("int"))
     partners = F.expr(
         f"flatten(transform(filter(layout, x -> abs(x.band - band) <= {near + 1} and (x.band >= {near} or band >= {near})),"
         " x -> transform(sequence(0, x.pieces - 1), p -> x.band * 1048576 + p)))"
@@ -235,15 +249,14 @@ def _placed(members: DataFrame, percent: int, block: int) -> tuple[DataFrame, Da
     spread = cut.select(
         "component", "node", "shingles", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "mine"
     )
-    to_pivot = measured.filter(F.col("band") < near).select("component", F.col("node").alias("b"))
-    to_pivot = to_pivot.join(large.groupBy("component").agg(F.min("node").alias("a")), "component").select("a", "b").filter("a <> b")
-    return small.unionByName(spread), to_pivot
+    to_pivot = measured.filter((F.col("band") < near) & (F.col("node") != F.col("pivot")))
+    return small.unionByName(spread), to_pivot.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
 
 
 def confirmed_links(members: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """``(a, b)``: links confirmed on full sets that connect all linked ``members``.
 
-    ``members`` has ``component``, ``node`` and ``shingles``.
+    ``members`` has ``component``, its number ``n`` of rows, ``node`` and ``shingles``.
     """
     placed, to_pivot = _placed(members, percent, block)
     node_type = members.schema["node"].dataType.simpleString()
@@ -277,19 +290,27 @@ def near_duplicates(
 
     Texts without words, or null, are linked with nothing. A row without an id is returned as
     its own component, with a null id, and kept. Repeated rows with one id are one document.
+    An empty table gives no rows. Other columns of ``docs`` are not read, whatever their names.
+    The result reads tables below ``spark.checkpoint.dir``; ``release`` deletes them.
     """
     rows = materialize(document_sketches(docs, doc_id, text, shingle, width, number), "sketches")
     known = rows.filter(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
-    same = known.groupBy("digest").agg(F.min("doc_id").alias("node"))
-    first = known.join(same.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("node")))
-    groups = materialize(candidate_groups(first.select("node", "sketches").dropDuplicates(["node", "sketches"]), number), "candidate-groups")
+    same = materialize(known.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")), "different-sets")
+    # by digest and id at once, so that many copies of a set are not dealt to one task
+    first = known.join(same.select("digest", F.col("node").alias("doc_id")), ["digest", "doc_id"]).select(F.col("doc_id").alias("node"), "sketches")
+    groups = candidate_groups(first.dropDuplicates(["node", "sketches"]), number)
     texts = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
-    members = groups.join(texts, F.col("node") == F.col("__id")).select("component", "node", "__text")
+    members = sized(groups).join(texts, F.col("node") == F.col("__id")).select("component", "n", "node", "__text")
     members = materialize(member_sets(members, shingle), "candidate-sets")
-    components = connected(confirmed_links(members, percent))
-    label = same.join(components, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
-    out = rows.select("doc_id", "n_shingles", "digest").join(label, "digest", "left")
-    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
+    links = confirmed_links(members, percent)
+    components = connected(links)
+    release(links, groups)
+    # only sets whose documents do not all keep their own id have to reach the rows again
+    label = same.join(components, "node", "left").select("digest", "node", "n", F.coalesce("component", "node").alias("component"))
+    label = materialize(label.filter("n > 1 OR component <> node").drop("node"), "labels-of-sets")
+    release(same, components)
+    out = join_counted(rows.select("doc_id", "n_shingles", "digest"), label, "digest", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))
     )
