@@ -60,8 +60,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of the last stage over the whole ``documents`` table of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES[:-1]):
-        before, docs = docs, materialize(stage(spark, docs, sf_dir), name)
-        if i:  # the table of the stage before is no longer read
-            release(before)
+    for name, stage in STAGES[:-1]:
+        staged = stage(spark, docs, sf_dir)
+        docs = materialize(staged, name)
+        release(staged)  # the table of the stage before and those that this stage wrote
     return STAGES[-1][1](spark, docs, sf_dir)
