@@ -6,7 +6,9 @@ import re
 import time
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
+import duckdb
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
@@ -203,8 +205,8 @@ def test_bpe_long_runs_and_odd_rows(spark, odd, empty, byte_tokenizer):
     long = ["a" * 5000, " " * 7000 + "x", "\n" * 6001, "=-" * 3000, "9" * 9999, "the" * 4000, "".join(draw.choice("ab") for _ in range(9000)),
             "mixed it's " + "ü" * 4500 + " <|endoftext|>" + "".join(draw.choice("etaoinshrdlu") for _ in range(20000)) + "  end  "]
     frame = spark.createDataFrame([(i, text) for i, text in enumerate([*long, long[0]])], "doc_id long, text string")
-    for run, leaf in ((4096, 2048), (300, 64)):
-        for row in bpe.bpe_encode(frame, long_run=run, leaf_bytes=leaf).collect():
+    for size, leaf in ((4096, 2048), (300, 64)):
+        for row in bpe.bpe_encode(frame, long_text=size, leaf=leaf).collect():
             want = byte_tokenizer.encode([*long, long[0]][row["doc_id"]], add_special_tokens=False).ids
             assert row["ids"] == want
             assert row["decoded"] == byte_tokenizer.decode(want, skip_special_tokens=False)
@@ -216,14 +218,31 @@ def test_bpe_long_runs_and_odd_rows(spark, odd, empty, byte_tokenizer):
     assert bpe.bpe_encode(empty).collect() == []
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_tree_concatenation(seed):
+@pytest.mark.parametrize("seed", range(12))
+def test_tree_concatenation(seed, byte_tokenizer):
+    """Leaves cut anywhere: inside runs, contractions, white space, digits and special tokens."""
     coder = bpe.codec(bpe.TOKENIZER, bpe.RANKS)
     draw = random.Random(seed)
-    alphabet = ["ab", "aab", "etaoin", "the ", "é中"][seed % 5]
-    piece = "".join(draw.choice(alphabet) for _ in range(draw.randrange(1, 3000))).encode()
-    leaves = [coder.encode_piece(piece[at : at + 37]) for at in range(0, len(piece), 37)]
-    assert bpe.concatenate(coder, leaves) == coder.encode_piece(piece)
+    parts = ["ab", "aab", "etaoin", ["the "], "é中", ["<|endoftext|>", "<|", "a", "!"], "'slrev t", " \n\t a", "0123456789", ["don't", " we'll", "\n\n", "…", "🙂", " 12", "e\u0301"], "-=", "文字。、"][seed]
+    for leaf in (1, 7, 37):
+        text = "".join(draw.choice(parts) for _ in range(draw.randrange(1, 2000)))
+        leaves = [coder.encode(text[at : at + leaf]) for at in range(0, len(text), leaf)]
+        assert bpe.concatenate(coder, leaves) == byte_tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_trees_of_given_texts(byte_tokenizer):
+    """The long texts of the given table are joined from leaves, and nearly always by the first window."""
+    table = duckdb.sql("select text from '/root/testdata/sf0.1/documents.parquet' where length(text) >= ?", params=[bpe.LONG_TEXT]).fetchall()
+    coder = bpe.codec(bpe.TOKENIZER, bpe.RANKS)
+    joins, calls, encode = 0, 0, coder.encode
+    for (text,) in table:
+        leaves = [encode(text[at : at + bpe.LEAF]) for at in range(0, len(text), bpe.LEAF)]
+        joins += len(leaves) - 1
+        counted = SimpleNamespace(encode=lambda part: seen.append(part) or encode(part), decode=coder.decode, inside=coder.inside)
+        seen = []
+        assert bpe.concatenate(counted, leaves) == byte_tokenizer.encode(text, add_special_tokens=False).ids
+        calls += len(seen)
+    assert joins >= 250 and calls < 1.2 * joins
 
 
 def check_packing(rows, capacity):

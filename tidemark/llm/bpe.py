@@ -1,17 +1,20 @@
-"""Byte-level BPE encoding and decoding, with tree concatenation for long unsplit text.
-
-The splitting pattern cuts ordinary text into short pieces, whose merges are independent. A
-piece that it cannot cut (a run of one character class over many kilobytes) is halved down
-to leaves that are encoded in parallel; neighbours are then joined pairwise. At each join a
-window around the border is encoded anew and grown until its outer tokens on both sides are
-those of the halves. Each adjacent pair of tokens has then come out of an encoding of the
-text around it, which makes the whole sequence the encoding of the whole piece.
+"""Byte-level BPE encoding and decoding, with tree concatenation for long texts.
+
+A long text is cut into leaves at fixed numbers of characters, wherever that falls, and the
+leaves are encoded in parallel, each as if it were the whole text. Neighbours are then joined
+pairwise, level by level. At each join a window around the border is encoded anew and grown
+until its outer tokens on both sides are those of the halves, over a stretch that shows the
+rest to be right as well. Such a stretch holds a letter before white space or punctuation,
+where every encoding has a border and neither side sees the other; or it is several tokens
+within one run of letters, digits, white space or symbols: then each adjacent pair of tokens
+of that run has come out of an encoding of the text around it, which makes the whole its encoding.
 """
 
 import base64
 from functools import lru_cache
 
 import public_tokenizers
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,13 +24,14 @@ from tidemark.llm.common import arrow_map
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-LONG_RUN = 4096
-LEAF_BYTES = 2048
+LONG_TEXT = 16384
+LEAF = 4096
 WINDOW = 32
 MARGIN = 4
-GROUP_BYTES = 16384
 
-ITEM = "key string, item long, leaf long, pieces array<binary>"
+# letters of blocks that have long been complete; no special token holds such a place
+BORDER = regex.compile(r"(?V1)[\p{L}&&[A-\uD7A3]](?=[ \n\t.,;:!?()\u3001\u3002\uFF0C])")
+ONE_RUN = regex.compile(r"\p{L}+|\p{N}+|\p{White_Space}+|[^\s\p{L}\p{N}]+")
 
 
 class Codec:
@@ -36,8 +40,8 @@ class Codec:
     def __init__(self, tokenizer_path: str, ranks_path: str):
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
-        self.splitter = Tokenizer.from_file(tokenizer_path)
-        self.special = {token.content: number for number, token in self.splitter.get_added_tokens_decoder().items()}
+        added = Tokenizer.from_file(tokenizer_path).get_added_tokens_decoder()
+        self.special = {token.content: number for number, token in added.items()}
         self.bpe = tiktoken.Encoding(
             "bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.special
         )
@@ -46,34 +50,12 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         return self.bpe.encode(text, allowed_special=self.names)
 
-    def encode_piece(self, piece: bytes) -> list[int]:
-        return self.bpe._encode_single_piece(piece)
-
     def decode(self, ids: list[int]) -> str:
         return self.bpe.decode_bytes(ids).decode("utf-8", "replace")
 
-    def decode_bytes(self, ids: list[int]) -> bytes:
-        return self.bpe.decode_bytes(ids)
-
-    def pieces(self, text: str) -> list[bytes]:
-        """The pieces of ``text`` in order; a special token is a piece of its own."""
-        out = []
-        parts = [text]
-        for name in self.names:
-            parts = [x for part in parts for x in _around(part, name)]
-        for part in parts:
-            if part in self.names:
-                out.append(part.encode())
-            elif part:
-                out += [part[a:b].encode() for _, (a, b) in self.splitter.pre_tokenizer.pre_tokenize_str(part)]
-        return out
-
-
-def _around(part: str, name: str) -> list[str]:
-    found = [part.split(name)[0]]
-    for rest in part.split(name)[1:]:
-        found += [name, rest]
-    return found
+    def inside(self, token: int) -> bool:
+        """Whether the token begins within a character."""
+        return self.bpe.decode_single_token_bytes(token)[0] & 0xC0 == 0x80
 
 
 @lru_cache(maxsize=4)
@@ -81,17 +63,31 @@ def codec(tokenizer_path: str, ranks_path: str) -> Codec:
     return Codec(tokenizer_path, ranks_path)
 
 
+def settled(coder: Codec, agreed: list[int], outer: list[int]) -> bool:
+    """Whether the tokens on which a window and a half agree, ``outer`` the outermost, show all beyond to be right."""
+    if len(agreed) < MARGIN:
+        return False
+    return bool(BORDER.search(coder.decode(agreed)) or ONE_RUN.fullmatch(coder.decode(outer).strip("\ufffd")))
+
+
 def join(coder: Codec, left: list[int], right: list[int], window: int = WINDOW) -> list[int]:
-    """The encoding of a piece from those of its two parts."""
+    """The encoding of a text from those of its two parts."""
     if not left or not right:
         return left + right
     while True:
-        head, tail = left[-window:], right[:window]
-        new = coder.encode_piece(coder.decode_bytes(head + tail))
-        whole_left, whole_right = window >= len(left), window >= len(right)
-        fits = len(new) >= 2 * MARGIN
-        if (whole_left or fits and new[:MARGIN] == head[:MARGIN]) and (whole_right or fits and new[-MARGIN:] == tail[-MARGIN:]):
-            return left[: len(left) - len(head)] + new + right[len(tail) :]
+        start, stop = max(0, len(left) - window), min(window, len(right))
+        while start and coder.inside(left[start]):
+            start -= 1
+        while stop < len(right) and coder.inside(right[stop]):
+            stop += 1
+        head, tail = left[start:], right[:stop]
+        new = coder.encode(coder.decode(head + tail))
+        before = next((i for i, (x, y) in enumerate(zip(new, head)) if x != y), min(len(new), len(head)))  # noqa: B905
+        after = next((i for i, (x, y) in enumerate(zip(new[::-1], tail[::-1])) if x != y), min(len(new), len(tail)))  # noqa: B905
+        if (not start or settled(coder, new[:before], new[:MARGIN])) and (
+            stop == len(right) or settled(coder, new[len(new) - after :], new[-MARGIN:])
+        ):
+            return left[:start] + new + right[stop:]
         window *= 2
 
 
@@ -103,32 +99,28 @@ def concatenate(coder: Codec, leaves: list[list[int]]) -> list[int]:
     return leaves[0] if leaves else []
 
 
-def has_long_run(text, run: int = LONG_RUN):
-    """Whether ``text`` holds a run of one character class that the pattern cannot cut."""
-    classes = [r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}]", r"\s"]
-    return F.length(text).__ge__(run) & text.rlike("|".join(f"{c}{{{run}}}" for c in classes))
-
-
 def bpe_encode(
     docs: DataFrame,
     text: str = "text",
     tokenizer_path: str = TOKENIZER,
     ranks_path: str = RANKS,
-    long_run: int = LONG_RUN,
-    leaf_bytes: int = LEAF_BYTES,
+    long_text: int = LONG_TEXT,
+    leaf: int = LEAF,
 ) -> DataFrame:
     """``docs`` with ``ids`` and the text ``decoded`` from them.
 
     Null text counts as empty and gives no ids. Equal to the tokenizers library without
     added special tokens; the name of a special token inside a text is that token. Other
     columns pass through, but a column that is itself called ids or decoded is replaced.
+    Texts of ``long_text`` characters and more are joined from leaves of ``leaf``. Repeated
+    rows are returned as often as they occur; an empty table gives no rows.
     """
     kept = [name for name in docs.columns if name not in ("ids", "decoded")]
     rows = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    is_long = has_long_run(F.col("__text"), long_run)
+    is_long = F.length("__text") >= long_text
     plain = _encode_plain(rows.filter(~is_long), kept, tokenizer_path, ranks_path)
     tall = rows.filter(is_long).withColumn("__key", F.sha2("__text", 256))
-    done = _encode_long(tall.select("__key", "__text").dropDuplicates(["__key"]), tokenizer_path, ranks_path, long_run, leaf_bytes)
+    done = _encode_long(tall.select("__key", "__text").dropDuplicates(["__key"]), tokenizer_path, ranks_path, leaf)
     return plain.unionByName(tall.join(done, "__key").select(*kept, "ids", "decoded"))
 
 
@@ -148,57 +140,28 @@ def _encode_plain(rows: DataFrame, kept: list[str], tokenizer_path: str, ranks_p
     return arrow_map(rows, schema, factory)
 
 
-def _encode_long(texts: DataFrame, tokenizer_path: str, ranks_path: str, long_run: int, leaf_bytes: int) -> DataFrame:
+def _encode_long(texts: DataFrame, tokenizer_path: str, ranks_path: str, leaf: int) -> DataFrame:
     def cut():
-        coder = codec(tokenizer_path, ranks_path)
-
         def work(keys, values):
-            rows = []
-            for key, value in zip(keys, values, strict=True):
-                item, group, size = 0, [], 0
-                for piece in [*coder.pieces(value), None]:
-                    if group and (piece is None or len(piece) >= long_run or size >= GROUP_BYTES):
-                        rows.append((key, item, -1, group))
-                        item, group, size = item + 1, [], 0
-                    if piece is not None and len(piece) >= long_run:
-                        leaves = range(0, len(piece), leaf_bytes)
-                        rows += [(key, item, i, [piece[at : at + leaf_bytes]]) for i, at in enumerate(leaves)]
-                        item += 1
-                    elif piece is not None:
-                        group.append(piece)
-                        size += len(piece)
-            return list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+            rows = [(key, i, value[at : at + leaf]) for key, value in zip(keys, values, strict=True) for i, at in enumerate(range(0, len(value), leaf))]
+            return list(zip(*rows, strict=True)) if rows else [[], [], []]
 
         return work
 
     def encode():
         coder = codec(tokenizer_path, ranks_path)
-        special = {name.encode(): number for name, number in coder.special.items()}
-
-        def one(piece):
-            return [special[piece]] if piece in special else coder.encode_piece(piece)
-
-        def work(keys, items, leaves, pieces):
-            return keys, items, leaves, [[i for piece in group for i in one(piece)] for group in pieces]
-
-        return work
+        return lambda keys, leaves, parts: (keys, leaves, [coder.encode(part) for part in parts])
 
     def tree():
         coder = codec(tokenizer_path, ranks_path)
 
-        def work(keys, items, parts):
-            return keys, items, [concatenate(coder, [part["ids"] for part in group]) for group in parts]
+        def work(keys, groups):
+            ids = [concatenate(coder, [part["ids"] for part in group]) for group in groups]
+            return keys, ids, [coder.decode(value) for value in ids]
 
         return work
 
-    def spell():
-        coder = codec(tokenizer_path, ranks_path)
-        return lambda keys, ids: (keys, ids, [coder.decode(value) for value in ids])
-
-    leaves = arrow_map(texts, ITEM, cut, rows=16).repartition("key", "item", "leaf")
-    encoded = arrow_map(leaves, "key string, item long, leaf long, ids array<int>", encode, rows=64)
-    parts = encoded.groupBy("key", "item").agg(F.sort_array(F.collect_list(F.struct("leaf", "ids"))).alias("parts"))
-    joined = arrow_map(parts, "key string, item long, ids array<int>", tree, rows=16)
-    whole = joined.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("item", "ids"))).alias("parts"))
-    flat = whole.select("key", F.flatten(F.col("parts.ids")).alias("ids"))
-    return arrow_map(flat, "__key string, ids array<int>, decoded string", spell, rows=16)
+    leaves = arrow_map(texts, "key string, leaf long, part string", cut, rows=16).repartition("key", "leaf")
+    encoded = arrow_map(leaves, "key string, leaf long, ids array<int>", encode, rows=64)
+    parts = encoded.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("leaf", "ids"))).alias("parts"))
+    return arrow_map(parts, "__key string, ids array<int>, decoded string", tree, rows=16)
