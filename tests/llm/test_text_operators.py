@@ -210,6 +210,11 @@ def test_bpe_long_runs_and_odd_rows(spark, odd, empty, byte_tokenizer):
             want = byte_tokenizer.encode([*long, long[0]][row["doc_id"]], add_special_tokens=False).ids
             assert row["ids"] == want
             assert row["decoded"] == byte_tokenizer.decode(want, skip_special_tokens=False)
+    mixed = frame.selectExpr("doc_id % 3 AS doc_id", "text", "if(doc_id = 1, NULL, array(doc_id)) AS more", "'x' AS __n", "'y' AS ids")
+    twice = bpe.bpe_encode(mixed.union(mixed), long_text=300, leaf=64)
+    assert twice.columns == ["doc_id", "text", "more", "__n", "ids", "decoded"]
+    got = Counter((row["doc_id"], row["text"], row["decoded"], str(row["more"])) for row in twice.collect())
+    assert got == Counter({(r["doc_id"], r["text"], r["text"], str(r["more"])): 2 for r in mixed.collect()})
     rows = bpe.bpe_encode(odd).collect()
     assert len(rows) == len(ODD) + 2
     for row in rows:

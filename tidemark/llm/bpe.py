@@ -13,6 +13,7 @@ of that run has come out of an encoding of the text around it, which makes the w
 import base64
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
 import regex
 import tiktoken
@@ -46,6 +47,7 @@ class Codec:
             "bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.special
         )
         self.names = set(self.special)
+        self.width = "<u2" if self.bpe.max_token_value < 2**16 else "<u4"
 
     def encode(self, text: str) -> list[int]:
         return self.bpe.encode(text, allowed_special=self.names)
@@ -106,8 +108,9 @@ def bpe_encode(
     ranks_path: str = RANKS,
     long_text: int = LONG_TEXT,
     leaf: int = LEAF,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """``docs`` with ``ids`` and the text ``decoded`` from them.
+    """``docs``, or only its ``columns`` named, with ``ids`` and the text ``decoded`` from them.
 
     Null text counts as empty and gives no ids. Equal to the tokenizers library without
     added special tokens; the name of a special token inside a text is that token. Other
@@ -115,13 +118,15 @@ def bpe_encode(
     Texts of ``long_text`` characters and more are joined from leaves of ``leaf``. Repeated
     rows are returned as often as they occur; an empty table gives no rows.
     """
-    kept = [name for name in docs.columns if name not in ("ids", "decoded")]
-    rows = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    kept = [name for name in (docs.columns if columns is None else columns) if name not in ("ids", "decoded")]
+    names = [f"__c{i}" for i in range(len(kept))]  # whatever they are called, they clash with nothing
+    own = [F.col(name).alias(inner) for name, inner in zip(kept, names, strict=True)]
+    rows = docs.select(*own, F.coalesce(F.col(text), F.lit("")).alias("__text"))
     is_long = F.length("__text") >= long_text
-    plain = _encode_plain(rows.filter(~is_long), kept, tokenizer_path, ranks_path)
-    tall = rows.filter(is_long).withColumn("__key", F.sha2("__text", 256))
-    done = _encode_long(tall.select("__key", "__text").dropDuplicates(["__key"]), tokenizer_path, ranks_path, leaf)
-    return plain.unionByName(tall.join(done, "__key").select(*kept, "ids", "decoded"))
+    plain = _encode_plain(rows.filter(~is_long), names, tokenizer_path, ranks_path)
+    same = names[kept.index(text)] if text in kept else None
+    tall = _encode_long(rows.filter(is_long), names, same, tokenizer_path, ranks_path, leaf)
+    return plain.unionByName(tall).toDF(*kept, "ids", "decoded")
 
 
 def _encode_plain(rows: DataFrame, kept: list[str], tokenizer_path: str, ranks_path: str) -> DataFrame:
@@ -140,28 +145,47 @@ def _encode_plain(rows: DataFrame, kept: list[str], tokenizer_path: str, ranks_p
     return arrow_map(rows, schema, factory)
 
 
-def _encode_long(texts: DataFrame, tokenizer_path: str, ranks_path: str, leaf: int) -> DataFrame:
+def _encode_long(rows: DataFrame, kept: list[str], text: str | None, tokenizer_path: str, ranks_path: str, leaf: int) -> DataFrame:
+    """Equal rows are encoded once and counted; the text is what their ids decode to, so it travels as leaves only."""
+    side = [name for name in kept if name != text]
+    fields = rows.select(*side).schema
+    given = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields)
+    held = f"__key binary, __leaf long, __part string{', ' if given else ''}{given}"
+
     def cut():
-        def work(keys, values):
-            rows = [(key, i, value[at : at + leaf]) for key, value in zip(keys, values, strict=True) for i, at in enumerate(range(0, len(value), leaf))]
-            return list(zip(*rows, strict=True)) if rows else [[], [], []]
+        def work(keys, values, *others):
+            out = []
+            for key, value, *own in zip(keys, values, *others, strict=True):
+                for i, at in enumerate(range(0, len(value), leaf)):
+                    out.append((key, i, value[at : at + leaf], *(own if i == 0 else [None] * len(own))))
+            return list(zip(*out, strict=True)) if out else [[] for _ in range(3 + len(others))]
 
         return work
 
     def encode():
         coder = codec(tokenizer_path, ranks_path)
-        return lambda keys, leaves, parts: (keys, leaves, [coder.encode(part) for part in parts])
+        return lambda keys, leaves, counts, parts, *others: (
+            keys, leaves, counts, [np.array(coder.encode(part), coder.width).tobytes() for part in parts], *others
+        )
 
     def tree():
         coder = codec(tokenizer_path, ranks_path)
 
-        def work(keys, groups):
-            ids = [concatenate(coder, [part["ids"] for part in group]) for group in groups]
-            return keys, ids, [coder.decode(value) for value in ids]
+        def work(counts, groups, *others):
+            ids = [concatenate(coder, [np.frombuffer(part["ids"], coder.width).tolist() for part in group]) for group in groups]
+            return counts, ids, [coder.decode(value) for value in ids], *others
 
         return work
 
-    leaves = arrow_map(texts, "key string, leaf long, part string", cut, rows=16).repartition("key", "leaf")
-    encoded = arrow_map(leaves, "key string, leaf long, ids array<int>", encode, rows=64)
-    parts = encoded.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("leaf", "ids"))).alias("parts"))
-    return arrow_map(parts, "__key string, ids array<int>, decoded string", tree, rows=16)
+    own = [F.to_json(F.struct(*side))] if side else []
+    key = F.unhex(F.sha2(F.concat_ws("\n", F.sha2("__text", 256), *own), 256)).alias("__key")
+    first = [F.first(name, ignorenulls=True).alias(name) for name in side]
+    # equal leaves of equal rows meet in one aggregation, which also deals the leaves to tasks
+    leaves = arrow_map(rows.select(key, "__text", *side), held, cut, rows=16)
+    leaves = leaves.groupBy("__key", "__leaf").agg(F.count("*").alias("__n"), F.first("__part").alias("__part"), *first)
+    coded = arrow_map(leaves, held.replace("__part string", "__n long, __ids binary"), encode, rows=64)
+    parts = F.sort_array(F.collect_list(F.struct(F.col("__leaf").alias("leaf"), F.col("__ids").alias("ids"))))
+    whole = coded.groupBy("__key").agg(F.first("__n").alias("__n"), parts.alias("__parts"), *first).drop("__key")
+    done = arrow_map(whole, f"__n long, ids array<int>, decoded string{', ' if given else ''}{given}", tree, rows=16)
+    done = done.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))))
+    return done.select(*(F.col("decoded").alias(name) if name == text else name for name in kept), "ids", "decoded")

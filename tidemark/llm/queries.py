@@ -56,7 +56,7 @@ def op4_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every document: number and digest of its ids, digest of the text decoded from them."""
-    coded = bpe.bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids", "decoded")
+    coded = bpe.bpe_encode(table(spark, sf_dir, "documents"), columns=["doc_id"])
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
