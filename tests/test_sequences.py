@@ -94,6 +94,29 @@ def test_random_sets(spark):
         assert sorted(map(tuple, sq.missing_offsets(df, limit).collect())) == brute_missing(pairs, limit)
 
 
+@pytest.mark.parametrize("fill, words, marks", [(64, 1 << 20, 1 << 12), (2, 40, 3), (1 << 20, 1 << 20, 1), (0, 0, 8)])
+def test_sparse_zones_are_one_bucket(spark, monkeypatch, fill, words, marks):
+    """However zones are chosen to be cut, and whoever shares a mark, the gaps are the same."""
+    monkeypatch.setattr(sq, "SPARSE_FILL", fill)
+    monkeypatch.setattr(sq, "SPARSE_WORDS", words)
+    monkeypatch.setattr(sq, "ZONE_MARKS", marks)
+    rng = random.Random(fill + marks)
+    sparse = [(p, rng.randrange(-2 * ZONE, 3 * ZONE)) for p in range(3) for _ in range(40 * p + 5)]
+    dense = [(3, 7 * ZONE + o) for o in range(500) if o % 11] + [(3, 7 * ZONE + 9 * BUCKET), (3, 8 * ZONE)]
+    pairs = sparse + dense
+    df = frame(spark, pairs)
+    assert sorted(map(tuple, sq.prior_missing(df).collect())) == brute_gaps(pairs)
+    chosen = sq._with_buckets(sq._pack(df, "partition", "offset"), "partition")
+    zones = chosen.groupBy("partition", F.shiftright("word", sq.BUCKET_SHIFT + sq.ZONE_SHIFT).alias("zone")).agg(
+        F.count_distinct("bucket").alias("n"), F.count_distinct(F.shiftright("word", sq.BUCKET_SHIFT)).alias("cut")
+    ).collect()
+    if marks == 1 << 12:
+        # the few words of this fixture leave every zone sparse
+        assert all(z.n == 1 for z in zones) and any(z.cut > 1 for z in zones)
+    if fill == 0:
+        assert all(z.n == z.cut for z in zones)
+
+
 def test_a_limit_above_the_chunk_size(spark):
     df = frame(spark, [(0, 0), (0, 200_000), (0, 200_002), (1, 4), (1, 6)])
     limit = 150_000
@@ -114,6 +137,12 @@ def test_a_very_long_gap_gives_its_first_rows(spark):
     assert sq.missing_offsets(df, 2**62).limit(1).count() == 1
 
 
+def test_the_highest_bit_is_exact(spark):
+    ends = "explode(array(shiftleft(1L, cast(id as int)), shiftleft(2L, cast(id as int)) - 1)) as bits"
+    every = spark.range(32).selectExpr("id", ends)
+    assert every.filter(sq._high_bit(F.col("bits")) != F.col("id")).count() == 0
+
+
 def test_ordered_missing_and_runs(spark):
     df = frame(spark, [(1, 3), (1, 1), (0, 0), (0, 4), (2, 5)])
     assert [tuple(r) for r in sq.ordered_missing(sq.missing_offsets(df)).collect()] == [(0, 1), (0, 2), (0, 3), (1, 2)]
@@ -176,8 +205,17 @@ def test_limits_are_checked(spark, limit):
 
 
 def plan_of(df):
+    """The plan that ran, subqueries included; initial plans, also those of subqueries, are left out."""
     df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    kept, skipped = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if skipped is not None and depth >= skipped:
+            continue
+        skipped = depth if "== Initial Plan ==" in line else None
+        if skipped is None:
+            kept.append(line)
+    return "\n".join(kept)
 
 
 def test_one_scan_serves_all_branches(spark, tmp_path):

@@ -12,7 +12,9 @@ range, which bounds it by the ranges themselves and not by the data:
 
     words per bucket <= 2**15, buckets per zone <= 2**20, zones per key <= 2**24
 
-Only one summary row per range moves up a level.
+Only one summary row per range moves up a level. Where values lie so far apart that a bucket
+holds hardly more than one word, its summary saves nothing; such a zone is one bucket, as long
+as it has no more than ``SPARSE_WORDS`` words. That is decided per zone from its counts.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,6 +27,13 @@ WORD_SHIFT = 5
 WORD = 1 << WORD_SHIFT
 BUCKET_SHIFT = 15
 ZONE_SHIFT = 20
+#: A zone is one bucket if its buckets would hold fewer words than this on average, ...
+SPARSE_FILL = 64
+#: ... and it has at most so many in all.
+SPARSE_WORDS = 1 << 20
+#: Zones to be cut into buckets are marked by hash in so many places. A zone that shares the
+#: place of another is cut as well, which is right for every zone.
+ZONE_MARKS = 1 << 12
 # A listed gap is cut into runs of these lengths, one level after the other, so that no array
 # grows with the gap. Runs of the last length but one are spread over the tasks.
 RUNS = (1 << 46, 1 << 36, 1 << 26)
@@ -76,7 +85,7 @@ def range_bits(word: Column, first: Column, last: Column) -> Column:
 
 
 def _pack(df: DataFrame, key: str, seq: str) -> DataFrame:
-    return pack_sequences(df.dropna(subset=[key, seq]), key, seq)
+    return pack_sequences(df.filter(F.col(key).isNotNull() & F.col(seq).isNotNull()), key, seq)
 
 
 def _lone_bit(position: Column) -> Column:
@@ -89,8 +98,8 @@ def _low_bit(bits: Column) -> Column:
 
 
 def _high_bit(bits: Column) -> Column:
-    """Position of the highest set bit."""
-    return F.length(F.bin(bits)) - 1
+    """Position of the highest set bit; the half keeps the logarithm off whole numbers."""
+    return F.floor(F.log2(bits + F.lit(0.5))).cast("int")
 
 
 def _base() -> Column:
@@ -180,6 +189,29 @@ def gap_partition_count(stats: DataFrame) -> DataFrame:
 # -- order and gaps ------------------------------------------------------------------------
 
 
+def _with_buckets(packed: DataFrame, key: str) -> DataFrame:
+    """The packed form with each word's ``bucket``, that of a sparse zone being its first.
+
+    Which zones are cut is a fixed number of marks, read as one value by every task; so words
+    are neither joined with zones nor dealt by them.
+    """
+    zone = F.shiftright("word", BUCKET_SHIFT + ZONE_SHIFT)
+    place = F.pmod(F.xxhash64(key, "zone"), F.lit(ZONE_MARKS)).cast("int")
+    buckets = F.shiftright("last", BUCKET_SHIFT) - F.shiftright("first", BUCKET_SHIFT) + 1
+    # counts the bits, so that the planner sees the same packed form here as in the other uses
+    cut = (
+        packed.groupBy(key, zone.alias("zone"))
+        .agg(F.count("bits").alias("n"), F.min("word").alias("first"), F.max("word").alias("last"))
+        .filter((F.col("n") > SPARSE_WORDS) | (F.col("n") >= buckets * SPARSE_FILL))
+        .agg(F.collect_set(place).alias("places"))
+        .select(F.transform(F.sequence(F.lit(0), F.lit(ZONE_MARKS - 1)), lambda i: F.array_contains("places", i)))
+    )
+    zoned = packed.withColumn("zone", zone)
+    whole = ~F.get(cut.scalar(), place)
+    first = F.shiftleft("zone", ZONE_SHIFT)
+    return zoned.withColumn("bucket", F.when(whole, first).otherwise(F.shiftright("word", BUCKET_SHIFT))).drop("zone")
+
+
 def _bucket_ranks(packed: DataFrame, key: str) -> DataFrame:
     """Per non-empty bucket: what lies before and after it in its key.
 
@@ -188,7 +220,7 @@ def _bucket_ranks(packed: DataFrame, key: str) -> DataFrame:
     the first value of the next non-empty bucket.
     """
     buckets = (
-        packed.groupBy(key, F.shiftright("word", BUCKET_SHIFT).alias("bucket"))
+        packed.groupBy(key, "bucket")
         .agg(F.min(_first()).alias("bucket_start"), F.sum(F.bit_count("bits")).alias("n"))
         .withColumn("zone", F.shiftright("bucket", ZONE_SHIFT))
     )
@@ -232,8 +264,7 @@ def _ranked_words(packed: DataFrame, ranks: DataFrame, key: str) -> DataFrame:
     in_bucket = Window.partitionBy(key, "bucket").orderBy("word")
     before = F.sum(F.bit_count("bits")).over(in_bucket.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        packed.withColumn("bucket", F.shiftright("word", BUCKET_SHIFT))
-        .join(ranks, [key, "bucket"])
+        packed.join(ranks, [key, "bucket"])
         .select(
             key,
             "word",
@@ -266,7 +297,7 @@ def _successors(words: DataFrame, key: str, positions: Column) -> DataFrame:
 
 def next_offset(df: DataFrame, key: str = "partition", seq: str = "offset") -> DataFrame:
     """Each distinct value with the next one of its key, null after the last."""
-    packed = _pack(df, key, seq)
+    packed = _with_buckets(_pack(df, key, seq), key)
     words = _ranked_words(packed, _bucket_ranks(packed, key), key)
     return _successors(words, key, F.col("bits")).select(
         key, F.col("value").alias(seq), F.col("next_value").alias("next_offset")
@@ -290,6 +321,7 @@ def packed_gaps(packed: DataFrame, key: str = "partition", limit: int | None = N
     to there minus the values it has. That also tells from the bucket summaries which
     buckets lie beyond the limit, so those are dropped before any word is sorted.
     """
+    packed = _with_buckets(packed, key)
     ranks = _bucket_ranks(packed, key)
     if limit is not None:
         missing_before = F.col("bucket_start") - F.col("key_start") - F.col("before_bucket")
