@@ -128,6 +128,38 @@ def test_no_task_joins_a_whole_group(spark):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {i: 0 if i < 2000 else i for i, _ in rows}
 
 
+@pytest.mark.parametrize("pieces", [4096, 1])
+def test_narrowed(spark, monkeypatch, pieces):
+    """No row of the ids is lost, also when the bit map is full; most others go when it is not."""
+    monkeypatch.setattr(common, "PIECES", pieces)
+    for make in (F.col("id"), F.concat(F.lit("d"), "id")):
+        rows = spark.range(60_000).select(make.alias("key"), "id")
+        ids = spark.range(0, 60_000, 12).select(make.alias("node"))
+        got = [r["id"] for r in common.narrowed(rows, "key", ids).collect()]
+        assert len(got) == len(set(got)) and set(got) >= set(range(0, 60_000, 12))
+        assert len(got) < 60_000 * (0.2 if pieces > 1 else 0.3)
+    odd = spark.createDataFrame([(None, 1), (5, 2), (5, 3), (6, 4)], "key long, id long")
+    kept = common.narrowed(odd, "key", spark.createDataFrame([(5,), (5,)], "node long"))
+    assert kept.columns == ["key", "id"] and {2, 3} <= {r["id"] for r in kept.collect()}
+    assert common.narrowed(odd, "key", ids.limit(0)).collect() == []
+
+
+def test_only_texts_of_candidates_are_sent(spark, monkeypatch):
+    """Few texts have a near copy: hardly any others reach the join that would shuffle them, with no table broadcast by size."""
+    rows = [(i, " ".join(f"u{i}x{j}" for j in range(40))) for i in range(3000)]
+    rows += [(3000 + i, rows[i][1] + " more") for i in range(0, 3000, 60)]
+    sent, narrow = [], near_dup.narrowed
+    monkeypatch.setattr(near_dup, "narrowed", lambda *args: sent.append(narrow(*args).count()) or narrow(*args))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: i - 3000 if i >= 3000 else i for i, _ in rows}
+    assert len(sent) == 1 and 100 <= sent[0] < 600
+
+
 def test_scratch_tables_are_released(spark):
     shared = Path(spark.conf.get("spark.checkpoint.dir"))
     before = set(shared.iterdir())

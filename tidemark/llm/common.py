@@ -12,6 +12,10 @@ from tidemark.sources.scratch import materialize, release
 
 ROWS = 512
 HOT_KEYS = 1024
+#: A bit map of ids: bits per id, bits in a piece (those of Spark's bitmap functions) and the most pieces, 16 MB.
+ID_BITS = 16
+PIECE_BITS = 32768
+PIECES = 4096
 
 
 def arrow_map(df: DataFrame, schema: str, factory: Callable[[], Callable], rows: int = ROWS) -> DataFrame:
@@ -47,6 +51,25 @@ def join_counted(rows: DataFrame, counted: DataFrame, key: str, how: str = "inne
     return done.unionByName(rest.join(counted, key, how))
 
 
+def narrowed(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not among ``ids`` (one column of the same type).
+
+    A row whose key is among them always stays. One in 16 of the others does, more beyond eight
+    million ids, where the bit map of their hashes, which every task gets, has its full size of
+    16 MB. It is for wide rows before a join that would send all of them.
+    """
+    pieces = min(PIECES, max(1, -(-ids.count() * ID_BITS // PIECE_BITS)))
+    place = lambda column: F.pmod(F.xxhash64(column), F.lit(pieces * PIECE_BITS)) + 1
+    marks = ids.select(place(ids.columns[0]).alias("__place")).withColumn("__piece", F.bitmap_bucket_number("__place"))
+    # dealt by piece first: else each task would send a whole piece for its few bits
+    marks = marks.repartition("__piece").groupBy("__piece").agg(F.bitmap_construct_agg(F.bitmap_bit_position("__place")).alias("__marks"))
+    placed = rows.withColumn("__place", place(key)).withColumn("__piece", F.bitmap_bucket_number("__place"))
+    placed = placed.withColumn("__bit", F.bitmap_bit_position("__place"))
+    byte = "cast(conv(hex(substring(__marks, cast(__bit div 8 + 1 as int), 1)), 16, 10) as int)"
+    held = F.expr(f"shiftright({byte}, cast(__bit % 8 as int)) & 1 = 1")
+    return placed.join(F.broadcast(marks), "__piece").filter(held).select(*rows.columns)
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """``(node, component)`` of every node in ``edges(a, b)``, where component is its smallest member.
 

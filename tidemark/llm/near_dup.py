@@ -7,7 +7,8 @@ at similarity s share no table with a chance below ``2 * (1 - s ** WIDTH) ** SKE
 ten thousand at 0.75, one in 300,000 at 0.8.
 
 Before pairs are formed, sketches that no second document shares are dropped; they cannot
-lead to a shared table, and in most corpora few documents are left after that.
+lead to a shared table, and in most corpora few documents are left after that. Only the texts
+of those that share a table are sent on, found by a bit map of their ids.
 
 Documents that meet in a table form groups. A group is compared exactly on the full shingle
 sets, block against block, and each block pair returns only a spanning forest of its links,
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_map, connected, join_counted
+from tidemark.llm.common import arrow_map, connected, join_counted, narrowed
 from tidemark.sources.scratch import materialize, release
 
 SHINGLE = 5
@@ -61,7 +62,10 @@ def shingle_hashes(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
 
 
 def sketches(shingles: np.ndarray, width: int, number: int) -> np.ndarray:
-    """``2 * number`` sketches of ``width`` minhashes each, mixed into one value."""
+    """``2 * number`` sketches of ``width`` minhashes each, mixed into one value.
+
+    The lowest bit is 0 in left sketches and 1 in right ones; so a sketch needs no number beside it.
+    """
     draw = np.random.Generator(np.random.PCG64(SEED))
     factors = draw.integers(0, 2**63, 2 * number * width, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     least = np.full(2 * number * width, np.iinfo(np.uint64).max, np.uint64)
@@ -73,7 +77,7 @@ def sketches(shingles: np.ndarray, width: int, number: int) -> np.ndarray:
     out = np.zeros(2 * number, np.uint64)
     for column in least.reshape(2 * number, width).T:
         out = _mix(out * ODD + column)
-    return out
+    return out >> np.uint64(1) << np.uint64(1) | (np.arange(2 * number) >= number).astype(np.uint64)
 
 
 def _sets_of(texts: list[str | None], shingle: int) -> list[np.ndarray]:
@@ -114,32 +118,29 @@ def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def candidate_groups(sets: DataFrame, number: int) -> DataFrame:
+def candidate_groups(sets: DataFrame) -> DataFrame:
     """``(node, component)``: documents connected by shared tables, compared or not.
 
     ``sets`` has one row per different set: ``node``, ``sketches``.
     """
-    single = sets.select("node", F.posexplode("sketches").alias("slot", "sketch"))
-    shared = single.groupBy("slot", "sketch").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    left = single.join(shared, ["slot", "sketch"]).groupBy("node").agg(F.collect_list(F.struct("slot", "sketch")).alias("held"))
-    sides = left.select(
-        "node",
-        F.filter("held", lambda x: x["slot"] < number).alias("us"),
-        F.filter("held", lambda x: x["slot"] >= number).alias("vs"),
-    )
-    keys = sides.select("node", F.explode("us").alias("u"), "vs").select("node", "u", F.explode("vs").alias("v"))
-    keys = materialize(keys.select("node", F.xxhash64("u.slot", "v.slot", "u.sketch", "v.sketch").alias("key")), "table-keys")
+    single = sets.select("node", F.explode("sketches").alias("sketch"))
+    shared = single.groupBy("sketch").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    held = single.join(shared, "sketch").groupBy("node").agg(F.collect_list("sketch").alias("held"))
+    side = lambda bit: F.filter("held", lambda x: x.bitwiseAND(1) == bit)
+    keys = held.select("node", F.explode(side(0)).alias("u"), side(1).alias("vs")).select("node", "u", F.explode("vs").alias("v"))
+    keys = materialize(keys.select("node", F.xxhash64("u", "v").alias("key")), "table-keys")
     heads = keys.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    keys = keys.join(heads.select("key"), "key", "left_semi")
-    # two rounds of smallest labels first: members of a large group then share few labels,
-    # so its many tables give few different edges
-    label = materialize(keys.join(heads, "key").groupBy("node").agg(F.min("low").alias("label")), "first-labels")
-    labelled = keys.join(label, "node").select("key", "label").distinct()
-    low = labelled.groupBy("key").agg(F.min("label").alias("low"))
-    edges = labelled.join(low, "key").select(F.col("low").alias("a"), F.col("label").alias("b"))
+    # a large group's many tables have few heads, so few different pairs
+    pairs = materialize(keys.join(heads, "key").select("low", "node").distinct(), "table-heads")
+    release(keys)
+    # two rounds of smallest labels first: members of a large group then share few labels.
+    # Each table's members are linked through the label of its head, which is one of them
+    label = materialize(pairs.groupBy("node").agg(F.min("low").alias("label")), "first-labels")
+    labelled = pairs.join(label, "node").select("low", F.col("label").alias("b")).distinct()
+    edges = labelled.join(label.select(F.col("node").alias("low"), F.col("label").alias("a")), "low").select("a", "b")
     own = label.select(F.col("label").alias("a"), F.col("node").alias("b"))
     found = connected(edges.union(own).filter("a <> b").distinct())
-    release(keys, label)
+    release(pairs, label)
     return found
 
 
@@ -295,11 +296,11 @@ def near_duplicates(
     """
     rows = materialize(document_sketches(docs, doc_id, text, shingle, width, number), "sketches")
     known = rows.filter(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
-    same = materialize(known.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")), "different-sets")
-    # by digest and id at once, so that many copies of a set are not dealt to one task
-    first = known.join(same.select("digest", F.col("node").alias("doc_id")), ["digest", "doc_id"]).select(F.col("doc_id").alias("node"), "sketches")
-    groups = candidate_groups(first.dropDuplicates(["node", "sketches"]), number)
-    texts = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
+    # rows of one digest hold one set, so any of them has its sketches
+    same = known.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("n"), F.first("sketches").alias("sketches"))
+    same = materialize(same, "different-sets")
+    groups = candidate_groups(same.select("node", "sketches"))
+    texts = narrowed(docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")), "__id", groups.select("node"))
     members = sized(groups).join(texts, F.col("node") == F.col("__id")).select("component", "n", "node", "__text")
     members = materialize(member_sets(members, shingle), "candidate-sets")
     links = confirmed_links(members, percent)
