@@ -144,20 +144,37 @@ def test_narrowed(spark, monkeypatch, pieces):
     assert common.narrowed(odd, "key", ids.limit(0)).collect() == []
 
 
+def texts_shuffled(node):
+    """Rows with a text that the shuffles of an executed plan wrote."""
+    own = 0
+    if node.nodeName() == "Exchange" and "__text" in node.output().toString():
+        own = node.metrics().apply("shuffleRecordsWritten").value()
+    return own + sum(texts_shuffled(node.children().apply(i)) for i in range(node.children().size()))
+
+
 def test_only_texts_of_candidates_are_sent(spark, monkeypatch):
-    """Few texts have a near copy: hardly any others reach the join that would shuffle them, with no table broadcast by size."""
+    """Few texts have a near copy: hardly any others are shuffled, with no table small enough to be broadcast by size."""
     rows = [(i, " ".join(f"u{i}x{j}" for j in range(40))) for i in range(3000)]
     rows += [(3000 + i, rows[i][1] + " more") for i in range(0, 3000, 60)]
-    sent, narrow = [], near_dup.narrowed
-    monkeypatch.setattr(near_dup, "narrowed", lambda *args: sent.append(narrow(*args).count()) or narrow(*args))
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    sent, member_sets = [], near_dup.member_sets
+
+    def watched(members, shingle):
+        assert len(members.collect()) == 100
+        sent.append(texts_shuffled(members._jdf.queryExecution().executedPlan()))
+        return member_sets(members, shingle)
+
+    monkeypatch.setattr(near_dup, "member_sets", watched)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
     try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
         found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     assert {r["doc_id"]: r["component_id"] for r in found} == {i: i - 3000 if i >= 3000 else i for i, _ in rows}
-    assert len(sent) == 1 and 100 <= sent[0] < 600
+    assert 100 <= sent[0] < 600
 
 
 def test_scratch_tables_are_released(spark):
