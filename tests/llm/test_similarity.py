@@ -271,6 +271,70 @@ def test_embedding_query_and_odd_rows(spark):
     assert embedding_dup.near_duplicate_vectors(frame.limit(0)).collect() == []
 
 
+def rows_shuffled(node):
+    """Rows that the shuffles of an executed plan wrote."""
+    own = node.metrics().apply("shuffleRecordsWritten").value() if node.nodeName() == "Exchange" else 0
+    return own + sum(rows_shuffled(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_only_rows_near_another_block_are_sent(spark, monkeypatch):
+    """Vectors that lie far apart are not sent to the other blocks; before, each went to every one of them."""
+    draw = np.random.default_rng(4)
+    vectors = draw.normal(size=(3000, 64))
+    vectors[1500:1530] = vectors[:30] + draw.normal(size=(30, 64)) * 0.1
+    sent, materialize = [], embedding_dup.materialize
+
+    def watched(df, label):
+        if label == "vector-links":
+            df.collect()
+            sent.append(rows_shuffled(df._jdf.queryExecution().executedPlan()))
+        return materialize(df, label)
+
+    monkeypatch.setattr(embedding_dup, "materialize", watched)
+    frame = spark.createDataFrame([(i, v.tolist(), 0, "c") for i, v in enumerate(vectors)], VECTORS)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        rows = embedding_dup.near_duplicate_vectors(frame, block_rows=100).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    counts, labels = brute_links(vectors)
+    assert counts.sum() == 60
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in rows} == {i: (counts[i], labels[i]) for i in range(len(vectors))}
+    assert 0 < sent[0] < 3000
+
+
+@pytest.mark.parametrize(("width", "cosine"), [(16, 0.9), (64, 0.9), (64, 0.999), (3, 0.6)])
+def test_near_balls_miss_no_link(width, cosine):
+    """The nodes found for each pair of blocks hold every linked row, whatever was rounded; far ones are left out."""
+    vectors = np.concatenate([clustered(width, width), np.random.default_rng(1).normal(size=(500, width))])
+    units = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    block = np.arange(len(units)) % 5
+    limit = math.sqrt(2 - 2 * cosine)
+    turn, lead = embedding_dup.leading_axes(units, cosine)
+    tops, packed = [], []
+    for b in range(5):
+        own = units[block == b]
+        paths = embedding_dup.topped(own, embedding_dup.cover_paths(own), limit / 2)
+        tops.append(paths[:, 0])
+        packed.append(embedding_dup.pack_balls(own, paths[:, 0], turn))
+    left, right = (embedding_dup.Balls(some, [packed[b] for b in some], width, lead) for some in ([0, 1, 2], [3, 4]))
+    found = {}
+    for x, y in ((left, left), (left, right), (right, right)):
+        for mine, other, nodes in embedding_dup.near_balls(x, y, limit):
+            assert (mine, other) not in found
+            found[mine, other] = set(nodes.tolist())
+    linked = units @ units.T >= cosine
+    np.fill_diagonal(linked, False)
+    for mine in range(5):
+        for other in range(5):
+            rows = linked[np.ix_(block == mine, block == other)].any(axis=1)
+            assert set(tops[mine][rows].tolist()) <= found.get((mine, other), set())
+            alone = (block[-500:] == mine) & ~linked[-500:].any(axis=1)
+            if width == 64:
+                assert len(found.get((mine, other), set()) & set(tops[mine][-100:][alone[block[-500:] == mine]].tolist())) < 5
+
+
 def test_toxicity_query_is_right_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     rows = {r["doc_id"]: r for r in op9_toxicity(spark, sf).collect()}

@@ -13,12 +13,14 @@ only decides how well blocks can be pruned; every row is compared, and links are
 double precision.
 """
 
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_map, connected
+from tidemark.llm.common import arrow_map, connected, narrowed
 from tidemark.sources.scratch import materialize, release
 
 COSINE = 0.9
@@ -29,6 +31,12 @@ MIN_BLOCKS = 16
 BLOCK_ROWS = 4096
 SLACK = 1e-5
 TILE = 1024
+#: Balls are compared in groups of as many blocks, with fewer groups than that of fewer blocks.
+GROUP_BLOCKS = 12
+MIN_GROUPS = 8
+MAX_TASKS = 10_000
+#: Share of unrelated pairs that the leading axes may let through.
+LEAD_SHARE = 1e-5
 
 
 def unit_rows(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -103,6 +111,121 @@ def cover_paths(units: np.ndarray, levels=LEVELS) -> np.ndarray:
     return paths
 
 
+def topped(units: np.ndarray, paths: np.ndarray, radius: float) -> np.ndarray:
+    """``paths`` without the levels above the first nodes that a ball of ``radius`` around their mean holds."""
+    top = np.full(len(units), -1, np.int32)
+    for level in range(paths.shape[1]):
+        rows = np.nonzero(top < 0)[0]
+        means, reach = _balls(units[rows], paths[rows, level])
+        held = rows[reach[paths[rows, level]] <= radius + 1e-9]
+        top[held] = paths[held, level]
+        paths[held, :level] = top[held, None]
+    paths[top < 0] = np.nonzero(top < 0)[0][:, None]
+    return paths
+
+
+def _balls(units: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covering radius of the rows of each ``node``, by number."""
+    number = int(node.max(initial=-1)) + 1
+    means = np.zeros((number, units.shape[1]))
+    np.add.at(means, node, units)
+    means /= np.maximum(1, np.bincount(node, minlength=number))[:, None]
+    reach = np.zeros(number)
+    np.maximum.at(reach, node, np.sqrt(((units - means[node]) ** 2).sum(axis=1)))
+    return means, reach
+
+
+def pack_balls(units: np.ndarray, node: np.ndarray, turn: np.ndarray | None) -> bytes:
+    """The ball of each ``node`` on the axes of ``turn``: its centre in bytes and their scale, its radius, number and whether it has several rows."""
+    nodes, node, sizes = np.unique(node, return_inverse=True, return_counts=True)
+    means, reach = _balls(units, node)
+    means = means if turn is None else means @ turn
+    scale = (np.maximum(np.abs(means).max(axis=1), 1e-30) / 127).astype(np.float32)
+    whole = np.rint(means / scale[:, None].astype(np.float64)).clip(-127, 127).astype(np.int8)
+    moved = np.sqrt(((means - whole * scale[:, None].astype(np.float64)) ** 2).sum(axis=1))
+    reach = np.nextafter((reach + moved).astype(np.float32), np.float32(np.inf))
+    return b"".join(x.tobytes() for x in (scale, reach, nodes.astype(np.int32), (sizes > 1).astype(np.int32), whole))
+
+
+class Balls:
+    """The balls of several blocks, unpacked and in order of radius."""
+
+    def __init__(self, blocks: list[int], packed: list[bytes], width: int, lead: int):
+        parts = []
+        for block, data in zip(blocks, packed, strict=True):
+            n = len(data) // (16 + width)
+            scale, reach = np.frombuffer(data, np.float32, 2 * n).reshape(2, n)
+            nodes, many = np.frombuffer(data, np.int32, 2 * n, 8 * n).reshape(2, n)
+            whole = np.frombuffer(data, np.int8, offset=16 * n).reshape(n, width)
+            parts.append((whole * scale[:, None], reach, nodes, many > 0, np.full(n, block, np.int32)))
+        centres, self.reach, self.nodes, self.many, self.block = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(self.reach, kind="stable")
+        self.centres, self.reach, self.nodes, self.many, self.block = (x[order] for x in (centres, self.reach, self.nodes, self.many, self.block))
+        self.square = np.einsum("ij,ij->i", self.centres, self.centres)
+        rest = np.sqrt(np.einsum("ij,ij->i", self.centres[:, lead:], self.centres[:, lead:]))
+        half, one = -self.square / 2, np.ones(len(rest), np.float32)
+        # the product of a left and a right row is at least minus half the square of their distance
+        self.left = np.column_stack([self.centres[:, :lead], rest, half, one])
+        self.right = np.column_stack([self.centres[:, :lead], rest, one, half])
+        self.blocks = np.unique(self.block)
+        self.at = np.searchsorted(self.blocks, self.block)
+
+
+def near_balls(left: Balls, right: Balls, limit: float) -> list[tuple[int, int, np.ndarray]]:
+    """``(block, other, nodes)``: the nodes of ``block`` whose balls may hold a row within ``limit`` of one of ``other``."""
+    same = left is right
+    ahead = np.zeros((len(left.block), len(right.blocks)), bool)
+    back = ahead if same else np.zeros((len(right.block), len(left.blocks)), bool)
+    if same:
+        several = np.nonzero(left.many)[0]
+        ahead[several, left.at[several]] = True
+    buffer = np.empty((TILE, TILE), np.float32)
+    for j in range(0, len(right.block), TILE):
+        columns = np.ascontiguousarray(right.right[j : j + TILE].T)
+        widest = right.reach[j : j + TILE].max()
+        for i in range(0, j + 1 if same else len(left.block), TILE):
+            part = left.left[i : i + TILE]
+            product = np.matmul(part, columns, out=buffer[: len(part), : columns.shape[1]])
+            if same and i == j:
+                np.fill_diagonal(product, -np.inf)
+            least = -((limit + left.reach[i : i + TILE].max() + widest) ** 2) / 2 - SLACK
+            rows = np.nonzero(product.max(axis=1) >= least)[0]
+            if not len(rows):
+                continue
+            p, q = np.nonzero(product[rows] >= least)
+            p, q = rows[p] + i, q + j
+            for k in range(0, len(p), 65536):
+                a, b = p[k : k + 65536], q[k : k + 65536]
+                square = left.square[a] + right.square[b] - 2 * np.einsum("ij,ij->i", left.centres[a], right.centres[b])
+                near = square <= (limit + left.reach[a] + right.reach[b]) ** 2 + 2 * SLACK
+                ahead[a[near], right.at[b[near]]] = True
+                back[b[near], left.at[a[near]]] = True
+    found = []
+    for balls, others, mark in ((left, right, ahead), (right, left, back))[: 1 if same else 2]:
+        for x, block in enumerate(balls.blocks.tolist()):
+            mine = np.nonzero(balls.at == x)[0]
+            for y, other in enumerate(others.blocks.tolist()):
+                nodes = balls.nodes[mine[mark[mine, y]]]
+                if len(nodes):
+                    found.append((block, other, np.sort(nodes)))
+    return found
+
+
+def leading_axes(sample: np.ndarray, cosine: float) -> tuple[np.ndarray, int]:
+    """The principal axes of ``sample`` and how many of the first ones tell unrelated rows apart."""
+    width = sample.shape[1]
+    turn = np.ascontiguousarray(np.linalg.eigh(sample.T @ sample)[1][:, ::-1])
+    rows = sample[:TILE] @ turn
+    cosine -= 0.01  # balls that hold one row are as far off by rounding
+    linked = (rows @ rows.T >= cosine).mean()
+    step = max(4, width // 16)
+    for lead in range(step, width, step):
+        rest = np.sqrt(np.maximum(0, 1 - (rows[:, :lead] ** 2).sum(axis=1)))
+        if (rows[:, :lead] @ rows[:, :lead].T + np.outer(rest, rest) >= cosine).mean() - linked <= LEAD_SHARE:
+            return turn, lead
+    return turn, width
+
+
 class CoverTree:
     """Nested levels over unit vectors; a node of a level is the row at its centre.
 
@@ -239,12 +362,13 @@ def _open(left: np.ndarray, right: np.ndarray, p: np.ndarray, q: np.ndarray, sam
     return a, b
 
 
-def _blocks(units: DataFrame, number: int) -> tuple[DataFrame, np.ndarray]:
-    """``units`` with the ``cell`` of the nearest pivot and its ``distance``, and the pivots."""
-    pivots = {}
+def _blocks(units: DataFrame, number: int, cosine: float) -> tuple[DataFrame, dict[int, np.ndarray], dict[int, tuple[np.ndarray, int]]]:
+    """``units`` with the ``cell`` of the nearest pivot and its ``distance``, and by width the pivots and leading axes."""
+    sample = {}
     for row in units.limit(SAMPLE_ROWS).collect():
-        pivots.setdefault(row["width"], []).append(np.frombuffer(row["unit"]))
-    pivots = {width: pick_pivots(np.array(rows), number) for width, rows in pivots.items()}
+        sample.setdefault(row["width"], []).append(np.frombuffer(row["unit"]))
+    pivots = {width: pick_pivots(np.array(rows), number) for width, rows in sample.items()}
+    axes = {width: leading_axes(np.array(rows), cosine) for width, rows in sample.items()}
     id_type = units.schema["vec_id"].dataType.simpleString()
 
     def factory():
@@ -260,7 +384,7 @@ def _blocks(units: DataFrame, number: int) -> tuple[DataFrame, np.ndarray]:
 
         return work
 
-    return arrow_map(units, f"vec_id {id_type}, width int, unit binary, cell int, distance double", factory), pivots
+    return arrow_map(units, f"vec_id {id_type}, width int, unit binary, cell int, distance double", factory), pivots, axes
 
 
 def near_duplicate_vectors(
@@ -278,7 +402,7 @@ def near_duplicate_vectors(
     units = materialize(unit_rows(vectors, vec_id, embedding).dropDuplicates(["vec_id", "unit"]), "unit-vectors")
     total = units.count()
     blocks = max(min_blocks, -(-total // block_rows))
-    placed, pivots = _blocks(units, min(MAX_PIVOTS, max(1, blocks // 2)))
+    placed, pivots, axes = _blocks(units, min(MAX_PIVOTS, max(1, blocks // 2)), cosine)
     placed = materialize(placed, "placed-vectors")
     release(units)
     rows = max(1, -(-total // blocks))
@@ -287,11 +411,19 @@ def near_duplicate_vectors(
     ).orderBy("width", "cell").collect()
     limit = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
 
-    # blocks by number, and with which others each cell has to meet
+    # blocks by number, in groups of one width each, and with which groups each cell has to meet
     first, parts, n = {}, {}, 0
     for cell in cells:
         first[cell["width"], cell["cell"]], parts[cell["width"], cell["cell"]] = n, -(-cell["n"] // rows)
         n += parts[cell["width"], cell["cell"]]
+    together = max(1, min(GROUP_BLOCKS, n // MIN_GROUPS))
+    group, widths, starts = [], [], {}
+    for width, cell in first:
+        start = starts.setdefault(width, (len(group), len(widths)))
+        for block in range(len(group), len(group) + parts[width, cell]):
+            group.append(start[1] + (block - start[0]) // together)
+            if group[-1] == len(widths):
+                widths.append(width)
     meets = {}
     for x in cells:
         for y in cells:
@@ -299,56 +431,111 @@ def near_duplicate_vectors(
             if x["width"] == y["width"]:
                 apart = 0.0 if centre is None else float(np.sqrt(max(0.0, 2 - 2 * centre[x["cell"]] @ centre[y["cell"]])))
                 if apart <= limit + x["radius"] + y["radius"] + SLACK:
-                    key = x["width"], y["cell"]
-                    meets.setdefault((x["width"], x["cell"]), []).append((first[key], parts[key]))
-    return _compared(vectors, vec_id, placed, first, parts, meets, cosine)
+                    other = first[x["width"], y["cell"]]
+                    groups = set(group[other : other + parts[x["width"], y["cell"]]])
+                    for block in range(first[x["width"], x["cell"]], first[x["width"], x["cell"]] + parts[x["width"], x["cell"]]):
+                        meets.setdefault(block, set()).update(groups)
+    return _compared(vectors, vec_id, placed, first, parts, _Layout(group, widths, meets, axes, limit), cosine)
 
 
-def _compared(vectors, vec_id, placed, first, parts, meets, cosine):
+class _Layout(NamedTuple):
+    """The group of each block, the width of each group, the groups that a block meets, and by width the leading axes."""
+
+    group: list[int]
+    widths: list[int]
+    meets: dict[int, set[int]]
+    axes: dict[int, tuple[np.ndarray, int]]
+    limit: float
+
+
+def _meeting(trees: DataFrame, layout: _Layout) -> DataFrame:
+    """``(a, b, at)``: the pairs of blocks that may hold links, and by ``at`` the nodes of either that do."""
+    group, widths, meets, axes, limit = layout
+
+    def deal():
+        def work(mine, balls):
+            rows = [(min(group[m], g), max(group[m], g), m, data) for m, data in zip(mine, balls, strict=True) for g in sorted(meets[m])]
+            return list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+
+        return work
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        a, b = int(part["g"].iloc[0]), int(part["h"].iloc[0])
+        width = widths[a]
+        lead = axes[width][1] if width in axes else width
+        blocks, packed = part["mine"].tolist(), part["balls"].tolist()
+        sides = [[i for i, block in enumerate(blocks) if group[block] == g] for g in dict.fromkeys((a, b))]
+        sides = [Balls([blocks[i] for i in side], [packed[i] for i in side], width, lead) for side in sides if side]
+        # no row may have fallen into the blocks of one group
+        found = near_balls(sides[0], sides[-1], limit) if a == b or len(sides) > 1 else []
+        return pd.DataFrame({
+            "a": [min(x, y) for x, y, _ in found], "b": [max(x, y) for x, y, _ in found],
+            "mine": [x for x, _, _ in found], "nodes": pd.Series([nodes.tolist() for _, _, nodes in found], dtype=object),
+        })
+
+    dealt = arrow_map(trees.filter("balls IS NOT NULL").select("mine", "balls"), "g int, h int, mine int, balls binary", deal, rows=16)
+    groups = max(group, default=0) + 1
+    dealt = dealt.repartition(min(MAX_TASKS, groups * (groups + 1)), "g", "h")
+    found = dealt.groupBy("g", "h").applyInPandas(compare, "a int, b int, mine int, nodes array<int>")
+    return found.select("a", "b", "mine", F.explode("nodes").alias("node")).select("a", "b", _node_key("mine", F.col("node")).alias("at"))
+
+
+def _node_key(block, node):
+    return F.col(block).cast("long") * 4294967296 + node
+
+
+def _compared(vectors, vec_id, placed, first, parts, layout, cosine):
     id_type = placed.schema["vec_id"].dataType.simpleString()
+    axes, limit = layout.axes, layout.limit
 
     def number():
         def work(ids, rows, widths, cells, places):
-            keys = list(zip(widths, cells, strict=True))
-            mine = [first[key] + place % parts[key] for key, place in zip(keys, places, strict=True)]
-            return ids, rows, mine, [[start + i for start, count in meets[key] for i in range(count)] for key in keys]
+            keys = zip(widths, cells, strict=True)
+            return ids, rows, [first[key] + place % parts[key] for key, place in zip(keys, places, strict=True)]
 
         return work
 
     def plant(part: pd.DataFrame) -> pd.DataFrame:
         units = np.array([np.frombuffer(row) for row in part["unit"]])
+        paths = topped(units, cover_paths(units), limit / 2)
         part["place"] = np.arange(len(part), dtype=np.int32)
-        part["path"] = list(cover_paths(units))
+        part["path"] = list(paths)
+        part["balls"] = [pack_balls(units, paths[:, 0], axes.get(units.shape[1], (None,))[0]), *[None] * (len(part) - 1)]
         return part
 
     columns = placed.select("vec_id", "unit", "width", "cell", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)))
-    block = f"vec_id {id_type}, unit binary, mine int, others array<int>"
-    trees = arrow_map(columns, block, number, rows=256).groupBy("mine").applyInPandas(plant, f"{block}, place int, path array<int>")
+    block = f"vec_id {id_type}, unit binary, mine int"
+    trees = arrow_map(columns, block, number, rows=256).groupBy("mine").applyInPandas(plant, f"{block}, place int, path array<int>, balls binary")
     trees = materialize(trees, "cover-trees")
     release(placed)
-    spread = trees.withColumn("other", F.explode("others")).select(
-        F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "mine", "place", "vec_id", "unit", "path"
-    )
+    meeting = materialize(_meeting(trees, layout), "meeting-nodes")
+    # one row per node, so a node's rows are not copied before they are joined
+    wanted = meeting.groupBy("at").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
+    keyed = trees.select("mine", "place", "vec_id", "unit", "path", _node_key("mine", F.col("path")[0]).alias("at"))
+    spread = narrowed(keyed, "at", wanted.select("at")).join(wanted, "at").select("mine", "place", "vec_id", "unit", "path", F.explode("pairs").alias("pair"))
+    spread = spread.select("pair.a", "pair.b", "mine", "place", "vec_id", "unit", "path")
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         a, b = int(part["a"].iloc[0]), int(part["b"].iloc[0])
         part = part.sort_values(["mine", "place"], kind="stable")
         units = np.array([np.frombuffer(row) for row in part["unit"]])
         paths = np.array(part["path"].tolist()).reshape(len(part), -1)
-        ids = part["vec_id"].to_numpy()
+        ids, places = part["vec_id"].to_numpy(), part["place"].to_numpy()
         cut = int((part["mine"] == a).sum())
+        paths[:cut] = np.searchsorted(places[:cut], paths[:cut])
+        paths[cut:] = np.searchsorted(places[cut:], paths[cut:])
         links = Links(len(ids))
         if a == b:
             tree = CoverTree(units, paths)
             dual_traversal(tree, tree, cosine, links, 0)
-        elif cut < len(ids):
+        elif 0 < cut < len(ids):
             dual_traversal(CoverTree(units[:cut], paths[:cut]), CoverTree(units[cut:], paths[cut:]), cosine, links, cut)
         linked = np.nonzero(links.counts)[0]
         return pd.DataFrame({"vec_id": ids[linked], "links": links.counts[linked], "other": ids[links.labels()[linked]]})
 
     found = spread.groupBy("a", "b").applyInPandas(compare, f"vec_id {id_type}, links long, other {id_type}")
     found = materialize(found, "vector-links")
-    release(trees)
+    release(trees, meeting)
     counts = found.groupBy("vec_id").agg(F.sum("links").alias("n_links"))
     components = connected(found.select(F.col("vec_id").alias("a"), F.col("other").alias("b")))
     label = counts.join(components, counts["vec_id"] == components["node"], "left").select("vec_id", "n_links", "component")
