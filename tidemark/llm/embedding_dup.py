@@ -17,10 +17,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from tidemark.llm.common import arrow_map, connected, narrowed
+from tidemark.llm.common import ROWS, arrow_map, connected, narrowed
 from tidemark.sources.scratch import materialize, release
 
 COSINE = 0.9
@@ -42,24 +46,30 @@ LEAD_SHARE = 1e-5
 def unit_rows(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """``(vec_id, width, unit)`` of the rows that can be compared, as 64-bit unit vectors."""
     id_type = vectors.schema[vec_id].dataType.simpleString()
-
-    def factory():
-        def work(ids, values):
-            rows = []
-            for key, value in zip(ids, values, strict=True):
-                if key is None or not value or None in value:
-                    continue
-                vector = np.array(value, np.float64)
-                with np.errstate(over="ignore", invalid="ignore"):
-                    vector = vector / (np.abs(vector).max() or 1.0)
-                    unit = vector / np.sqrt(vector @ vector)
-                if np.isfinite(value).all() and np.isfinite(unit).all():
-                    rows.append((key, len(unit), unit.tobytes()))
-            return list(zip(*rows, strict=True)) if rows else [[], [], []]
-
-        return work
-
-    return arrow_map(vectors.select(vec_id, embedding), f"vec_id {id_type}, width int, unit binary", factory)
+    fields = to_arrow_schema(StructType.fromDDL(f"vec_id {id_type}, width int, unit binary"))
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                ids, values = batch.slice(at, ROWS).columns
+                lengths = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False)
+                rows = np.nonzero((lengths > 0) & ids.is_valid().to_numpy(zero_copy_only=False))[0]
+                lengths = lengths[rows]
+                flat = pc.cast(values.take(pa.array(rows)).flatten(), pa.float64(), safe=False).to_numpy(zero_copy_only=False)
+                starts = np.cumsum(lengths) - lengths
+                for width in np.unique(lengths).tolist():
+                    some = lengths == width
+                    vector = flat[starts[some][:, None] + np.arange(width)]  # null components are NaN
+                    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+                        largest = np.abs(vector).max(axis=1, keepdims=True)
+                        unit = vector / np.where(largest == 0, 1.0, largest)
+                        unit = unit / np.sqrt(np.einsum("ij,ij->i", unit, unit))[:, None]
+                    good = np.isfinite(vector).all(axis=1) & np.isfinite(unit).all(axis=1)
+                    data = pa.array([row.tobytes() for row in unit[good]], pa.binary())
+                    columns = [ids.take(pa.array(rows[some][good])), pa.array(np.full(len(data), width, np.int32)), data]
+                    yield pa.RecordBatch.from_arrays(columns, schema=fields)
+
+    return vectors.select(vec_id, embedding).mapInArrow(run, f"vec_id {id_type}, width int, unit binary")
 
 
 def pick_pivots(sample: np.ndarray, number: int) -> np.ndarray:
@@ -194,6 +204,8 @@ def near_balls(left: Balls, right: Balls, limit: float) -> list[tuple[int, int,
                 continue
             p, q = np.nonzero(product[rows] >= least)
             p, q = rows[p] + i, q + j
+            fresh = ~(ahead[p, right.at[q]] & back[q, left.at[p]])
+            p, q = p[fresh], q[fresh]
             for k in range(0, len(p), 65536):
                 a, b = p[k : k + 65536], q[k : k + 65536]
                 square = left.square[a] + right.square[b] - 2 * np.einsum("ij,ij->i", left.centres[a], right.centres[b])
